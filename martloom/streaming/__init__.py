@@ -1,0 +1,2 @@
+"""Deliberately empty: the mart job is a scheduled batch. It has no streams,
+watermarks or streaming state to re-express."""

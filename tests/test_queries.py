@@ -1,0 +1,54 @@
+"""Every query against its SQL on the given tables at sf0.01."""
+
+import math
+
+import duckdb
+import pytest
+
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.sql(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def rows_by_name(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+
+    def plain(value):
+        return None if isinstance(value, float) and math.isnan(value) else value
+
+    return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query_matches_sql(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLES[name])
+    assert sorted(result.columns) == sorted(expected.columns)
+    got = rows_by_name(result.columns, [tuple(row) for row in result.collect()])
+    want = rows_by_name(expected.columns, expected.fetchall())
+    assert len(got) == len(want)
+    assert got == want
+    kinds = dict(zip(expected.columns, map(str, expected.types), strict=True))
+    same = {
+        "int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "float": "FLOAT",
+        "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    }
+    assert {n: same[t] for n, t in result.dtypes} == kinds
