@@ -14,10 +14,12 @@ def declare_table(
     schema: T.StructType,
     partition_column: str | None = None,
     location: str | None = None,
+    make_folder: bool = True,
 ) -> None:
     """Declare a Parquet table unless it exists: external when a location is
     given, else managed. Column comments come from the schema's metadata. A
     partitioned table is put in dynamic overwrite mode for good."""
+    known = spark.catalog.tableExists(table)
     ddl = f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:t) ({schema.toDDL()}) USING parquet"
     args = {"t": table}
     if partition_column:
@@ -26,6 +28,10 @@ def declare_table(
         ddl += " LOCATION :location"
         args["location"] = location
     spark.sql(ddl, args=args)
+    if location and not known and make_folder:
+        # An external folder may not exist yet; an empty append makes it, so
+        # that listings of a table without rows find an empty folder.
+        spark.createDataFrame([], spark.table(table).schema).write.insertInto(table)
 
 
 def recover_partitions(spark: SparkSession, table: str) -> None:
@@ -43,9 +49,10 @@ def recreate_table(
 ) -> None:
     """Drop and re-declare an external table so that a changed definition
     applies. Files stay, and partitions are found again."""
-    if spark.catalog.tableExists(table) and not is_external(spark, table):
+    known = spark.catalog.tableExists(table)
+    if known and not is_external(spark, table):
         raise ValueError(f"{table} is managed: dropping it would delete its files")
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
-    declare_table(spark, table, schema, partition_column, location)
+    declare_table(spark, table, schema, partition_column, location, make_folder=not known)
     if partition_column:
         recover_partitions(spark, table)

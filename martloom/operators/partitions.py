@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions import in_date_suffix_range
-from martloom.sources.tables import is_external, list_partitions, partition_columns
+from martloom.sources.tables import is_external, list_partitions, partition_columns, table_location
 
 # Fixed value: the folder name of the NULL partition.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -61,6 +61,10 @@ def drop_partitions(spark: SparkSession, table: str, partitions: DataFrame) -> i
     if is_external(spark, table):
         for name in names:
             _empty_partition(spark, table, name)
+    return _drop_from_catalog(spark, table, names)
+
+
+def _drop_from_catalog(spark: SparkSession, table: str, names: list[str]) -> int:
     for start in range(0, len(names), _SPECS_PER_STATEMENT):
         args = {"t": table}
         specs = ", ".join(_spec(name, args) for name in names[start : start + _SPECS_PER_STATEMENT])
@@ -68,10 +72,21 @@ def drop_partitions(spark: SparkSession, table: str, partitions: DataFrame) -> i
     return len(names)
 
 
+def _empty_table(spark: SparkSession, table: str) -> None:
+    """Delete the files of all partitions of an external table at once."""
+    schema, keys = spark.table(table).schema, partition_columns(spark, table)
+    nothing = spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(*keys)
+    nothing.option("partitionOverwriteMode", "static").parquet(table_location(spark, table))
+
+
 def truncate_partitions(spark: SparkSession, table: str, from_date: str = "", to_date: str = "") -> int:
     """Drop the partitions whose date suffix lies in ``[from_date, to_date]``;
     without bounds, all of them."""
     listed = list_partitions(spark, table)
+    if not from_date and not to_date:
+        if is_external(spark, table):
+            _empty_table(spark, table)
+        return _drop_from_catalog(spark, table, [row["partition"] for row in listed.collect()])
     return drop_partitions(
         spark, table, listed.where(in_date_suffix_range(F.col("partition"), from_date, to_date))
     )

@@ -3,20 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martloom.functions import narrow_to
-from martloom.sources.tables import describe, partition_columns
-
-
-def _require_dynamic_overwrite(spark: SparkSession, table: str) -> None:
-    """Static mode would wipe every other partition, so refuse it."""
-    stored = describe(spark, table).where(F.col("col_name") == "Storage Properties").first()
-    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    if stored is not None and "partitionOverwriteMode=" in stored["data_type"]:
-        mode = stored["data_type"].split("partitionOverwriteMode=")[1].split(",")[0].rstrip("]")
-    if mode.lower() != "dynamic":
-        raise ValueError(f"{table} is not in dynamic partition overwrite mode")
+from martloom.sources.tables import table_facts
 
 
 def overwrite_partitions(
@@ -31,13 +20,16 @@ def overwrite_partitions(
     date in a single task nor one small file per task and date can result.
     """
     spark = df.sparkSession
-    keys = partition_columns(spark, table)
-    if not keys:
+    facts = table_facts(spark, table)
+    if not facts.partition_columns:
         raise ValueError(f"{table} is not partitioned")
-    _require_dynamic_overwrite(spark, table)
+    mode = facts.overwrite_mode or spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    if mode.lower() != "dynamic":
+        # Static mode would wipe every other partition.
+        raise ValueError(f"{table} is not in dynamic partition overwrite mode")
     rows = narrow_to(df, spark.table(table).schema, on_overflow)
     if rebalance:
-        rows = rows.hint("rebalance", *keys)
+        rows = rows.hint("rebalance", *facts.partition_columns)
     rows.write.insertInto(table, overwrite=True)
 
 

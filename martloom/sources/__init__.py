@@ -8,6 +8,7 @@ from martloom.sources.tables import (
     scan_partition,
     scan_partition_path,
     scan_table,
+    table_facts,
     table_location,
 )
 
@@ -20,6 +21,7 @@ __all__ = [
     "scan_partition",
     "scan_partition_path",
     "scan_table",
+    "table_facts",
     "table_location",
     "touched_partitions",
 ]
