@@ -6,22 +6,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_WIDTH = {T.ByteType(): 1, T.ShortType(): 2, T.IntegerType(): 4, T.LongType(): 8}
 
-def narrow(column: Column, to: T.DataType, label: str, on_overflow: str = "raise") -> Column:
+
+def _always_fits(source: T.DataType | None, to: T.DataType) -> bool:
+    if source is None:
+        return False
+    if isinstance(to, (T.FloatType, T.DoubleType)):
+        return isinstance(source, T.NumericType)
+    if source in _WIDTH and to in _WIDTH:
+        return _WIDTH[source] <= _WIDTH[to]
+    return isinstance(to, T.StringType) and isinstance(source, T.AtomicType)
+
+
+def narrow(
+    column: Column,
+    to: T.DataType,
+    label: str,
+    on_overflow: str = "raise",
+    source: T.DataType | None = None,
+) -> Column:
     """Cast that either fails or yields NULL for a value that does not fit.
 
     Both choices are spelled out, so neither depends on the session's ANSI
-    setting.
+    setting. A known ``source`` type that always fits needs no check.
     """
+    if on_overflow not in ("raise", "null"):
+        raise ValueError(f"on_overflow must be 'raise' or 'null', got {on_overflow!r}")
+    if _always_fits(source, to):
+        return column.cast(to)
     cast = column.try_cast(to)
     if on_overflow == "null":
         return cast
-    if on_overflow != "raise":
-        raise ValueError(f"on_overflow must be 'raise' or 'null', got {on_overflow!r}")
-    lost = column.isNotNull() & cast.isNull()
     message = F.concat(
         F.lit(f"{label}: value does not fit {to.simpleString()}: "), column.cast("string")
     )
+    lost = column.isNotNull() & cast.isNull()
     return F.when(lost, F.raise_error(message).cast(to)).otherwise(cast)
 
 
@@ -33,11 +53,11 @@ def narrow_to(df: DataFrame, schema: T.StructType, on_overflow: str = "raise") -
     if missing or extra:
         raise ValueError(f"columns do not match the table: missing {missing}, unknown {extra}")
     types = {field.name: field.dataType for field in df.schema}
-    return df.select(
-        *(
-            F.col(f"`{field.name}`")
-            if types[field.name] == field.dataType
-            else narrow(F.col(f"`{field.name}`"), field.dataType, field.name, on_overflow).alias(field.name)
-            for field in schema
-        )
-    )
+
+    def fitted(field: T.StructField) -> Column:
+        column, source = F.col(f"`{field.name}`"), types[field.name]
+        if source == field.dataType:
+            return column
+        return narrow(column, field.dataType, field.name, on_overflow, source).alias(field.name)
+
+    return df.select(*(fitted(field) for field in schema))

@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,10 @@ _HOT = "__hot_key"
 _ROWS = "__salt_rows"
 _COLUMNS = "__salt_columns"
 
+# Types whose values are equal exactly when they are the same value, so that a
+# key has one entry among the hot keys. Other types join without salts.
+_SALTED_TYPES = {"tinyint", "smallint", "int", "bigint", "string", "date"}
+
 
 @dataclass(frozen=True)
 class HotKeys:
@@ -66,13 +70,19 @@ def _side(df: DataFrame, key: str, side: str, policy: HotKeys) -> DataFrame:
     )
 
 
+def _shuffle_width(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(2, int(initial or spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_key_grid(
     left: DataFrame, left_key: str, right: DataFrame, right_key: str, policy: HotKeys
 ) -> list[tuple]:
     """``(key, grid rows, grid columns)`` of each hot key; at most
     ``2 / share + 1`` entries. NULL is an entry when it is hot on the left."""
     sides = _side(left, left_key, "left", policy).unionByName(_side(right, right_key, "right", policy))
-    width = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    width = _shuffle_width(left.sparkSession)
     grid: dict = {}
     for side in sides.collect():
         at_least = max(policy.min_rows, policy.share * side["rows"])
@@ -106,7 +116,9 @@ def left_join(
     if clash:
         raise ValueError(f"both sides supply {sorted(clash)}")
     right = right.select(F.col(right_key).alias(_RIGHT), *columns)
-    grid = hot_key_grid(left, left_key, right, _RIGHT, hot_keys) if hot_keys else []
+    left_type, right_type = left.schema[left_key].dataType, right.schema[_RIGHT].dataType
+    saltable = left_type == right_type and left_type.simpleString() in _SALTED_TYPES
+    grid = hot_key_grid(left, left_key, right, _RIGHT, hot_keys) if hot_keys and saltable else []
     if not grid:
         return left.join(right, left[left_key] == right[_RIGHT], "left").drop(_RIGHT)
     return _salted(left, right, left_key, columns, grid)

@@ -15,9 +15,11 @@ def overwrite_partitions(
     changes nothing. Columns are matched by name and narrowed to the table's
     types.
 
-    ``rebalance`` shuffles rows by partition before the write: adaptive
-    execution splits a large partition and merges small ones, so neither one
-    date in a single task nor one small file per task and date can result.
+    ``rebalance`` shuffles rows by partition before the write, for results of
+    many dates: adaptive execution splits a large partition and merges small
+    ones, so neither one date in a single task nor one small file per task and
+    date can result. Without adaptive execution nothing would split a large
+    partition, and rows are written where they are.
     """
     spark = df.sparkSession
     facts = table_facts(spark, table)
@@ -28,7 +30,7 @@ def overwrite_partitions(
         # Static mode would wipe every other partition.
         raise ValueError(f"{table} is not in dynamic partition overwrite mode")
     rows = narrow_to(df, spark.table(table).schema, on_overflow)
-    if rebalance:
+    if rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", *facts.partition_columns)
     rows.write.insertInto(table, overwrite=True)
 

@@ -59,7 +59,7 @@ def mart_step(config: RunConfig) -> Step:
             config.on_overflow,
         )
 
-    return Step(config.target, transform, config.on_overflow)
+    return Step(config.target, transform, config.on_overflow, rebalance=False)
 
 
 def run_mart_job(

@@ -86,9 +86,13 @@ def build_mart(
     on_overflow: str = "raise",
     hot_keys: HotKeys | None = HotKeys(),
 ) -> None:
-    """Compute one report date and replace that partition of ``target``."""
+    """Compute one report date and replace that partition of ``target``.
+
+    A single date needs no shuffle before the write: every task adds to the
+    same partition, and compaction settles the file count.
+    """
     rows = mart_rows(profile, reference, spec, date, load_id, run_start, on_overflow, hot_keys)
-    overwrite_partitions(rows, target)
+    overwrite_partitions(rows, target, rebalance=False)
 
 
 def newest_loaded_date(spark: SparkSession, table: str, partition_column: str) -> str | None:

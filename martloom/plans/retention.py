@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.config import Lifetime
 from martloom.functions import partition_value, retention_cutoff, run_start_timestamp
+from martloom.operators.ddl import recover_partitions
 from martloom.operators.partitions import drop_partitions
 from martloom.sources.files import partition_inventory
 from martloom.sources.tables import list_partitions, table_location
@@ -45,10 +46,20 @@ def apply_retention(
     """Drop expired partitions, files and catalog entries. Returns how many.
 
     Partitions modified after the run's start second are never candidates.
+    Names decide first, so only the folders of partitions past the cutoff are
+    listed, not the whole table.
     """
+    recover_partitions(spark, table)
+    listed = list_partitions(spark, table)
+    none_touched = spark.createDataFrame([], f"`{partition_column}` string")
+    past = retention_plan(listed, none_touched, partition_column, run_start, lifetime).where("expired")
+    names = [row["partition"] for row in past.select("partition").collect()]
+    if not names:
+        return 0
+    location = table_location(spark, table)
     after = datetime.fromisoformat(run_start) + timedelta(seconds=1)
     touched = partition_inventory(
-        spark, table_location(spark, table), partition_column, since=after.isoformat(sep=" ")
+        spark, [f"{location}/{name}" for name in names], partition_column, since=after.isoformat(sep=" ")
     )
-    plan = retention_plan(list_partitions(spark, table), touched, partition_column, run_start, lifetime)
+    plan = retention_plan(listed, touched, partition_column, run_start, lifetime)
     return drop_partitions(spark, table, plan.where("expired"))

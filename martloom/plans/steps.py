@@ -15,11 +15,13 @@ from martloom.plans.audit import last_step
 
 @dataclass(frozen=True)
 class Step:
-    """One table and the function ``(spark, params) -> DataFrame`` of its rows."""
+    """One table and the function ``(spark, params) -> DataFrame`` of its rows.
+    ``rebalance`` suits results of many dates, see ``overwrite_partitions``."""
 
     table: str
     transform: Callable[[SparkSession, Mapping], DataFrame]
     on_overflow: str = "raise"
+    rebalance: bool = True
 
 
 @dataclass(frozen=True)
@@ -58,7 +60,8 @@ def run_steps(
         raise ValueError(f"steps must be numbered 1..{total} without gaps, got {sorted(groups)}")
 
     def write(step: Step) -> None:
-        overwrite_partitions(step.transform(spark, params), step.table, step.on_overflow)
+        rows = step.transform(spark, params)
+        overwrite_partitions(rows, step.table, step.on_overflow, step.rebalance)
 
     done = min(done, total)
     for number in range(done + 1, total + 1):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -26,10 +27,23 @@ SESSION_CONF = {
 }
 
 
-def build_session(app_name: str, conf: dict[str, str] | None = None, hive: bool = False) -> SparkSession:
-    """A session with this library's defaults; ``conf`` wins over them."""
+def build_session(
+    app_name: str,
+    conf: dict[str, str] | None = None,
+    hive: bool = False,
+    input_bytes: int | None = None,
+) -> SparkSession:
+    """A session with this library's defaults; ``conf`` wins over them.
+
+    ``input_bytes`` is what the largest join reads. Shuffles then start with
+    one partition per block of it, and adaptive execution merges small ones.
+    """
+    sized = {}
+    if input_bytes:
+        start = max(200, math.ceil(input_bytes / BLOCK_BYTES))
+        sized["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(start)
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SESSION_CONF, **(conf or {})}.items():
+    for key, value in {**SESSION_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     if hive:
         builder = builder.enableHiveSupport()
