@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _WIDTH = {T.ByteType(): 1, T.ShortType(): 2, T.IntegerType(): 4, T.LongType(): 8}
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def _always_fits(source: T.DataType | None, to: T.DataType) -> bool:
@@ -19,6 +20,19 @@ def _always_fits(source: T.DataType | None, to: T.DataType) -> bool:
     return isinstance(to, T.StringType) and isinstance(source, T.AtomicType)
 
 
+def _in_range(column: Column, source: T.DataType | None, to: T.DataType) -> Column | None:
+    """Whether a number fits an integer type, where bounds can tell. A fraction
+    is cut off, so everything short of the next integer fits."""
+    if to not in _WIDTH:
+        return None
+    limit = 2 ** (8 * _WIDTH[to] - 1)
+    if source in _WIDTH:
+        return column.between(-limit, limit - 1)
+    if isinstance(source, _FRACTIONAL) and to != T.LongType():
+        return (column > -limit - 1) & (column < limit)
+    return None
+
+
 def narrow(
     column: Column,
     to: T.DataType,
@@ -29,20 +43,24 @@ def narrow(
     """Cast that either fails or yields NULL for a value that does not fit.
 
     Both choices are spelled out, so neither depends on the session's ANSI
-    setting. A known ``source`` type that always fits needs no check.
+    setting. A known ``source`` type that always fits needs no check; numbers
+    are compared with the bounds, which is far cheaper than a failing cast.
     """
     if on_overflow not in ("raise", "null"):
         raise ValueError(f"on_overflow must be 'raise' or 'null', got {on_overflow!r}")
     if _always_fits(source, to):
         return column.cast(to)
-    cast = column.try_cast(to)
+    fits = _in_range(column, source, to)
+    cast = column.try_cast(to) if fits is None else F.when(fits, column.cast(to))
     if on_overflow == "null":
         return cast
     message = F.concat(
         F.lit(f"{label}: value does not fit {to.simpleString()}: "), column.cast("string")
     )
-    lost = column.isNotNull() & cast.isNull()
-    return F.when(lost, F.raise_error(message).cast(to)).otherwise(cast)
+    lost = column.isNotNull() & cast.isNull() if fits is None else ~fits
+    return F.when(lost, F.raise_error(message).cast(to)).otherwise(
+        cast if fits is None else column.cast(to)
+    )
 
 
 def narrow_to(df: DataFrame, schema: T.StructType, on_overflow: str = "raise") -> DataFrame:

@@ -81,6 +81,9 @@ def hot_key_grid(
 ) -> list[tuple]:
     """``(key, grid rows, grid columns)`` of each hot key; at most
     ``2 / share + 1`` entries. NULL is an entry when it is hot on the left."""
+    counts = left.agg(F.count("*").alias("rows")).union(right.agg(F.count("*")))
+    if counts.agg(F.max("rows")).first()[0] < policy.min_rows:
+        return []
     sides = _side(left, left_key, "left", policy).unionByName(_side(right, right_key, "right", policy))
     width = _shuffle_width(left.sparkSession)
     grid: dict = {}

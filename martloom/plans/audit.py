@@ -101,20 +101,27 @@ def run_stats(
     is_change: int,
     today: str | None = None,
 ) -> DataFrame:
-    """The five statistics of a run, one row each."""
-    if today is None:
-        today = spark.range(1).select(F.current_date().cast("string").alias("d")).first()["d"]
-    values = [
-        (STAT_TODAY, today),
-        (STAT_CHANGE, str(is_change)),
-        (STAT_NEWEST_DATE, newest_date),
-        (STAT_RUN_START, run_start),
-        (STAT_APPLICATION, spark.sparkContext.applicationId),
-    ]
-    return spark.createDataFrame(
-        [(load_id, entity_id, stat_id, value) for stat_id, value in values], RUN_STATS_SCHEMA
+    """The five statistics of a run, one row each, as ``RUN_STATS_SCHEMA``."""
+    values = {
+        STAT_TODAY: F.current_date() if today is None else F.lit(today),
+        STAT_CHANGE: F.lit(is_change),
+        STAT_NEWEST_DATE: F.lit(newest_date),
+        STAT_RUN_START: F.lit(run_start),
+        STAT_APPLICATION: F.lit(spark.sparkContext.applicationId),
+    }
+    stats = F.array(
+        *(
+            F.struct(
+                F.lit(load_id).alias("loading_id"),
+                F.lit(entity_id).alias("entity_id"),
+                F.lit(stat_id).alias("stat_id"),
+                value.cast("string").alias("value"),
+            )
+            for stat_id, value in values.items()
+        )
     )
+    return spark.range(0, 1, 1, 1).select(F.inline(stats))
 
 
 def write_run_stats(stats: DataFrame, table: str) -> None:
-    stats.coalesce(1).write.insertInto(table, overwrite=False)
+    stats.write.insertInto(table, overwrite=False)

@@ -121,6 +121,16 @@ def test_narrowing_to_null(spark):
     assert [r["n"] for r in narrow_to(rows, SHORT, "null").collect()] == [32767, None, -32768, None, None]
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(20,2)", "bigint", "float"])
+@pytest.mark.parametrize("to", [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()])
+def test_narrowing_of_numbers_agrees_with_try_cast(spark, kind, to):
+    edges = [f"{s}{2 ** b + d}{f}" for b in (7, 15, 31) for s in ("", "-") for d in (-1, 0, 1) for f in ("", ".99")]
+    numbers = spark.createDataFrame([(e,) for e in [*edges, "0", None, "NaN", "Infinity"]], "s string")
+    rows = numbers.select(F.col("s").try_cast(kind).alias("n"), F.col("s").try_cast(kind).try_cast(to).alias("want"))
+    out = narrow_to(rows.select("n"), T.StructType([T.StructField("n", to)]), "null")
+    assert [r["n"] for r in out.collect()] == [r["want"] for r in rows.collect()]
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_narrowing_raises_in_either_mode(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom import sources
 from martloom.config import Lifetime, RunConfig
@@ -228,20 +229,18 @@ def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def narrow_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = given(spark, sf_dir, "orders")
-    small, single = MART_SHORT, MART_FLOAT
+    key, price = F.col("o_orderkey") * 7, F.col("o_totalprice")
+    whole, text = F.floor(price), F.substring("o_orderpriority", 1, 1)
+    small, big, double = T.ShortType(), T.LongType(), T.DoubleType()
     return orders.select(
         "o_orderkey",
-        narrow(F.col("o_orderkey") * 7, small, "key", "null").alias("key_small"),
-        narrow(F.floor("o_totalprice"), small, "price", "null").alias("price_small"),
-        narrow(F.substring("o_orderpriority", 1, 1), small, "priority").alias("priority_small"),
-        narrow(F.col("o_totalprice"), single, "price").alias("price_float"),
+        narrow(key, small, "key", "null", source=big).alias("key_small"),
+        narrow(whole, small, "price", "null", source=big).alias("price_small"),
+        narrow(text, small, "priority", source=T.StringType()).alias("priority_small"),
+        narrow(price, T.FloatType(), "price", source=double).alias("price_float"),
     )
 
 
-MART_SHORT = CORPORATE_MART.schema["days_from_registration"].dataType
-MART_FLOAT = CORPORATE_MART.schema["balance_rs"].dataType
-
-
 def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.lit("/marts/status="), "o_orderstatus", F.lit("/report_dt="), _PART)
     return monthly_orders(spark, sf_dir).select("o_orderkey", path.alias("path"))
@@ -441,9 +440,9 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     started = run_start(spark)
     table = Workspace(spark).monthly(orders.where("o_orderstatus = 'F'"))
     orders.where("o_orderstatus <> 'F'").write.insertInto(table)
-    before = compaction_plan(_sizes(spark, table), _SMALL_BLOCK).select(_PART, "target_files")
+    before = compaction_plan(_sizes(spark, table)).select(_PART, "target_files")
     planned = spark.createDataFrame(before.collect(), before.schema)
-    compact_partitions(spark, table, _PART, started, _SMALL_BLOCK)
+    compact_partitions(spark, table, _PART, started)
     per_month = spark.table(table).groupBy(_PART).agg(
         F.count("*").alias("n_rows"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
     )
