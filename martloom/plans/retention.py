@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.config import Lifetime
-from martloom.functions import partition_value, retention_cutoff, run_start_timestamp
+from martloom.functions import partition_value, retention_cutoff
 from martloom.operators.ddl import recover_partitions
 from martloom.operators.partitions import drop_partitions
 from martloom.sources.files import partition_inventory
@@ -25,7 +25,7 @@ def retention_plan(
     value does not: a partition dated on the cutoff day itself expires.
     ``touched`` holds the partition values written in this run.
     """
-    cutoff = retention_cutoff(run_start_timestamp(F.lit(run_start)), lifetime)
+    cutoff = retention_cutoff(F.to_timestamp_ntz(F.lit(run_start)), lifetime)
     mark = touched.select(F.col(partition_column).alias("value")).distinct().withColumn("touched", F.lit(True))
     return (
         partitions.select("partition", partition_value("partition", partition_column).alias("value"))

@@ -6,7 +6,7 @@ the executors. Only names, lengths and times are read, never file contents.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ def partition_inventory(
     """One row per Parquet file below ``location`` that belongs to a partition:
     the partition value as its folder spells it, path, length, time.
 
-    ``since`` keeps files modified at or after that second; the other files
-    are dropped while listing and cost no task.
+    ``since``, a run timestamp in the session's zone, keeps files modified at
+    or after that second; the others are dropped while listing and cost no task.
     """
     reader = (
         spark.read.format("binaryFile")
@@ -32,9 +32,11 @@ def partition_inventory(
         .option("pathGlobFilter", "*.parquet")
     )
     if since is not None:
-        # The reader's bound is exclusive, ours is inclusive.
-        bound = datetime.fromisoformat(since) - timedelta(milliseconds=1)
-        reader = reader.option("modifiedAfter", bound.isoformat(timespec="milliseconds"))
+        # The reader's bound is exclusive, ours is inclusive. It is stated in
+        # UTC because only there the reader takes it without a shift.
+        millis = spark.range(1).select(F.unix_millis(run_start_timestamp(F.lit(since)))).first()[0] - 1
+        bound = datetime.fromtimestamp(millis // 1000, UTC).strftime("%Y-%m-%dT%H:%M:%S")
+        reader = reader.option("timeZone", "UTC").option("modifiedAfter", f"{bound}.{millis % 1000:03d}")
     return (
         reader.load(location)
         .where(F.contains("path", F.lit(f"/{partition_column}=")))

@@ -79,6 +79,19 @@ def test_date_suffix_range(spark, low, high, kept):
 def test_retention_cutoff(spark, start, lifetime, cutoff):
     row = spark.createDataFrame([(start,)], "s string")
     assert values(row, retention_cutoff(F.to_timestamp("s"), lifetime)) == [cutoff]
+    assert values(row, retention_cutoff(F.to_timestamp_ntz("s"), lifetime)) == [cutoff]
+
+
+def test_retention_cutoff_ignores_summer_time(spark):
+    row = spark.createDataFrame([("2024-04-02 00:30:00",), ("2024-11-05 00:30:00",)], "s string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        cutoffs = values(row, retention_cutoff(F.to_timestamp("s"), Lifetime(days=30)))
+        gap = values(row.limit(1), retention_cutoff(F.to_timestamp_ntz(F.lit("2024-04-10 02:30:00")), Lifetime(months=1)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert cutoffs == ["2024-03-03 00:30:00", "2024-10-06 00:30:00"]
+    assert gap == ["2024-03-10 02:30:00"]
 
 
 @settings(max_examples=15, deadline=None)
@@ -91,7 +104,7 @@ def test_retention_cutoff_agrees_with_calendar_subtraction(spark, starts, days,
         days = 1
     starts = [start.replace(microsecond=0) for start in starts]
     rows = spark.createDataFrame([(str(start),) for start in starts], "s string")
-    got = values(rows, retention_cutoff(F.to_timestamp("s"), Lifetime(days, months, years)))
+    got = values(rows, retention_cutoff(F.to_timestamp_ntz("s"), Lifetime(days, months, years)))
     want = [start - relativedelta(days=days, months=months, years=years) for start in starts]
     assert got == [w.strftime("%Y-%m-%d %H:%M:%S") for w in want]
 

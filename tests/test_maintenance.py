@@ -67,7 +67,14 @@ def test_inventory_ignores_markers_and_files_outside_partitions(spark, space):
     assert set(files(spark, table)) == {"d1"}
 
 
-def test_touched_partitions_and_since(spark, space):
+@pytest.fixture(params=["UTC", "America/New_York", "Asia/Kolkata", "+03:00"])
+def zone(request, spark):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_touched_partitions_and_since(spark, space, zone):
     table = make(spark, space, ["d1", "d2", "d3"])
     started = next_second(spark)
     overwrite_partitions(spark.table(table).where("report_dt = 'd2'"), table)
@@ -115,7 +122,7 @@ def test_compaction_splits_by_bytes(spark, space):
     assert max(counts) < 2 * min(counts)
 
 
-def test_compaction_of_touched_partitions_only(spark, space):
+def test_compaction_of_touched_partitions_only(spark, space, zone):
     table = make(spark, space, ["d1", "d2", "d3"])
     started = next_second(spark)
     again = spark.table(table).where("report_dt = 'd2'").repartition(4)

@@ -263,7 +263,7 @@ def report_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retention_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = F.col("o_orderdate").cast("string")
-    started = F.to_timestamp(F.concat(F.substring(ordered, 1, 10), F.lit(" 06:30:00")))
+    started = F.to_timestamp_ntz(F.concat(F.substring(ordered, 1, 10), F.lit(" 06:30:00")))
     return given(spark, sf_dir, "orders").select(
         "o_orderkey",
         retention_cutoff(started, Lifetime(months=14)).alias("months_only"),
