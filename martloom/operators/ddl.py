@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from martloom.sources.literals import literal_rows
 from martloom.sources.tables import is_external
 
 
@@ -31,7 +32,7 @@ def declare_table(
     if location and not known and make_folder:
         # An external folder may not exist yet; an empty append makes it, so
         # that listings of a table without rows find an empty folder.
-        spark.createDataFrame([], spark.table(table).schema).write.insertInto(table)
+        literal_rows(spark, [], spark.table(table).schema).write.insertInto(table)
 
 
 def recover_partitions(spark: SparkSession, table: str) -> None:

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.sources.literals import literal_rows
+
 _RIGHT = "__right_key"
 _ROW = "__salt_row"
 _COLUMN = "__salt_column"
@@ -130,7 +132,8 @@ def left_join(
 def _salted(left: DataFrame, right: DataFrame, left_key: str, columns, grid: list[tuple]) -> DataFrame:
     spark = left.sparkSession
     key_type = left.schema[left_key].dataType
-    hot = spark.createDataFrame(
+    hot = literal_rows(
+        spark,
         grid,
         T.StructType(
             [

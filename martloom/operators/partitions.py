@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions import in_date_suffix_range
+from martloom.sources.literals import literal_rows
 from martloom.sources.tables import is_external, list_partitions, partition_columns, table_location
 
 # Fixed value: the folder name of the NULL partition.
@@ -75,7 +76,7 @@ def _drop_from_catalog(spark: SparkSession, table: str, names: list[str]) -> int
 def _empty_table(spark: SparkSession, table: str) -> None:
     """Delete the files of all partitions of an external table at once."""
     schema, keys = spark.table(table).schema, partition_columns(spark, table)
-    nothing = spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(*keys)
+    nothing = literal_rows(spark, [], schema).write.mode("overwrite").partitionBy(*keys)
     nothing.option("partitionOverwriteMode", "static").parquet(table_location(spark, table))
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martloom.functions import narrow_to
+from martloom.sources.literals import literal_rows
 from martloom.sources.tables import table_facts
 
 
@@ -43,5 +43,5 @@ def append_row(spark: SparkSession, table: str, **values) -> None:
     unknown = sorted(set(values) - set(schema.fieldNames()))
     if unknown:
         raise ValueError(f"{table} has no columns {unknown}")
-    row = [F.lit(values.get(field.name)).cast(field.dataType).alias(field.name) for field in schema]
-    spark.range(0, 1, 1, 1).select(*row).write.insertInto(table, overwrite=False)
+    row = tuple(values.get(name) for name in schema.fieldNames())
+    literal_rows(spark, [row], schema).write.insertInto(table, overwrite=False)

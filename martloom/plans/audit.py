@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom import session
 from martloom.functions import change_flag
+from martloom.functions.partition_text import DATE_LENGTH
 from martloom.operators.aggregates import count_where
 from martloom.operators.sinks import append_row
+from martloom.sources.literals import literal_rows
 
 # Names, types and order of the audit table's columns.
 AUDIT_SCHEMA = T.StructType(
@@ -103,24 +106,14 @@ def run_stats(
 ) -> DataFrame:
     """The five statistics of a run, one row each, as ``RUN_STATS_SCHEMA``."""
     values = {
-        STAT_TODAY: F.current_date() if today is None else F.lit(today),
-        STAT_CHANGE: F.lit(is_change),
-        STAT_NEWEST_DATE: F.lit(newest_date),
-        STAT_RUN_START: F.lit(run_start),
-        STAT_APPLICATION: F.lit(spark.sparkContext.applicationId),
+        STAT_TODAY: today or session.run_start(spark)[:DATE_LENGTH],
+        STAT_CHANGE: str(is_change),
+        STAT_NEWEST_DATE: newest_date,
+        STAT_RUN_START: run_start,
+        STAT_APPLICATION: spark.sparkContext.applicationId,
     }
-    stats = F.array(
-        *(
-            F.struct(
-                F.lit(load_id).alias("loading_id"),
-                F.lit(entity_id).alias("entity_id"),
-                F.lit(stat_id).alias("stat_id"),
-                value.cast("string").alias("value"),
-            )
-            for stat_id, value in values.items()
-        )
-    )
-    return spark.range(0, 1, 1, 1).select(F.inline(stats))
+    rows = [(load_id, entity_id, stat_id, value) for stat_id, value in values.items()]
+    return literal_rows(spark, rows, RUN_STATS_SCHEMA)
 
 
 def write_run_stats(stats: DataFrame, table: str) -> None:

@@ -6,15 +6,25 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.config import BLOCK_BYTES
 from martloom.functions import target_file_count
 from martloom.operators.partitions import stored_value
 from martloom.operators.sinks import overwrite_partitions
 from martloom.sources.files import partition_inventory, partition_sizes
+from martloom.sources.literals import literal_rows
 from martloom.sources.tables import table_location
 
 
+_SLOTS = (
+    T.StructType()
+    .add("__value", T.StringType())
+    .add("__first", T.LongType())
+    .add("__files", T.LongType())
+)
+
+
 def compaction_plan(sizes: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``sizes`` (files and bytes per partition) with ``target_files``. Empty
     partitions need no work and are left out."""
@@ -58,9 +68,7 @@ def compact_partitions(
     values = [stored_value(row[partition_column]) for row in plan]
     counts = [row["target_files"] for row in plan]
     firsts = [0, *accumulate(counts)]
-    slots = spark.createDataFrame(
-        list(zip(values, firsts, counts, strict=False)), "__value string, __first bigint, __files bigint"
-    )
+    slots = literal_rows(spark, list(zip(values, firsts, counts, strict=False)), _SLOTS)
     column = F.col(partition_column)
     named = column.isin([value for value in values if value is not None])
     rows = spark.table(table).where(named | column.isNull() if None in values else named)

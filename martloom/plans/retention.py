@@ -51,7 +51,7 @@ def apply_retention(
     """
     recover_partitions(spark, table)
     listed = list_partitions(spark, table)
-    none_touched = spark.createDataFrame([], f"`{partition_column}` string")
+    none_touched = listed.select(F.lit("").alias(partition_column)).where("false")
     past = retention_plan(listed, none_touched, partition_column, run_start, lifetime).where("expired")
     names = [row["partition"] for row in past.select("partition").collect()]
     if not names:

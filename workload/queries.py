@@ -58,6 +58,7 @@ from martloom.plans import (
 )
 from martloom.plans.audit import RUN_STATS_SCHEMA, STAT_APPLICATION
 from martloom.session import run_start
+from martloom.sources.literals import literal_rows
 from workload.standins import (
     MONTH,
     MONTHLY_SCHEMA,
@@ -441,7 +442,8 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = Workspace(spark).monthly(orders.where("o_orderstatus = 'F'"))
     orders.where("o_orderstatus <> 'F'").write.insertInto(table)
     before = compaction_plan(_sizes(spark, table)).select(_PART, "target_files")
-    planned = spark.createDataFrame(before.collect(), before.schema)
+    # The plan is kept as values: it describes files that are about to go.
+    planned = literal_rows(spark, before.collect(), before.schema)
     compact_partitions(spark, table, _PART, started)
     per_month = spark.table(table).groupBy(_PART).agg(
         F.count("*").alias("n_rows"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
