@@ -117,4 +117,5 @@ def run_stats(
 
 
 def write_run_stats(stats: DataFrame, table: str) -> None:
-    stats.write.insertInto(table, overwrite=False)
+    """Append the few rows of one run as one file."""
+    stats.coalesce(1).write.insertInto(table, overwrite=False)

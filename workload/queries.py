@@ -439,8 +439,9 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files per month, then as many as their bytes ask for."""
     orders = monthly_orders(spark, sf_dir).select(*MONTHLY_SCHEMA.fieldNames())
     started = run_start(spark)
-    table = Workspace(spark).monthly(orders.where("o_orderstatus = 'F'"))
-    orders.where("o_orderstatus <> 'F'").write.insertInto(table)
+    table = Workspace(spark).table("monthly")
+    declare_table(spark, table, MONTHLY_SCHEMA, _PART)
+    overwrite_partitions(orders.repartition(4), table, rebalance=False)
     before = compaction_plan(_sizes(spark, table)).select(_PART, "target_files")
     # The plan is kept as values: it describes files that are about to go.
     planned = literal_rows(spark, before.collect(), before.schema)
