@@ -114,8 +114,12 @@ def left_join(
     """All columns of ``left`` and the named ones of ``right``.
 
     Left rows are always kept, NULL keys included; unmatched rows get NULLs;
-    duplicate right keys multiply left rows. ``hot_keys=None`` leaves skew to
-    adaptive execution and saves the pass over the two key columns.
+    duplicate right keys multiply left rows.
+
+    Finding hot keys counts both inputs, and reads their key columns once more
+    when one of them is large. That is cheap for a stored table; write a
+    derived input to a table first, or pass ``hot_keys=None``, which leaves
+    skew to adaptive execution.
     """
     clash = set(left.columns) & set(columns)
     if clash:

@@ -12,6 +12,7 @@ from martloom.config import RunConfig
 from martloom.functions import partition_value
 from martloom.operators.aggregates import last_partition
 from martloom.operators.ddl import declare_table, recreate_table
+from martloom.operators.joins import HotKeys
 from martloom.plans.audit import AUDIT_SCHEMA, RUN_STATS_SCHEMA, record_run, run_stats, write_run_stats
 from martloom.plans.compaction import compact_partitions
 from martloom.plans.mart import force_reload, mart_rows, resolve_date
@@ -45,7 +46,7 @@ def declare_tables(spark: SparkSession, config: RunConfig) -> None:
     declare_table(spark, config.statistics_table, RUN_STATS_SCHEMA)
 
 
-def mart_step(config: RunConfig) -> Step:
+def mart_step(config: RunConfig, hot_keys: HotKeys | None = HotKeys()) -> Step:
     """The mart build as a step."""
 
     def transform(spark: SparkSession, params: Mapping):
@@ -57,6 +58,7 @@ def mart_step(config: RunConfig) -> Step:
             params["load_id"],
             params["run_start"],
             config.on_overflow,
+            hot_keys,
         )
 
     return Step(config.target, transform, config.on_overflow, rebalance=False)

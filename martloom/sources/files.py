@@ -25,6 +25,10 @@ def partition_inventory(
 
     ``since``, a run timestamp in the session's zone, keeps files modified at
     or after that second; the others are dropped while listing and cost no task.
+
+    Without it, files are packed into tasks by their length although nothing
+    of them is read: for a very large table, bound the number of tasks with
+    ``spark.sql.files.maxPartitionNum``.
     """
     reader = (
         spark.read.format("binaryFile")

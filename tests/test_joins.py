@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martloom.operators import HotKeys, left_join
@@ -43,6 +45,16 @@ def test_matches_a_nested_loop(spark, left, right, hot):
     assert run(spark, left, right, hot) == nested_loop(left, right)
 
 
+KEYS = st.sampled_from(["a", "b", "c", "d", "", None])
+ROWS = st.lists(st.tuples(KEYS, st.integers(0, 3)), max_size=25)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(ROWS, ROWS, st.sampled_from([0.05, 0.2, 0.5]))
+def test_salted_join_of_any_rows(spark, left, right, share):
+    assert run(spark, left, right, HotKeys(share, 1, 64)) == nested_loop(left, right)
+
+
 def test_hot_keys_of_both_sides_and_null_are_found(spark):
     l = spark.createDataFrame(LEFT, "k string, a int")
     r = spark.createDataFrame(RIGHT, "k string, b int")

@@ -1,5 +1,6 @@
 import time
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,7 +205,18 @@ def test_newest_date_skips_partitions_without_rows(spark, space):
         resolve_date(spark, space.table("none"), "report_dt", "2024-01-01", force=False)
 
 
+def stub_session(shared, master):
+    conf = SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
 def test_scratch_folder_follows_the_session(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = scratch_dir(spark), scratch_dir(spark)
-    assert first.startswith(shared) and first != second
+    named = stub_session("hdfs:///shared/", "yarn")
+    first, second = scratch_dir(named), scratch_dir(named)
+    assert first.startswith("hdfs:///shared/martloom/") and first != second
+    assert scratch_dir(stub_session(None, "local[8]")).startswith("/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(stub_session(None, "yarn"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        assert scratch_dir(spark).startswith(shared)

@@ -90,6 +90,27 @@ def test_overwrite_refuses_a_table_in_static_mode(spark, space):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
+def test_rebalance_splits_a_heavy_date_and_merges_light_ones(spark, space):
+    schema = T.StructType().add("a", T.LongType()).add("t", T.StringType()).add("report_dt", T.StringType())
+    declare_table(spark, space.table("mart"), schema, "report_dt")
+    day = F.when(F.col("id") % 3 == 0, "heavy").otherwise(F.concat(F.lit("d"), F.col("id") % 40))
+    data = spark.range(0, 60000, 1, 12).select(
+        F.col("id").alias("a"), F.sha2(F.col("id").cast("string"), 512).alias("t"), day.alias("report_dt")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    try:
+        overwrite_partitions(data, space.table("mart"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    paths = spark.table(space.table("mart")).groupBy("report_dt").agg(
+        F.countDistinct("_metadata.file_path").alias("files"), F.count("*").alias("n")
+    )
+    files = {r["report_dt"]: (r["files"], r["n"]) for r in paths.collect()}
+    assert files.pop("heavy")[0] >= 4
+    assert sum(n for _, n in files.values()) == 40000
+    assert sum(f for f, _ in files.values()) < 12 * len(files) / 2
+
+
 def test_overwrite_narrows_and_fails_whole(spark, mart):
     overwrite_partitions(rows(spark, (1, "d1")), mart)
     with pytest.raises(PySparkException):

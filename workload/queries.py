@@ -68,6 +68,7 @@ from workload.standins import (
     corporate_profile,
     corporate_reference,
     given,
+    monthly_columns,
     monthly_orders,
     orders_profile,
     shared_monthly,
@@ -147,7 +148,7 @@ def touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     while run_start(spark) == started:
         time.sleep(0.1)
     started = run_start(spark)
-    overwrite_partitions(orders.where(F.col("o_totalprice") > 499000), table)
+    overwrite_partitions(monthly_columns(orders.where(F.col("o_totalprice") > 499000)), table)
     return sources.touched_partitions(_sizes(spark, table), started).select(_PART)
 
 
@@ -169,7 +170,7 @@ def recreate_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recovered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark)
     table, folder = space.table("found"), space.path("found")
-    rows = monthly_orders(spark, sf_dir).select(*MONTHLY_SCHEMA.fieldNames())
+    rows = monthly_columns(monthly_orders(spark, sf_dir))
     rows.hint("rebalance", _PART).write.partitionBy(_PART).parquet(folder)
     declare_table(spark, table, MONTHLY_SCHEMA, _PART, folder)
     recover_partitions(spark, table)
@@ -180,14 +181,14 @@ def overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = monthly_orders(spark, sf_dir)
     table = Workspace(spark).monthly(orders)
     changed = filter_report_date(orders, MONTH).withColumn("o_totalprice", -F.col("o_totalprice"))
-    overwrite_partitions(changed, table)
+    overwrite_partitions(monthly_columns(changed), table)
     return spark.table(table).select("o_orderkey", "o_totalprice", _PART)
 
 
 def overwrite_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = monthly_orders(spark, sf_dir)
     table = Workspace(spark).monthly(orders)
-    overwrite_partitions(filter_report_date(orders, "1900-01-01"), table)
+    overwrite_partitions(monthly_columns(filter_report_date(orders, "1900-01-01")), table)
     return spark.table(table).select("o_orderkey", "o_totalprice", _PART)
 
 
@@ -377,10 +378,15 @@ def mart_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corporate_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = Workspace(spark).table("mart")
+    """The profile is computed once, as a stored table; then the mart."""
+    space = Workspace(spark)
+    table = space.table("mart")
     declare_table(spark, table, CORPORATE_MART.schema, _PART)
-    profile, reference = corporate_profile(spark, sf_dir), corporate_reference(spark, sf_dir)
-    build_mart(spark, table, profile, reference, CORPORATE_MART, MONTH, 7, RUN)
+    features, profile = corporate_profile(spark, sf_dir, MONTH), space.table("profile")
+    declare_table(spark, profile, features.select(*CORPORATE_MART.from_profile).schema, _PART)
+    overwrite_partitions(features, profile, rebalance=False)
+    reference = corporate_reference(spark, sf_dir)
+    build_mart(spark, table, spark.table(profile), reference, CORPORATE_MART, MONTH, 7, RUN)
     return spark.table(table)
 
 
@@ -391,7 +397,10 @@ def resolved_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status_step(table: str, sf_dir: str, status: str) -> Step:
-    return Step(table, lambda spark, _: monthly_orders(spark, sf_dir).where(F.col("o_orderstatus") == status))
+    def transform(spark: SparkSession, _) -> DataFrame:
+        return monthly_columns(monthly_orders(spark, sf_dir).where(F.col("o_orderstatus") == status))
+
+    return Step(table, transform)
 
 
 def resumed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,7 +446,7 @@ def planned_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files per month, then as many as their bytes ask for."""
-    orders = monthly_orders(spark, sf_dir).select(*MONTHLY_SCHEMA.fieldNames())
+    orders = monthly_columns(monthly_orders(spark, sf_dir))
     started = run_start(spark)
     table = Workspace(spark).table("monthly")
     declare_table(spark, table, MONTHLY_SCHEMA, _PART)
@@ -487,7 +496,7 @@ def step_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     groups = {
         1: [
-            Step(orders, lambda s, _: monthly_orders(s, sf_dir)),
+            Step(orders, lambda s, _: monthly_columns(monthly_orders(s, sf_dir))),
             Step(customers, lambda s, _: given(s, sf_dir, "customer")),
         ],
         2: [Step(mart, joined)],
@@ -501,7 +510,7 @@ def step_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs: a forced one, and one after a month lost its open orders."""
     space = Workspace(spark)
-    orders, audit = monthly_orders(spark, sf_dir), space.audit()
+    orders, audit = monthly_columns(monthly_orders(spark, sf_dir)), space.audit()
     table = space.monthly(orders)
     newest = f"{_PART}={resolve_date(spark, table, _PART, MONTH, force=False)}"
     record_run(spark, audit, table, 1, "2024-01-16 06:00:00", newest, True, 1, 1)

@@ -63,23 +63,22 @@ def monthly_orders(spark: SparkSession, sf_dir: str, month: str | None = None) -
             & (ordered < F.to_timestamp_ntz(F.lit(f"{after} 00:00:00")))
         )
     report_dt = F.trunc(F.col("o_orderdate").cast("date"), "month").cast("string")
-    return orders.withColumn("report_dt", report_dt).drop("o_orderdate")
+    return orders.withColumn("report_dt", report_dt)
 
 
 def orders_profile(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
-    return monthly_orders(spark, sf_dir, month).withColumnRenamed("o_totalprice", "total")
+    orders = monthly_orders(spark, sf_dir, month).withColumnRenamed("o_totalprice", "total")
+    return orders.drop("o_orderdate")
 
 
-def corporate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corporate_profile(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
     """One row per customer and month with the corporate mart's features."""
-    day = F.dayofmonth(F.col("o_orderdate").cast("date"))
-    month = F.trunc(F.col("o_orderdate").cast("date"), "month").cast("string")
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
     return (
-        given(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").cast("string").alias("inn"), month.alias("report_dt"))
+        monthly_orders(spark, sf_dir, month)
+        .groupBy(F.col("o_custkey").cast("string").alias("inn"), "report_dt")
         .agg(
-            F.max(day).alias("days_from_registration"),
+            F.max(F.dayofmonth(F.col("o_orderdate").cast("date"))).alias("days_from_registration"),
             F.count_if(status == "O").alias("op_tech_other_bank_cnt"),
             F.max(price).alias("balance_rs"),
             F.count_if(status == "F").alias("out_tech_our_bank_contragents"),
@@ -120,6 +119,10 @@ def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def monthly_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(*MONTHLY_SCHEMA.fieldNames())
+
+
 class Workspace:
     """A database of its own in the shared scratch folder. Results are lazy, so
     its files outlive the call that made them."""
@@ -144,7 +147,7 @@ class Workspace:
         table = self.table(name)
         location = self.path(name) if external else None
         declare_table(self.spark, table, MONTHLY_SCHEMA, "report_dt", location)
-        overwrite_partitions(rows, table)
+        overwrite_partitions(monthly_columns(rows), table)
         return table
 
     def audit(self, rows: DataFrame | None = None) -> str:
