@@ -219,6 +219,10 @@ ORACLES = {
         union all
         select 3, '2024-03-16 06:00:00', {_NEWEST}, 0, 0, 1, {_COUNT_AFTER_LOSS}, 0""",
     "mart_job": _mart(12, "2001-08-16 06:00:00", _MONTH),
+    "job_recovery": f"""
+        select load_id as ctl_loading, o_orderkey, step as last_success_step, is_change
+        from ({_MONTHLY}), (values (21, 1, 1), (22, 2, 0)) as r(load_id, step, is_change)
+        where report_dt = '{_MONTH}'""",
     "mart_job_audit": f"""
         select 11 as ctl_loading, '2001-07-16 06:00:00' as ctl_validfrom,
                'report_dt={_MONTH}' as partitions, 1 as is_force_load, 1 as last_success_step,

@@ -37,6 +37,7 @@ from martloom.operators import (
 )
 from martloom.plans import (
     CORPORATE_MART,
+    JobFailed,
     Step,
     apply_retention,
     build_mart,
@@ -57,6 +58,7 @@ from martloom.plans import (
     write_run_stats,
 )
 from martloom.plans.audit import RUN_STATS_SCHEMA, STAT_APPLICATION
+from martloom.plans.job import mart_step
 from martloom.session import run_start
 from martloom.sources.literals import literal_rows
 from workload.standins import (
@@ -520,14 +522,15 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(audit)
 
 
-def _job(spark: SparkSession, sf_dir: str) -> RunConfig:
-    space = Workspace(spark)
+def _job_config(space: Workspace, sf_dir: str) -> RunConfig:
+    """An external mart over a stored profile and a stored reference table."""
+    spark = space.spark
     declare_table(spark, space.table("profile"), orders_profile(spark, sf_dir).schema, _PART)
     overwrite_partitions(orders_profile(spark, sf_dir), space.table("profile"))
     customers = given(spark, sf_dir, "customer")
     declare_table(spark, space.table("reference"), customers.schema)
     customers.write.insertInto(space.table("reference"))
-    config = RunConfig(
+    return RunConfig(
         target=space.table("mart"),
         spec=ORDERS_MART,
         profile=space.table("profile"),
@@ -538,6 +541,10 @@ def _job(spark: SparkSession, sf_dir: str) -> RunConfig:
         audit_location=space.path("audit"),
         entity_id=42,
     )
+
+
+def _job(spark: SparkSession, sf_dir: str) -> RunConfig:
+    config = _job_config(Workspace(spark), sf_dir)
     run_mart_job(spark, config, 11, run_start="2001-07-16 06:00:00", force=True, today="2001-07-16")
     run_mart_job(spark, config, 12, run_start="2001-08-16 06:00:00", today="2001-08-16")
     return config
@@ -552,6 +559,33 @@ def mart_job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_job(spark, sf_dir).audit_table)
 
 
+def job_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose second step fails, and its recovery, which runs only that
+    step: the rows of both tables with the load that wrote them."""
+    space = Workspace(spark)
+    config, second = _job_config(space, sf_dir), space.table("second")
+    declare_table(spark, second, ORDERS_MART.schema, _PART)
+
+    def failing(spark: SparkSession, params) -> DataFrame:
+        broken = F.raise_error(F.lit("not today")).cast("float")
+        return spark.table(config.target).withColumn("total", broken)
+
+    def working(spark: SparkSession, params) -> DataFrame:
+        return spark.table(config.target).withColumn("ctl_loading", F.lit(params["load_id"]))
+
+    first = mart_step(config)
+    try:
+        groups = {1: [first], 2: [Step(second, failing)]}
+        run_mart_job(spark, config, 21, groups, run_start="2001-07-16 06:00:00", force=True)
+    except JobFailed:
+        pass
+    groups = {1: [first], 2: [Step(second, working)]}
+    run_mart_job(spark, config, 22, groups, run_start="2001-08-16 06:00:00", recovery=True)
+    audit = spark.table(config.audit_table).select("ctl_loading", "last_success_step", "is_change")
+    rows = spark.table(config.target).unionByName(spark.table(second)).select("ctl_loading", "o_orderkey")
+    return rows.join(audit, "ctl_loading", "left")
+
+
 QUERIES = {
     "scan_table": scan_table,
     "scan_partition": scan_partition,
@@ -602,4 +636,5 @@ QUERIES = {
     "run_audit": run_audit,
     "mart_job": mart_job,
     "mart_job_audit": mart_job_audit,
+    "job_recovery": job_recovery,
 }
