@@ -3,12 +3,31 @@ tables, and links to groups."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import martloom
 from martloom.session import scratch_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    it need not be installed where they run."""
+    context, root = spark.sparkContext, Path(martloom.__file__).parent
+    if getattr(context, "_martloom_sent", False) or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="martloom-")) / "martloom.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, Path("martloom") / file.relative_to(root))
+    context.addPyFile(str(path))
+    context._martloom_sent = True
+
+
 def fold(doc_id: str | Column) -> Column:
     """crc32 of the id's text, modulo 3; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3

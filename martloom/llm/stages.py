@@ -3,20 +3,27 @@ every row it gets, drops what its operator rejects and keeps the columns."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import langid, simhash
-from martloom.llm.common import held_out
+from martloom.llm import bpe, decontam, langid, pii, simhash
+from martloom.llm.common import held_out, ship
 
 # Below it, a text's n-grams are in no learnt language's order. Texts of the
 # learnt languages score above 0.4, junk around them included.
 MIN_LANGUAGE_SCORE = 0.2
 
 
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# No secret here: a real run passes its own key.
+PSEUDONYM_KEY = "query key"
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and those no learnt profile fits. Profiles
     are learnt from the stage's own rows, as the operator's query does."""
+    ship(spark)
     profiles = langid.fit(docs.where(~held_out("doc_id")))
     judged = docs.withColumn("__found", langid.predict_udf(profiles)(F.col("text")))
     kept = (F.col("__found.lang_pred") != langid.UNDETERMINED) & (F.col("__found.score") >= MIN_LANGUAGE_SCORE)
@@ -25,4 +32,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays."""
+    ship(spark)
     return simhash.keep_one(docs, simhash.near_duplicates(docs))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that ``benchmark`` contaminates."""
+    ship(spark)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.without_contaminated(docs, decontam.find(docs, items))
+
+
+def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts; ``n_chars`` follows a changed
+    text."""
+    out = pii.pseudonymize(docs.withColumn("__before", F.col("text")), PSEUDONYM_KEY)
+    changed = F.col("text") != F.col("__before")
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encodes and decodes the texts that are left."""
+    ship(spark)
+    return bpe.round_trip(docs, RANK_FILE, public_tokenizers.PATTERN)
