@@ -1,0 +1,61 @@
+import base64
+import hashlib
+import random
+import struct
+
+import public_tokenizers as P
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from martloom.llm import bpe
+from martloom.llm.queries import QUERIES
+from martloom.llm.stages import RANK_FILE
+
+RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANK_FILE, "rb"))}
+PLAIN = tiktoken.Encoding("plain", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+ALPHABET = "aZé9 0'sdt .,!?\n\t\r\x1c\x85\xa0  　日本。́²#-"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(ALPHABET), max_size=200), st.integers(1, 9))
+def test_cut_texts_encode_as_whole_ones(text, chunk):
+    assert bpe.encode_text(bpe.encoding(RANK_FILE, P.PATTERN), text, chunk) == PLAIN.encode_ordinary(text)
+
+
+def test_white_space_runs():
+    enc = bpe.encoding(RANK_FILE, P.PATTERN)
+    rng = random.Random(5)
+    for _ in range(40):
+        runs = ["".join(rng.choices(" \n\t\xa0", k=rng.choice([1, 2, 1023, 1024, 1025, 3000]))) for _ in range(4)]
+        text = "".join(r + rng.choice(["a", "1", "!", "'s", ""]) for r in runs)
+        assert bpe.encode_text(enc, text) == PLAIN.encode_ordinary(text)
+    # The library alone fails on a run of this length.
+    long = "a" + " " * 3_000_000 + "b"
+    assert enc.decode_bytes(bpe.encode_text(enc, long)) == long.encode()
+
+
+def test_query_against_the_library(spark, sf, documents):
+    got = {r["doc_id"]: r for r in QUERIES["op3_byte_bpe"](spark, sf).collect()}
+    assert got.keys() == documents.keys()
+    for doc_id, text in documents.items():
+        ids = PLAIN.encode_ordinary(text or "")
+        row = got[doc_id]
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_odd_rows(odd_documents, no_documents):
+    args = (RANK_FILE, P.PATTERN)
+    got = bpe.round_trip(odd_documents, *args).collect()
+    assert sorted((r["decoded_sha256"], r["doc_id"] or -1) for r in got) == sorted(
+        (hashlib.sha256((r["text"] or "").encode()).hexdigest(), r["doc_id"] or -1) for r in odd_documents.collect()
+    )
+    assert bpe.round_trip(no_documents, *args).collect() == []
+
+
+def test_raw_bytes_of_part_of_the_ids(odd_documents):
+    coded = bpe.encode(odd_documents.where("text = 'é ü 日本'"), RANK_FILE, P.PATTERN)
+    data = bpe.decode(coded.selectExpr("slice(ids, 1, size(ids) - 1) AS ids"), RANK_FILE, P.PATTERN).first()["data"]
+    assert "é ü 日本".encode().startswith(bytes(data))
