@@ -77,11 +77,11 @@ def sketch(text: str, size: int = SHINGLE_CHARS, scale: int = SCALE) -> np.ndarr
     if not len(codes):
         return np.empty(0, np.uint64)
     size = min(size, len(codes))
-    threshold = np.uint64((1 << 64) // scale)
+    highest = np.uint64((1 << 64) // scale - 1)
     kept, least = [], None
     for start in range(0, len(codes) - size + 1, _SLICE):
         hashes = shingle_hashes(codes[start : start + _SLICE + size - 1], size)
-        kept.append(hashes[hashes < threshold])
+        kept.append(hashes[hashes <= highest])
         low = hashes.min()
         least = low if least is None or low < least else least
     found = np.unique(np.concatenate(kept))

@@ -1,0 +1,124 @@
+import re
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from martloom.llm import pii
+from martloom.llm.queries import QUERIES
+
+KEY = "test key"
+
+
+def luhn(digits):
+    d = [int(c) for c in digits][::-1]
+    return (sum(d[0::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+
+def replaced(spark, texts, key=KEY):
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, text string")
+    rows = pii.pseudonymize(table, key, kinds="kinds").orderBy("n").collect()
+    return [(r["text"], list(r["kinds"])) for r in rows]
+
+
+def test_query_leaves_no_value(spark, sf, documents):
+    got = {r["doc_id"]: r for r in QUERIES["op7_pii"](spark, sf).collect()}
+    assert got.keys() == documents.keys()
+    patterns = {
+        "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[a-z]+", "ipv4": r"\b\d{1,3}(?:\.\d{1,3}){3}\b",
+        "phone": r"\+1 \(\d{3}\) \d{3}-\d{4}", "card": r"\b\d{16}\b",
+    }
+    maps: dict = {}
+    n = 0
+    for i, text in documents.items():
+        new = got[i]["text"]
+        found = {k: re.findall(p, text) for k, p in patterns.items()}
+        valid = sum(len(v) for k, v in found.items() if k != "card") + sum(luhn(c) for c in found["card"])
+        assert got[i]["n_values"] == valid
+        if not valid:
+            assert new == text
+        for kind, values in found.items():
+            for old, other in zip(values, re.findall(patterns[kind], new), strict=True):
+                if kind == "card" and not luhn(old):
+                    assert old == other
+                    continue
+                n += 1
+                assert maps.setdefault((kind, old), other) == other
+                assert kind != "card" or luhn(other)
+                assert kind != "ipv4" or all(0 <= int(x) < 256 for x in other.split("."))
+    assert n > 20 and len(set(maps.values())) == len(maps)
+    assert sum(old == new for (_, old), new in maps.items()) == 0
+
+
+FORMS = [
+    ("4111 1111 1111 1111", "card", r"\d{4} \d{4} \d{4} \d{4}"),
+    ("5500-0055-5555-5559", "card", r"\d{4}-\d{4}-\d{4}-\d{4}"),
+    ("378282246310005", "card", r"\d{15}"),
+    ("10.0.0.255", "ipv4", r"\d+\.\d+\.\d+\.\d+"),
+    ("078-05-1120", "ssn", r"\d{3}-\d{2}-\d{4}"),
+    ("2024-02-29", "date", r"\d{4}-\d\d-\d\d"),
+    ("31.12.1999", "date", r"\d\d\.\d\d\.\d{4}"),
+    ("1/2/2003", "date", r"\d{1,2}/\d{1,2}/\d{4}"),
+    ("25/12/2003", "date", r"\d\d/\d\d/\d{4}"),
+    ("+44 20 7946 0958", "phone", r"\+44 \d\d \d{4} \d{4}"),
+    ("(212) 555-0123", "phone", r"\(\d{3}\) \d{3}-\d{4}"),
+    ("GB82WEST12345698765432", "iban", r"GB\d\dWEST\d{14}"),
+    ("DE89 3704 0044 0532 0130 00", "iban", r"DE\d\d(?: \d{4}){4} \d\d"),
+    ("Jo.Doe+x@mail.example.co.uk", "email", r"u[0-9a-f]{16}@mail\.example\.co\.uk"),
+]
+
+
+def test_kinds_keep_their_form(spark):
+    found = replaced(spark, [t for v, _, _ in FORMS for t in (f"a {v}, b", f"({v})")])
+    other = replaced(spark, [f"a {v}, b" for v, _, _ in FORMS], "other")
+    for n, (value, kind, form) in enumerate(FORMS):
+        (text, kinds), (again, _) = found[2 * n], found[2 * n + 1]
+        new = text[2:-3]
+        assert kinds == [kind]
+        assert re.fullmatch(form, new) and new != value
+        assert again == f"({new})" and other[n][0] != text
+        if kind == "card":
+            assert luhn(re.sub(r"\D", "", new))
+        if kind == "iban":
+            plain = new.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+        if kind == "date" and "-" in new:
+            date.fromisoformat(new)
+
+
+def test_invalid_values_and_odd_rows(spark, odd_documents, no_documents):
+    same = [
+        "4111111111111112", "256.1.1.1", "1.2.3.4.5", "2023-02-29", "32.1.2020", "000-12-3456", "666-12-3456", "+1 23", "GB00WEST12345698765432",
+        "a@b", "12345678", "v1.2.3", "9995-01-01", "x4111111111111111",
+    ]
+    assert replaced(spark, same) == [(t, []) for t in same]
+    got = pii.pseudonymize(odd_documents, KEY)
+    assert got.columns == odd_documents.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, odd_documents.collect()))
+    assert pii.pseudonymize(no_documents, KEY).collect() == []
+    long = "word " * 50_000 + "4111111111111111 " * 2_000
+    text, kinds = replaced(spark, [long])[0]
+    assert len(kinds) == 2_000 and text[:250_000] == long[:250_000] and len(set(text[250_000:].split())) == 1
+
+
+def test_neighbours_are_separate(spark):
+    text, kinds = replaced(spark, ["4111111111111111 10.0.0.1 +1 (017) 555-7713 152.143.123.131\n2024-01-31"])[0]
+    assert kinds == ["card", "ipv4", "phone", "ipv4", "date"]
+    assert text.startswith(text.split()[0] + " ") and text.count(" ") == 5
+
+
+def test_networks_are_bijections(spark):
+    for a, b in ((7, 11), (10, 10), (1, 13)):
+        pairs = spark.range(a * b).select(
+            pii.feistel(F.floor(F.col("id") / b), F.col("id") % b, F.lit(a).cast("long"), F.lit(b).cast("long"), KEY, "t").alias("p")
+        )
+        assert {(r["p"]["l"], r["p"]["r"]) for r in pairs.collect()} == {(x, y) for x in range(a) for y in range(b)}
+    for n in (2, 3):
+        rows = spark.range(10**n).select(pii.permuted_digits(F.lpad(F.col("id").cast("string"), n, "0"), KEY, "d").alias("d"))
+        assert len({r["d"] for r in rows.collect()}) == 10**n
+    days = spark.range(3000).select(pii._permuted_day(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")), KEY).alias("d"))
+    assert len({r["d"] for r in days.collect()}) == 3000
+
+
+def test_query_runs_no_python(spark, sf):
+    plan = QUERIES["op7_pii"](spark, sf)._jdf.queryExecution().toString()
+    assert not re.search("EvalPython|MapIn|Pandas|CartesianProduct", plan)

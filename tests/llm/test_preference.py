@@ -1,0 +1,73 @@
+from martloom.llm import preference
+from martloom.llm.queries import QUERIES
+
+
+def rendered(turns):
+    return "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in turns)
+
+
+def plain(good, bad):
+    n = 0
+    while n < min(len(good), len(bad)) and good[n] == bad[n]:
+        n += 1
+
+    def spans(turns):
+        out, at = [], 0
+        for r, t in turns:
+            start, end = at + len(f"<|{r}|>\n"), at + len(rendered([(r, t)]))
+            if r == "assistant":
+                out.append((start, end))
+            at = end
+        return out
+
+    return n, rendered(good[:n]), rendered(good[n:]), spans(good[n:]), rendered(bad[n:]), spans(bad[n:])
+
+
+def test_query_against_plain_version(spark, sf):
+    talks: dict = {}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        talks.setdefault(r["conv_id"], []).append((r["turn"], r["role"] or "", r["text"] or ""))
+    cut = {}
+    for i, turns in talks.items():
+        last = max((t for t, role, _ in turns if role == "assistant"), default=None)
+        if last is not None:
+            cut[i] = sorted(set(t for t in turns if t[0] <= last))
+    got = {r["conv_id"]: r for r in QUERIES["op2_preference"](spark, sf).collect()}
+    assert got.keys() == cut.keys()
+    for i, turns in cut.items():
+        other = cut[i + 1][-1][2] if i + 1 in cut else ""
+        good = [t[1:] for t in turns]
+        n, prompt, chosen, spans, rejected, bad_spans = plain(good, [*good[:-1], ("assistant", other)])
+        r = got[i]
+        assert (r["n_shared"], r["prompt"], r["chosen"], r["rejected"]) == (n, prompt, chosen, rejected)
+        assert r["chosen_spans"] == ",".join(f"{a}-{b}" for a, b in spans)
+        assert r["rejected_spans"] == ",".join(f"{a}-{b}" for a, b in bad_spans)
+
+
+SCHEMA = "pair_id long, turn int, role string, text string, good string, n_shared int"
+TALKS = {
+    1: ([("system", "s"), ("user", "hé"), ("assistant", "a")], [("system", "s"), ("user", "hé"), ("assistant", "b"), ("user", "u")]),
+    2: ([("user", "x"), ("assistant", "y")], [("user", "x"), ("assistant", "y")]),
+    3: ([("user", "x")], [("user", "x"), ("assistant", "y" * 50_000)]),
+    4: ([("user", "p"), ("assistant", "q")], [("user", "r")]),
+    5: ([("user", "only chosen"), ("assistant", "z")], []),
+    6: ([], [("assistant", "only rejected")]),
+    7: ([("", ""), ("assistant", "a")], [("", ""), ("user", "a")]),
+}
+
+
+def test_small_cases(spark):
+    sides = []
+    for side in (0, 1):
+        rows = [(i, n, r or None, t or None, "c", 9) for i, both in TALKS.items() for n, (r, t) in enumerate(both[side])]
+        sides.append(spark.createDataFrame([*rows, *rows[:2], (None, 0, "user", "lost", "c", 9)], SCHEMA))
+    got = {r["pair_id"]: r for r in preference.format_pairs(*sides).collect()}
+    assert got.keys() == TALKS.keys()
+    for i, (good, bad) in TALKS.items():
+        n, prompt, chosen, spans, rejected, bad_spans = plain(good, bad)
+        r = got[i]
+        assert (r["n_shared"], r["prompt"], r["chosen"], r["rejected"]) == (n, prompt, chosen, rejected)
+        assert [tuple(s) for s in r["chosen_spans"]] == spans
+        assert [tuple(s) for s in r["rejected_spans"]] == bad_spans
+    empty = sides[0].where("false")
+    assert preference.format_pairs(empty, empty).collect() == []

@@ -1,0 +1,88 @@
+import hashlib
+import random
+
+import pytest
+
+from martloom.llm import sketch
+from martloom.llm.queries import QUERIES
+
+
+def plain_shingles(text):
+    n = min(sketch.SHINGLE_CHARS, len(text))
+    return {text[i : i + n] for i in range(len(text) - n + 1)} if text else set()
+
+
+def test_query_against_plain_version(spark, sf, documents):
+    got = {r["doc_id"]: r for r in QUERIES["op10_fingerprints"](spark, sf).collect()}
+    assert got.keys() == documents.keys()
+    ids = sorted(documents)
+    errors = []
+    for i, follower in zip(ids, ids[1:] + ids[:1], strict=True):
+        text, other = documents[i] or "", documents[follower] or ""
+        n = len(text)
+        edited = text[: n - n // 4] + other[: n // 4]
+        r = got[i]
+        assert r["n_chars"] == n
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["fingerprint"] == sketch.shown(sketch.sketch(text))
+        assert r["edited_fingerprint"] == sketch.shown(sketch.sketch(edited))
+        assert r["near_next"] == sketch.likeness(sketch.sketch(text), sketch.sketch(other))
+        a, b = plain_shingles(text), plain_shingles(edited)
+        if len(a) > 1000:
+            errors.append(abs(r["near_edited"] - len(a & b) / min(len(a), len(b))))
+    assert sum(errors) / len(errors) < 0.05
+    apart = [i for i in ids if got[i]["near_edited"] > got[i]["near_next"]]
+    assert len(apart) / len(ids) > 0.97
+
+
+def test_sketch_is_what_lies_below_the_threshold():
+    text = "".join(random.Random(2).choices("abcdé ", k=5000))
+    whole = sketch.sketch(text, scale=1)
+    assert len(whole) == len(plain_shingles(text))
+    kept = sketch.sketch(text)
+    assert kept.tolist() == [h for h in whole.tolist() if h < 2**64 // sketch.SCALE]
+    assert len(kept) == pytest.approx(len(whole) / sketch.SCALE, rel=0.25)
+
+
+def test_slices_hash_as_the_whole(monkeypatch):
+    text = "".join(random.Random(4).choices("abc日 ", k=3000))
+    whole = sketch.sketch(text).tolist()
+    for size in (1, 17, 1000):
+        monkeypatch.setattr(sketch, "_SLICE", size)
+        assert sketch.sketch(text).tolist() == whole
+
+
+def test_unequal_documents_and_unions(spark):
+    rng = random.Random(6)
+    part = "".join(rng.choices("abcdefgh ", k=8000))
+    whole = "".join(rng.choices("abcdefgh ", k=90_000)) + part
+    table = spark.createDataFrame([("s", part), ("l", whole), ("e", "")], "k string, text string")
+    rows = table.select("k", sketch.sketch_udf()("text").alias("own"))
+    sides = rows.where("k = 's'").selectExpr("own AS a").join(rows.where("k = 'l'").selectExpr("own AS b"))
+    assert sides.select(sketch.containment("a", "b").alias("c")).first()["c"] > 0.97
+    assert sides.select(sketch.containment("b", "a").alias("c")).first()["c"] < 0.15
+    union = sketch.merged(rows.selectExpr("1 AS g", "own"), ["g"], "own").first()["own"]
+    assert len(union) == len(set().union(*(r["own"] for r in rows.collect())))
+
+
+@pytest.mark.parametrize("ranges", [2, 7, 512])
+def test_order_over_odd_rows(spark, odd_documents, no_documents, ranges):
+    more = [(5, f"text {i} of the id that many rows have") for i in range(300)]
+    extra = spark.createDataFrame(more, "doc_id long, text string")
+    table = odd_documents.unionByName(extra, allowMissingColumns=True)
+    keyed = [(r["doc_id"], r["h"], r["text"] or "") for r in table.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()]
+    keyed.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = []
+    for (i, _, text), (_, _, other) in zip(keyed, keyed[1:] + keyed[:1], strict=True):
+        n = len(text)
+        edited = text[: n - n // 4] + other[: n // 4]
+        want.append((i, n, hashlib.sha256(edited.encode()).hexdigest(), sketch.likeness(sketch.sketch(text), sketch.sketch(other))))
+    got = [(r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_next"]) for r in sketch.edited_pairs(table, ranges=ranges).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert sketch.edited_pairs(no_documents, ranges=ranges).collect() == []
+
+
+def test_one_document_follows_itself(spark):
+    one = spark.createDataFrame([(3, "abcdefgh")], "doc_id long, text string")
+    row = sketch.edited_pairs(one).first()
+    assert row["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest() and row["near_next"] == 1.0

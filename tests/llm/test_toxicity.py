@@ -1,0 +1,71 @@
+import zlib
+
+import pytest
+
+from martloom.llm import toxicity
+from martloom.llm.queries import QUERIES
+
+MARKS = ("idiot", "moron", "stupid", "clown", "loser", "worthless", "pathetic", "scum", "disgusting", "trash")
+
+
+def test_query_finds_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    got = {r["doc_id"]: r for r in QUERIES["op1_toxicity"](spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert got.keys() == {r["doc_id"] for r in docs}
+    for r in docs:
+        row = got[r["doc_id"]]
+        assert row["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.7)
+        assert row["n_sentences"] == len(toxicity.sentences(r["text"]))
+    held = [d for d in toxic if got[d]["held_out"]]
+    found = [d for d in held if got[d]["predicted"]]
+    right = sum(toxic[d] for d in found)
+    assert right / len(found) > 0.95
+    assert right / sum(toxic[d] for d in held) > 0.7
+    marked = [d["doc_id"] for d in docs if toxic.get(d["doc_id"]) and got[d["doc_id"]]["held_out"] and any(m in d["text"].split() for m in MARKS)]
+    assert sum(got[d]["predicted"] for d in marked) / len(marked) > 0.95
+
+
+def sample(spark):
+    docs, labels = [], []
+    for i in range(200):
+        bad = i % 4 == 0
+        text = f"A plain line about thing{i % 7}. " + ("You rotten skunk! " if bad else "") + "Nothing more here."
+        docs.append((i, text, 0.5, "x"))
+        labels.append((i, int(bad)))
+    docs += [(1000, None, 0.1, "y"), (1001, "", 0.1, "y"), (1002, "skunk. " * 5000, 0.1, "y"), (None, "rotten skunk!", 0.1, "y"), (0, docs[0][1], 0.5, "x")]
+    labels += [(None, 1), (7, None), (5000, 1), (1, 0), (1000, 0)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, score double, label string")
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_sentences_are_located(spark):
+    docs, labels = sample(spark)
+    rows = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if r["doc_id"] is not None and r["doc_id"] < 200:
+            assert (r["score"] >= 0.7) == (r["doc_id"] % 4 == 0)
+            assert [o["sentence"] for o in r["offending"]] == (["You rotten skunk"] if r["doc_id"] % 4 == 0 else [])
+    empty = [r for r in rows if r["doc_id"] in (1000, 1001)]
+    assert len({r["score"] for r in empty}) == 1 and all(r["n_sentences"] == 0 for r in empty)
+    again = toxicity.score(docs, toxicity.fit(docs.repartition(7), labels.repartition(3))).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, rows))
+
+
+def test_noisy_or(spark):
+    model = toxicity.Model({"=bad": 9.0}, -4.0, 0.1)
+    scores = model.sentence_scores("All well. Bad thing. Also fine.")
+    expected = 1 - 0.9 * (1 - scores[0]) * (1 - scores[1]) * (1 - scores[2])
+    assert model.document_score(scores) == pytest.approx(expected)
+    assert scores[1] > 0.9 and scores[0] == scores[2] < 0.1
+
+
+def test_nothing_to_learn(spark):
+    docs, labels = sample(spark)
+    for some, share in ((labels.where("false"), 0.0), (labels.where("toxic = 1"), 1.0)):
+        assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, some)).collect()} == {share}
+    model = toxicity.fit(docs, labels)
+    assert toxicity.score(docs.where("false"), model).collect() == []
