@@ -14,9 +14,16 @@ import martloom
 from martloom.session import scratch_dir
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 1_000
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that
-    it need not be installed where they run."""
+    it need not be installed where they run; and where the session has Spark's
+    own number of rows in an Arrow batch, lower it to one that fits texts."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(TEXTS_PER_BATCH))
     context, root = spark.sparkContext, Path(martloom.__file__).parent
     if getattr(context, "_martloom_sent", False) or not root.is_dir():
         return

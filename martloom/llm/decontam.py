@@ -393,7 +393,11 @@ def is_contaminated(share: int = 20):
 
 
 def without_contaminated(docs: DataFrame, found: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``found`` does not call contaminated."""
-    bad = found.where(is_contaminated()).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
+    """The rows of ``docs`` that ``found`` does not call contaminated. Their
+    keys are stored first, so that Spark knows how many there are and shuffles
+    the texts only if they are not few."""
+    bad = stored(
+        found.where(is_contaminated()).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
+    )
     k1, k2 = row_keys(id, text)
     return docs.join(bad, (k1 == bad["__k1"]) & (k2 == bad["__k2"]), "left_anti")

@@ -37,6 +37,8 @@ PROFILE_SIZE = 400
 # hold languages.
 MAX_LANGUAGES = 2_000
 SLICE_CHARS = 262_144
+# N-grams counted apart in a task, for each language, before they are merged.
+HELD_GRAMS = 250_000
 UNDETERMINED = "und"
 _BLANK = 32
 
@@ -106,9 +108,8 @@ def _count_batches(batches):
             part = gram_counts(text)
             held.setdefault(lang, []).append(part)
             size[lang] = size.get(lang, 0) + len(part[0])
-            if size[lang] > 2_000_000:
+            if size[lang] > HELD_GRAMS:
                 held[lang] = [_merged(held[lang])]
-                # Grows by what is distinct, so that merging stays linear.
                 size[lang] = 0
     for lang, parts in held.items():
         grams, counts = _merged(parts)

@@ -28,7 +28,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,49 +224,53 @@ def near_duplicates(
     blocks: int = BLOCKS,
     tree_size: int = TREE_SIZE,
 ) -> DataFrame:
-    """``(id, fingerprint, component_id, group)`` of every row: the least id
-    that can be reached over links, and the least fingerprint there."""
-    rows = stored(docs.select(F.col(id).alias("id"), fingerprint_udf(words)(F.col(text)).alias("f")))
-    prints = stored(rows.groupBy("f").agg(F.min("id").alias("least")))
+    """``(id, text_hash, fingerprint, component_id, group, stays)`` of every
+    row: the least id that can be reached over links, the least fingerprint
+    there, and whether the row is the one that stands for its group: the least
+    by id, NULL last, then by the text's hash."""
+    rows = stored(
+        docs.select(
+            F.col(id).alias("id"), F.xxhash64(text).alias("h"), fingerprint_udf(words)(F.col(text)).alias("f")
+        )
+    )
+    first = F.struct(F.col("id").isNull().alias("nameless"), "id", "h")
+    prints = stored(rows.groupBy("f").agg(F.min(first).alias("first")))
     roots = connected_groups(near_links(prints.select("f"), max_bits, blocks, tree_size))
     placed = prints.join(roots, prints["f"] == roots["node"], "left").select(
-        "f", "least", F.coalesce("root", "f").alias("root")
+        "f", "first", F.coalesce("root", "f").alias("root")
     )
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "root").select("f", "root", "component_id")
-    hexed = F.lower(F.lpad(F.hex("f"), 16, "0"))
+    firsts = placed.groupBy("root").agg(F.min("first").alias("first"))
+    named = placed.drop("first").join(firsts, "root")
     return rows.join(named, "f").select(
         F.col("id").alias(id),
-        hexed.alias("fingerprint"),
-        "component_id",
-        F.lower(F.lpad(F.hex("root"), 16, "0")).alias("group"),
+        F.col("h").alias("text_hash"),
+        _hexed("f").alias("fingerprint"),
+        F.col("first.id").alias("component_id"),
+        _hexed("root").alias("group"),
+        (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))).alias("stays"),
     )
 
 
-def keep_one(
-    docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS
-) -> DataFrame:
-    """The rows of ``docs`` that stand for their group in ``decided``: those
-    with the group's least id. Of rows that repeat id and text one stays, as
-    does one of each group without any id."""
-    least = decided.where(F.col(id) == F.col("component_id")).select(id).distinct()
-    same = Window.partitionBy(id, "__text_hash").orderBy(F.lit(0))
-    named = (
-        docs.join(least, id, "left_semi")
-        .withColumn("__text_hash", F.xxhash64(text))
-        .withColumn("__copy", F.row_number().over(same))
-        .where(F.col("__copy") == 1)
-        .select(*docs.columns)
-    )
-    nameless = decided.where(F.col("component_id").isNull()).select(
-        F.col("fingerprint").alias("__fingerprint"), F.col("group").alias("__group")
-    )
-    hexed = F.lower(F.lpad(F.hex(fingerprint_udf(words)(F.col(text))), 16, "0"))
-    rest = (
-        docs.where(F.col(id).isNull())
-        .withColumn("__fingerprint", hexed)
-        .join(nameless.distinct(), "__fingerprint")
-        .dropDuplicates(["__group"])
-        .select(*docs.columns)
-    )
-    return named.unionByName(rest)
+def _hexed(f: str):
+    return F.lower(F.lpad(F.hex(f), 16, "0"))
+
+
+def keep_one(docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their group in ``decided``; of rows
+    that repeat id and text, one.
+
+    Rows that go grow with the table, so the texts are shuffled for them at any
+    size; only those of repeated rows, mostly none, are left to Spark's choice.
+    """
+    key = [F.col(id).alias("__id"), F.col("text_hash").alias("__hash")]
+    gone = decided.where(~F.col("stays")).select(*key).distinct()
+    kept = decided.where("stays").groupBy(*key).agg(F.count("*").alias("n"))
+    repeated = stored(kept.where(F.col("n") > 1).drop("n"))
+
+    def same(other: DataFrame):
+        return docs[id].eqNullSafe(other["__id"]) & (F.xxhash64(docs[text]) == other["__hash"])
+
+    out = gone.union(repeated).hint("merge")
+    once = docs.join(out, same(out), "left_anti")
+    more = docs.join(repeated, same(repeated), "left_semi").withColumn("__hash", F.xxhash64(text))
+    return once.unionByName(more.dropDuplicates([id, "__hash"]).select(*docs.columns))

@@ -64,6 +64,7 @@ def test_odd_rows(odd_documents, no_documents):
     assert ordered(got) == ordered(expected(rows))
     assert simhash.near_duplicates(no_documents).collect() == []
     kept = simhash.keep_one(odd_documents, found)
+    assert kept.count() == found.where("stays").select("doc_id", "text_hash").distinct().count()
     assert kept.columns == odd_documents.columns
     groups = {r["group"] for r in found.collect()}
     own = [f"{plain_fingerprint(r['text']):016x}" for r in kept.collect()]
