@@ -13,7 +13,8 @@ _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 def _always_fits(source: T.DataType | None, to: T.DataType) -> bool:
     if source is None:
         return False
-    if isinstance(to, (T.FloatType, T.DoubleType)):
+    if isinstance(to, T.DoubleType) or isinstance(to, T.FloatType) and not isinstance(source, T.DoubleType):
+        # No decimal reaches the range of a float; a double does.
         return isinstance(source, T.NumericType)
     if source in _WIDTH and to in _WIDTH:
         return _WIDTH[source] <= _WIDTH[to]
@@ -33,6 +34,19 @@ def _in_range(column: Column, source: T.DataType | None, to: T.DataType) -> Colu
     return None
 
 
+def _finite(cast: Column, column: Column, source: T.DataType | None, to: T.DataType) -> Column:
+    """``cast`` to a fraction, NULL where it became infinite and the value is
+    not; a text may say so itself."""
+    if not isinstance(to, (T.FloatType, T.DoubleType)):
+        return cast
+    infinite = [F.lit(float("inf")).cast(to), F.lit(float("-inf")).cast(to)]
+    if isinstance(source, T.DoubleType):
+        meant = column.isin(float("inf"), float("-inf"))
+    else:
+        meant = F.lower(F.trim(column.cast("string"))).rlike("^[+-]?inf(inity)?$")
+    return F.when(cast.isin(*infinite) & ~meant, F.lit(None).cast(to)).otherwise(cast)
+
+
 def narrow(
     column: Column,
     to: T.DataType,
@@ -51,7 +65,7 @@ def narrow(
     if _always_fits(source, to):
         return column.cast(to)
     fits = _in_range(column, source, to)
-    cast = column.try_cast(to) if fits is None else F.when(fits, column.cast(to))
+    cast = F.when(fits, column.cast(to)) if fits is not None else _finite(column.try_cast(to), column, source, to)
     if on_overflow == "null":
         return cast
     message = F.concat(

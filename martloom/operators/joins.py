@@ -1,106 +1,70 @@
-"""Left outer equi-join that stays balanced when a few keys hold many rows.
+"""Left outer equi-join that stays balanced when a right key holds many rows.
 
 Spark picks the join (broadcast under its own size threshold, else
-sort-merge) and adaptive execution splits an oversized left partition. It
-cannot split the right side of a left outer join, and a key that is heavy on
-both sides multiplies. So keys above a share of either side are found first
-and spread over a grid of salts:
-
-* a left row of a hot key goes to one random row of the grid, copied to each
-  of its columns;
-* a right row goes to one random column, copied to each row.
-
-Every pair of rows then meets in exactly one cell. A left copy that meets
-nothing in its cell is dropped only for keys that do exist on the right, so
-no row is lost or invented. Copies never outnumber input plus output rows.
+sort-merge), and adaptive execution splits a left partition that is too large,
+NULL keys included; so a session without it is refused. The right side of a
+left outer join it cannot split. There, a key with more rows than one task can
+hold is dealt to pieces at random, and a left row of that key is copied to
+each piece, so that every pair meets once.
+
+Which keys those are is part of the query itself. The count made when the join
+is set up only decides whether the plan has pieces at all; if the right table
+changes later, rows are still joined as the tables then are.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.sources.literals import literal_rows
-
 _RIGHT = "__right_key"
-_ROW = "__salt_row"
-_COLUMN = "__salt_column"
 _HOT = "__hot_key"
-_ROWS = "__salt_rows"
-_COLUMNS = "__salt_columns"
-
-# Types whose values are equal exactly when they are the same value, so that a
-# key has one entry among the hot keys. Other types join without salts.
-_SALTED_TYPES = {"tinyint", "smallint", "int", "bigint", "string", "date"}
+_PIECES = "__pieces"
+_PIECE = "__piece"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot: at least ``share`` of a side's rows, and at
-    least ``min_rows`` of them. A side can have at most ``1 / share`` such
-    keys, which bounds everything collected or broadcast here."""
+    """``rows_per_task``: a right key with more rows is split into pieces of
+    about that many. Up to ``broadcast_keys`` such keys are sent to every
+    executor, about 50 bytes each; more are joined as Spark sees fit."""
 
-    share: float = 0.001
-    min_rows: int = 1_000_000
-    tracked: int = 8192
+    rows_per_task: int = 5_000_000
+    broadcast_keys: int = 1_000_000
 
     def __post_init__(self):
-        if not 0 < self.share <= 1:
-            raise ValueError("share must be in (0, 1]")
-        if self.tracked < self.limit:
-            raise ValueError("track at least 1 / share keys")
-
-    @property
-    def limit(self) -> int:
-        return math.ceil(1 / self.share)
-
-
-def _side(df: DataFrame, key: str, side: str, policy: HotKeys) -> DataFrame:
-    """One row for one side: rows, NULL keys, candidate keys with counts. The
-    sketch has a fixed size and is merged from partial ones, so no key is
-    shuffled."""
-    k = F.col(key)
-    return df.select(k).agg(
-        F.lit(side).alias("side"),
-        F.count("*").alias("rows"),
-        F.count_if(k.isNull()).alias("null_rows"),
-        F.call_function("approx_top_k", k, F.lit(policy.limit), F.lit(policy.tracked)).alias("top"),
-    )
+        if self.rows_per_task < 1:
+            raise ValueError("rows_per_task must be positive")
+
+
+def hot_keys_of(right: DataFrame, key: str, policy: HotKeys) -> DataFrame:
+    """``(key, pieces)`` of the keys that one task cannot hold. Counted with
+    partial sums; only keys are shuffled."""
+    counts = right.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(_HOT)).agg(F.count("*").alias("n"))
+    pieces = F.ceil(F.col("n") / policy.rows_per_task).cast("int")
+    return counts.where(F.col("n") > policy.rows_per_task).select(_HOT, pieces.alias(_PIECES))
+
+
+def _common_type(left: T.DataType, right: T.DataType, frame: DataFrame) -> T.DataType:
+    """What both keys are compared as."""
+    if left == right:
+        return left
+    numbers = all(isinstance(t, T.NumericType) for t in (left, right))
+    times = all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in (left, right))
+    if not numbers and not times:
+        raise ValueError(f"cast the keys to one type: {left.simpleString()} and {right.simpleString()}")
+    both = F.coalesce(F.lit(None).cast(left), F.lit(None).cast(right))
+    return frame.select(both.alias("k")).schema["k"].dataType
 
 
-def _shuffle_width(spark: SparkSession) -> int:
-    """How many partitions a shuffle starts with."""
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return max(2, int(initial or spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def hot_key_grid(
-    left: DataFrame, left_key: str, right: DataFrame, right_key: str, policy: HotKeys
-) -> list[tuple]:
-    """``(key, grid rows, grid columns)`` of each hot key; at most
-    ``2 / share + 1`` entries. NULL is an entry when it is hot on the left."""
-    counts = left.agg(F.count("*").alias("rows")).union(right.agg(F.count("*")))
-    if counts.agg(F.max("rows")).first()[0] < policy.min_rows:
-        return []
-    sides = _side(left, left_key, "left", policy).unionByName(_side(right, right_key, "right", policy))
-    width = _shuffle_width(left.sparkSession)
-    grid: dict = {}
-    for side in sides.collect():
-        at_least = max(policy.min_rows, policy.share * side["rows"])
-        fair = max(1, side["rows"] / width)
-        counts = {item["item"]: item["count"] for item in side["top"] if item["item"] is not None}
-        if side["side"] == "left" and side["null_rows"]:
-            counts[None] = side["null_rows"]
-        for key, rows in counts.items():
-            if rows >= at_least:
-                pieces = max(2, math.ceil(rows / fair))
-                row, column = grid.get(key, (1, 1))
-                grid[key] = (pieces, column) if side["side"] == "left" else (row, pieces)
-    return [(key, row, column) for key, (row, column) in grid.items()]
+def _require_adaptive(df: DataFrame) -> None:
+    conf = df.sparkSession.conf
+    for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if conf.get(name).lower() != "true":
+            raise ValueError(f"{name} is off: nothing would split a heavy left key; pass hot_keys=None to accept that")
 
 
 def left_join(
@@ -114,61 +78,36 @@ def left_join(
     """All columns of ``left`` and the named ones of ``right``.
 
     Left rows are always kept, NULL keys included; unmatched rows get NULLs;
-    duplicate right keys multiply left rows.
+    duplicate right keys multiply left rows. Keys of different number or time
+    types are compared as their common type.
 
-    Finding hot keys counts both inputs, and reads their key columns once more
-    when one of them is large. That is cheap for a stored table; write a
-    derived input to a table first, or pass ``hot_keys=None``, which leaves
-    skew to adaptive execution.
+    Setting up the join counts the right side's keys. That is cheap for a
+    stored table; write a derived input to a table first, or pass
+    ``hot_keys=None``, which leaves skew to adaptive execution.
     """
     clash = set(left.columns) & set(columns)
     if clash:
         raise ValueError(f"both sides supply {sorted(clash)}")
-    right = right.select(F.col(right_key).alias(_RIGHT), *columns)
-    left_type, right_type = left.schema[left_key].dataType, right.schema[_RIGHT].dataType
-    saltable = left_type == right_type and left_type.simpleString() in _SALTED_TYPES
-    grid = hot_key_grid(left, left_key, right, _RIGHT, hot_keys) if hot_keys and saltable else []
-    if not grid:
-        return left.join(right, left[left_key] == right[_RIGHT], "left").drop(_RIGHT)
-    return _salted(left, right, left_key, columns, grid)
-
-
-def _salted(left: DataFrame, right: DataFrame, left_key: str, columns, grid: list[tuple]) -> DataFrame:
-    spark = left.sparkSession
-    key_type = left.schema[left_key].dataType
-    hot = literal_rows(
-        spark,
-        grid,
-        T.StructType(
-            [
-                T.StructField(_HOT, key_type),
-                T.StructField(_ROWS, T.IntegerType()),
-                T.StructField(_COLUMNS, T.IntegerType()),
-            ]
-        ),
-    )
-
-    def with_grid(df: DataFrame, key: str) -> DataFrame:
-        sized = df.join(F.broadcast(hot), df[key].eqNullSafe(hot[_HOT]), "left").drop(_HOT)
-        return sized.withColumns({name: F.coalesce(name, F.lit(1)) for name in (_ROWS, _COLUMNS)})
-
-    def pick(size: str):
-        return F.floor(F.rand(seed=7) * F.col(size)).cast("int")
-
-    def every(size: str):
-        return F.explode(F.sequence(F.lit(0), F.col(size) - 1))
-
-    salted_left = with_grid(left, left_key).withColumn(_ROW, pick(_ROWS)).withColumn(_COLUMN, every(_COLUMNS))
-    salted_right = (
-        with_grid(right.where(F.col(_RIGHT).isNotNull()), _RIGHT)
-        .withColumn(_COLUMN, pick(_COLUMNS))
-        .withColumn(_ROW, every(_ROWS))
-        .select(_RIGHT, _ROW, _COLUMN, *columns)
-    )
-    met = (
-        (salted_left[left_key] == salted_right[_RIGHT])
-        & (salted_left[_ROW] == salted_right[_ROW])
-        & (salted_left[_COLUMN] == salted_right[_COLUMN])
+    common = _common_type(left.schema[left_key].dataType, right.schema[right_key].dataType, left)
+    right = right.select(F.col(right_key).cast(common).alias(_RIGHT), *columns)
+    key = left[left_key].cast(common)
+    if hot_keys is not None:
+        _require_adaptive(left)
+        hot = hot_keys_of(right, _RIGHT, hot_keys)
+        found = hot.count()
+        if found:
+            return _split(left, right, key, columns, F.broadcast(hot) if found <= hot_keys.broadcast_keys else hot)
+    return left.join(right, key == right[_RIGHT], "left").drop(_RIGHT)
+
+
+def _split(left: DataFrame, right: DataFrame, key: Column, columns, hot: DataFrame) -> DataFrame:
+    pieces = F.coalesce(_PIECES, F.lit(1))
+    dealt = (
+        right.join(hot, right[_RIGHT] == hot[_HOT], "left")
+        .withColumn(_PIECE, F.floor(F.rand(seed=7) * pieces).cast("int"))
+        .select(_RIGHT, _PIECE, *columns)
     )
-    joined = salted_left.join(salted_right, met, "left")
-    return joined.where((F.col(_COLUMNS) == 1) | F.col(_RIGHT).isNotNull()).select(*left.columns, *columns)
+    copied = left.join(hot, key == hot[_HOT], "left").withColumn(_PIECE, F.explode(F.sequence(F.lit(0), pieces - 1)))
+    joined = copied.join(dealt, (key == dealt[_RIGHT]) & (copied[_PIECE] == dealt[_PIECE]), "left")
+    # A copy in a piece that got no row goes; the others of its row have met.
+    return joined.where(F.col(_PIECES).isNull() | F.col(_RIGHT).isNotNull()).select(*left.columns, *columns)

@@ -37,17 +37,16 @@ def _spec(partition: str, args: dict) -> str:
     return f"PARTITION ({', '.join(parts)})"
 
 
-def _empty_partition(spark: SparkSession, table: str, partition: str) -> None:
-    """Delete the files of one partition by overwriting it with no rows."""
-    keys = partition_columns(spark, table)
-    columns = ", ".join(
-        f"CAST(null AS {field.dataType.simpleString()})"
-        for field in spark.table(table).schema
-        if field.name not in keys
-    )
-    args = {"t": table}
-    spec = _spec(partition, args)
-    spark.sql(f"INSERT OVERWRITE TABLE IDENTIFIER(:t) {spec} SELECT {columns} WHERE false", args=args)
+def _delete_folders(spark: SparkSession, table: str, partitions: list[str]) -> None:
+    """Delete the folders of partitions below the table's location: one call to
+    the file system each, and no Spark job."""
+    location, hadoop = table_location(spark, table), spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(location)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for partition in partitions:
+        folder = hadoop.Path(f"{location.rstrip('/')}/{partition}")
+        if system.exists(folder) and not system.delete(folder, True):
+            raise RuntimeError(f"could not delete {folder.toString()}")
 
 
 def drop_partitions(spark: SparkSession, table: str, partitions: DataFrame) -> int:
@@ -56,12 +55,12 @@ def drop_partitions(spark: SparkSession, table: str, partitions: DataFrame) -> i
 
     Only partition names reach the driver. The catalog deletes the files of a
     managed table; those of an external one are removed first, so that a
-    failure in between leaves an empty partition and never orphaned rows.
+    failure in between leaves an empty partition and never orphaned rows. No
+    Spark job runs for a partition.
     """
     names = [row["partition"] for row in partitions.select("partition").collect()]
     if is_external(spark, table):
-        for name in names:
-            _empty_partition(spark, table, name)
+        _delete_folders(spark, table, names)
     return _drop_from_catalog(spark, table, names)
 
 

@@ -73,7 +73,7 @@ def compact_partitions(
     named = column.isin([value for value in values if value is not None])
     rows = spark.table(table).where(named | column.isNull() if None in values else named)
     # One row per partition being rewritten.
-    dealt = rows.join(F.broadcast(slots), column.cast("string").eqNullSafe(F.col("__value")))
+    dealt = rows.join(slots, column.cast("string").eqNullSafe(F.col("__value")))
     file_id = F.col("__first") + F.floor(F.rand(seed=11) * F.col("__files"))
     exact = dealt.repartitionById(firsts[-1], file_id.cast("int")).drop("__value", "__first", "__files")
     overwrite_partitions(exact, table, rebalance=False)

@@ -19,6 +19,7 @@ from martloom.functions import (
     retention_cutoff,
     target_file_count,
 )
+from martloom.functions.narrowing import narrow
 
 SHORT = T.StructType([T.StructField("n", T.ShortType())])
 
@@ -176,8 +177,8 @@ def test_narrowing_matches_columns_by_name(spark):
 
 
 def test_unneeded_checks_leave_no_trace(spark):
-    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("x", T.FloatType())])
-    rows = spark.createDataFrame([(1, 2.0)], "n int, x double")
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("x", T.DoubleType())])
+    rows = spark.createDataFrame([(1, 2.0)], "n int, x float")
     plan = narrow_to(rows, schema)._jdf.queryExecution().optimizedPlan().toString()
     assert "raise_error" not in plan
 
@@ -187,3 +188,22 @@ def test_run_start_text_is_second_resolution(spark):
 
     before = datetime.now() - timedelta(days=1)
     assert datetime.strptime(run_start(spark), "%Y-%m-%d %H:%M:%S") > before
+
+
+@pytest.mark.parametrize("source", [T.DoubleType(), None], ids=["known", "unknown"])
+def test_doubles_beyond_a_float_do_not_become_infinite(spark, source):
+    df = spark.createDataFrame([(1e300,), (1.5,), (float("inf"),), (float("nan"),), (None,)], "x double")
+    kept = df.select(narrow(F.col("x"), T.FloatType(), "x", "null", source).alias("y")).collect()
+    assert [repr(r["y"]) for r in kept] == ["None", "1.5", "inf", "nan", "None"]
+    with pytest.raises(Exception, match="does not fit float"):
+        df.select(narrow(F.col("x"), T.FloatType(), "x", source=source)).collect()
+    texts = spark.createDataFrame([("1e300",), ("-Infinity",), ("1e400",), ("2",)], "x string")
+    kept = texts.select(narrow(F.col("x"), T.FloatType(), "x", "null", T.StringType()).alias("y")).collect()
+    assert [repr(r["y"]) for r in kept] == ["None", "-inf", "None", "2.0"]
+
+
+def test_sources_that_fit_a_float_are_not_checked(spark):
+    for name in ("float", "int", "bigint", "decimal(38,0)"):
+        df = spark.range(1).selectExpr(f"CAST(id AS {name}) AS x")
+        text = df.select(narrow(F.col("x"), T.FloatType(), "x", source=df.schema["x"].dataType))._jdf.queryExecution().toString()
+        assert "raise_error" not in text and "CASE" not in text

@@ -4,9 +4,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martloom.operators import HotKeys, left_join
-from martloom.operators.joins import hot_key_grid
 
-ALL_HOT = HotKeys(share=0.01, min_rows=1)
+ALL_HOT = HotKeys(rows_per_task=1)
 
 
 def nested_loop(left, right):
@@ -29,7 +28,7 @@ RIGHT = (
 )
 
 
-@pytest.mark.parametrize("hot", [None, HotKeys(), ALL_HOT], ids=["plain", "default", "salted"])
+@pytest.mark.parametrize("hot", [None, HotKeys(), ALL_HOT], ids=["plain", "default", "split"])
 @pytest.mark.parametrize(
     ("left", "right"),
     [
@@ -50,45 +49,76 @@ ROWS = st.lists(st.tuples(KEYS, st.integers(0, 3)), max_size=25)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow])
-@given(ROWS, ROWS, st.sampled_from([0.05, 0.2, 0.5]))
-def test_salted_join_of_any_rows(spark, left, right, share):
-    assert run(spark, left, right, HotKeys(share, 1, 64)) == nested_loop(left, right)
+@given(ROWS, ROWS, st.sampled_from([1, 3, 7]))
+def test_split_join_of_any_rows(spark, left, right, held):
+    assert run(spark, left, right, HotKeys(held)) == nested_loop(left, right)
 
 
-def test_hot_keys_of_both_sides_and_null_are_found(spark):
-    l = spark.createDataFrame(LEFT, "k string, a int")
-    r = spark.createDataFrame(RIGHT, "k string, b int")
-    grid = {k: (rows, columns) for k, rows, columns in hot_key_grid(l, "k", r, "k", HotKeys(0.2, 10, 64))}
-    assert set(grid) == {"x", "y", None}
-    assert grid["x"][0] > 1 and grid["x"][1] > 1
-    assert grid["y"][0] == 1 and grid["y"][1] > 1
-    assert grid[None][0] > 1 and grid[None][1] == 1
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
 
 
-def test_salted_rows_of_a_hot_key_are_spread(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_rows_of_a_hot_right_key_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        left = spark.range(8000).select(
-            F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
-        )
-        right = left.where("k <> 'hot'").select("k", F.lit(1).alias("b")).unionByName(
-            spark.createDataFrame([("hot", 2)], "k string, b int")
-        )
-        joined = left_join(left, right, "k", "k", ["b"], HotKeys(share=0.1, min_rows=1))
+        left = spark.range(40).selectExpr("'hot' AS k", "id AS a").repartition(3)
+        right = spark.range(4000).selectExpr("IF(id % 2 = 0, 'hot', CAST(id AS string)) AS k", "id AS b")
+        joined = left_join(left, right, "k", "k", ["b"], HotKeys(rows_per_task=100))
+        assert "__piece" in plan_of(joined)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-        assert sum(sizes) == 8000
-        assert max(sizes) < 4000
+        assert sum(sizes) == 40 * 2000 and max(sizes) < 40 * 1000
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_types_without_plain_equality_are_not_salted(spark):
-    left = spark.createDataFrame([(1.0, 1), (1.0, 2), (float("nan"), 3)], "k double, a int")
-    right = spark.createDataFrame([(1.0, 5), (float("nan"), 6)], "k double, b int")
-    rows = left_join(left, right, "k", "k", ["b"], ALL_HOT).collect()
-    assert sorted((r["a"], r["b"]) for r in rows) == [(1, 5), (2, 5), (3, 6)]
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_left_rows_stay_when_the_right_table_changes(spark):
+    left = spark.range(100).selectExpr("IF(id < 50, 'x', 'y') AS k", "id AS a")
+    spark.sql("DROP TABLE IF EXISTS changing")
+    spark.sql("CREATE TABLE changing (k string, b int, p int) USING parquet PARTITIONED BY (p)")
+    for before, after, met in (("x", "y", 50), ("y", "nothing", 0)):
+        spark.createDataFrame([(before, i, 0) for i in range(20)], "k string, b int, p int").write.insertInto("changing", overwrite=True)
+        joined = left_join(left, spark.table("changing"), "k", "k", ["b"], HotKeys(rows_per_task=5))
+        spark.createDataFrame([(after, 1, 0)], "k string, b int, p int").write.insertInto("changing", overwrite=True)
+        rows = joined.collect()
+        assert {r["a"] for r in rows} == set(range(100))
+        assert sum(r["b"] is not None for r in rows) == met
+    spark.sql("DROP TABLE changing")
+
+
+def test_key_types_are_compared_as_their_common_type(spark):
+    left = spark.createDataFrame([(1, 1), (2, 2), (None, 3)], "k int, a int")
+    right = spark.createDataFrame([(1, i) for i in range(9)] + [(2**40, 5)], "k bigint, b int")
+    joined = left_join(left, right, "k", "k", ["b"], HotKeys(rows_per_task=2))
+    assert "__piece" in plan_of(joined) and joined.schema["k"].dataType.simpleString() == "int"
+    assert sorted((r["a"], r["b"]) for r in joined.collect() if r["a"] == 1) == [(1, i) for i in range(9)]
+    assert sorted(r["a"] for r in joined.collect() if r["b"] is None) == [2, 3]
+    doubles = spark.createDataFrame([(1.0, 5), (1.0, 6), (float("nan"), 7), (float("nan"), 8)], "k double, b int")
+    left = spark.createDataFrame([(1.0, 1), (float("nan"), 3)], "k double, a int")
+    got = left_join(left, doubles, "k", "k", ["b"], ALL_HOT).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == [(1, 5), (1, 6), (3, 7), (3, 8)]
+    with pytest.raises(ValueError, match="one type"):
+        left_join(spark.createDataFrame([("1", 1)], "k string, a int"), right, "k", "k", ["b"])
+
+
+def test_small_right_side_is_broadcast_without_pieces(spark):
+    left = spark.range(1000).selectExpr("CAST(id % 3 AS string) AS k", "id AS a")
+    right = spark.read.parquet("/root/testdata/sf0.01/nation.parquet").selectExpr("CAST(n_nationkey AS string) AS k", "n_regionkey AS b")
+    text = plan_of(left_join(left, right, "k", "k", ["b"]))
+    assert "BroadcastHashJoin" in text and "__piece" not in text
+
+
+def test_sessions_that_do_not_split_are_refused(spark):
+    rows = spark.createDataFrame([("a", 1)], "k string, a int")
+    right = spark.createDataFrame([("a", 1)], "k string, b int")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="skewJoin"):
+            left_join(rows, right, "k", "k", ["b"])
+        assert left_join(rows, right, "k", "k", ["b"], None).count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
 def test_name_clash_is_an_error(spark):
@@ -98,8 +128,5 @@ def test_name_clash_is_an_error(spark):
 
 
 def test_policy_bounds():
-    assert HotKeys(share=0.001).limit == 1000
-    with pytest.raises(ValueError):
-        HotKeys(share=0)
     with pytest.raises(ValueError):
-        HotKeys(share=0.001, tracked=10)
+        HotKeys(rows_per_task=0)

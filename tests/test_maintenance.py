@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom import Lifetime, sources
-from martloom.operators import declare_table, overwrite_partitions
+from martloom.operators import declare_table, overwrite_partitions, recover_partitions, truncate_partitions
 from martloom.plans import (
     apply_retention,
     compact_partitions,
@@ -220,3 +220,20 @@ def test_scratch_folder_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert scratch_dir(spark).startswith(shared)
+
+
+def test_jobs_do_not_grow_with_the_partitions_dropped(spark, space):
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for n in (2, 12):
+        table = f"{space.database}.ext{n}"
+        declare_table(spark, table, SCHEMA, "report_dt", space.path(f"ext{n}"))
+        rows = spark.range(60).selectExpr("id AS a", "'x' AS t", f"CONCAT('2020-01-', LPAD(id % {n} + 1, 2, '0')) AS report_dt")
+        overwrite_partitions(rows.select(*spark.table(table).columns), table)
+        group = f"drop-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        truncate_partitions(spark, table, "2020-01-01", "2020-12-31")
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        recover_partitions(spark, table)
+        assert spark.table(table).count() == 0 and sources.list_partitions(spark, table).count() == 0
+    assert jobs[0] == jobs[1]

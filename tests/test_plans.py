@@ -71,17 +71,17 @@ def test_mart_shuffles_only_for_the_join(spark, no_broadcast):
     assert "SortMergeJoin LeftOuter" in text
 
 
-def test_salts_are_part_of_the_join_key(spark, no_broadcast):
+def test_pieces_are_part_of_the_join_key(spark, no_broadcast):
     orders, customers = monthly_orders(spark, SF_DIR), given(spark, SF_DIR, "customer")
-    joined = left_join(orders, customers, "o_custkey", "c_custkey", ["c_name"], HotKeys(0.0008, 1, 8192))
+    joined = left_join(customers, orders, "c_custkey", "o_custkey", ["o_orderkey"], HotKeys(rows_per_task=15))
     text = plan(joined)
     assert "SortMergeJoin LeftOuter" in text
-    assert "hashpartitioning(o_custkey" in text and "__salt_row" in text and "__salt_column" in text
+    assert "hashpartitioning(c_custkey" in text and "hashpartitioning(__right_key" in text and "__piece" in text
 
 
 def test_join_without_hot_keys_is_plain(spark):
     orders, customers = monthly_orders(spark, SF_DIR), given(spark, SF_DIR, "customer")
-    assert "__salt" not in plan(left_join(orders, customers, "o_custkey", "c_custkey", ["c_name"]))
+    assert "__piece" not in plan(left_join(orders, customers, "o_custkey", "c_custkey", ["c_name"]))
 
 
 def test_counts_read_no_columns_and_predicates_are_pushed(spark):

@@ -86,6 +86,9 @@ ORACLES = {
     "truncate_partitions": f"""
         select o_orderkey, report_dt from ({_MONTHLY})
         where report_dt not between '1996-03-01' and '2000-10-01'""",
+    "truncate_external": f"""
+        select o_orderkey, report_dt from ({_MONTHLY})
+        where report_dt not between '1996-03-01' and '2000-10-01'""",
     "run_stats": f"""
         select 7 as loading_id, 42 as entity_id, 1 as stat_id, '2024-01-16' as value
         union all
@@ -94,7 +97,9 @@ ORACLES = {
         union all
         select 7, 42, 5, (select max(report_dt) from ({_MONTHLY}))
         union all
-        select 7, 42, 11, '{_RUN}'""",
+        select 7, 42, 11, '{_RUN}'
+        union all
+        select 7, 42, 15, 'true'""",
     "stamp_load": f"""
         select 7 as ctl_loading, '{_RUN}' as ctl_validfrom, o_orderkey, o_custkey from orders""",
     "filter_report_date": f"""
@@ -104,7 +109,8 @@ ORACLES = {
                try_cast(o_orderkey * 7 as smallint) as key_small,
                try_cast(floor(o_totalprice) as smallint) as price_small,
                cast(substr(o_orderpriority, 1, 1) as smallint) as priority_small,
-               cast(o_totalprice as float) as price_float
+               cast(o_totalprice as float) as price_float,
+               try_cast(o_totalprice * 1e35 as float) as price_huge
         from orders""",
     "partition_value": f"""
         select o_orderkey, report_dt as date_value, o_orderstatus as status_value, '' as absent_value
@@ -136,11 +142,11 @@ ORACLES = {
         select c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice
         from customer c left join orders o on c.c_custkey = o.o_custkey""",
     "left_join_hot_keys": """
-        select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, s.s_name, s.s_nationkey
-        from (select l_orderkey, l_linenumber, l_partkey,
-                     case when l_returnflag <> 'R' then l_suppkey end as l_suppkey
-              from lineitem) l
-        left join supplier s on l.l_suppkey = s.s_suppkey""",
+        select o.line_key, o.o_orderkey, l.l_orderkey, l.l_linenumber
+        from (select case when o_orderkey < 4 then 1 else cast(o_custkey as integer) + 1 end as line_key, o_orderkey
+              from orders) o
+        left join (select case when l_returnflag = 'R' then 1 else l_orderkey + 1 end as key, l_orderkey, l_linenumber
+                   from lineitem) l on o.line_key = l.key""",
     "count_where": """
         select count(*) as n_rows from lineitem where l_quantity > 25 and l_returnflag = 'R'""",
     "count_all": "select count(*) as n_rows from lineitem",
@@ -173,10 +179,10 @@ ORACLES = {
                  strftime(o_orderdate, '%Y-%m-01') as report_dt
           from orders group by o_custkey, strftime(o_orderdate, '%Y-%m-01')
         ), reference as (
-          select cast(c_custkey as varchar) as inn, cast(c_nationkey as varchar) as okved_cd,
+          select case when c_nationkey < 20 then cast(c_custkey as varchar) end as inn, cast(c_nationkey as varchar) as okved_cd,
                  c_mktsegment as segment, c_name as sector,
                  case when c_acctbal < 0 then 'debtor' else 'holder' end as kopf_nm
-          from customer where c_nationkey < 20
+          from customer
         )
         select 7 as ctl_loading, '{_RUN}' as ctl_validfrom, p.*,
                r.okved_cd, r.segment, r.sector, r.kopf_nm
@@ -207,6 +213,7 @@ ORACLES = {
                max(o_totalprice) > 499000 as touched,
                max(o_totalprice) <= 499000 and report_dt < '2000-05-31 06:00:00' as expired
         from ({_MONTHLY}) group by report_dt""",
+    "retention_external": f"select o_orderkey, report_dt from ({_MONTHLY}) where report_dt > '2000-06-01'",
     "retention_apply": f"select o_orderkey, report_dt from ({_MONTHLY}) where report_dt > '2000-06-01'",
     "step_job": _mart(8, _RUN, _MONTH),
     "run_audit": f"""

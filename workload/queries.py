@@ -208,6 +208,14 @@ def truncated_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("o_orderkey", _PART)
 
 
+def truncated_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``truncated_partitions``; what is left is what the files hold."""
+    table = Workspace(spark).monthly(monthly_orders(spark, sf_dir), external=True)
+    truncate_partitions(spark, table, "1996-03-01", "2000-10-01")
+    recover_partitions(spark, table)
+    return spark.table(table).select("o_orderkey", _PART)
+
+
 def published_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark)
     monthly = spark.table(shared_monthly(spark, sf_dir))
@@ -215,7 +223,9 @@ def published_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = newest_partition(spark, sf_dir).select(partition_value("partition", _PART).alias("d")).first()["d"]
     declare_table(spark, space.table("run_stats"), RUN_STATS_SCHEMA)
     write_run_stats(run_stats(spark, 7, 42, RUN, newest, change, today=RUN[:10]), space.table("run_stats"))
-    return spark.table(space.table("run_stats")).where(F.col("stat_id") != STAT_APPLICATION)
+    own = (F.col("value") == spark.sparkContext.applicationId).cast("string")
+    value = F.when(F.col("stat_id") == STAT_APPLICATION, own).otherwise(F.col("value"))
+    return spark.table(space.table("run_stats")).withColumn("value", value)
 
 
 # Projections, filters, scalar functions
@@ -242,6 +252,7 @@ def narrow_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         narrow(whole, small, "price", "null", source=big).alias("price_small"),
         narrow(text, small, "priority", source=T.StringType()).alias("priority_small"),
         narrow(price, T.FloatType(), "price", source=double).alias("price_float"),
+        narrow(price * 1e35, T.FloatType(), "price", "null", source=double).alias("price_huge"),
     )
 
 
@@ -319,18 +330,21 @@ def left_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def left_join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the left keys are NULL and every other key counts as hot."""
-    key = F.when(F.col("l_returnflag") != "R", F.col("l_suppkey"))
-    lines = given(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", key.alias("l_suppkey")
+    """A third of the lines share one right key, below a thousandth of the left
+    rows; keys are ``int`` on the left and ``bigint`` on the right."""
+    lines = given(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_returnflag") == "R", F.lit(1).cast("bigint")).otherwise(F.col("l_orderkey") + 1)
+    orders = given(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") < 4, F.lit(1)).otherwise(F.col("o_custkey").cast("int") + 1).alias("line_key"),
+        "o_orderkey",
     )
     return left_join(
-        lines,
-        given(spark, sf_dir, "supplier"),
-        "l_suppkey",
-        "s_suppkey",
-        ["s_name", "s_nationkey"],
-        HotKeys(share=0.004, min_rows=1),
+        orders,
+        lines.select(key.alias("key"), "l_orderkey", "l_linenumber"),
+        "line_key",
+        "key",
+        ["l_orderkey", "l_linenumber"],
+        HotKeys(rows_per_task=1000),
     )
 
 
@@ -483,6 +497,15 @@ def applied_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("o_orderkey", _PART)
 
 
+def retained_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lifetime reaches back to 2000-06-01, itself the last to expire."""
+    table = Workspace(spark).monthly(monthly_orders(spark, sf_dir), external=True)
+    started = run_start(spark)
+    days = (date.fromisoformat(started[:10]) - date(2000, 6, 1)).days
+    apply_retention(spark, table, _PART, started, Lifetime(days=days))
+    return spark.table(table).select("o_orderkey", _PART)
+
+
 def step_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Step 1 writes two tables at once, step 2 joins them into the mart."""
     space = Workspace(spark)
@@ -602,6 +625,7 @@ QUERIES = {
     "overwrite_empty": overwrite_empty,
     "audit_append": audit_append,
     "truncate_partitions": truncated_partitions,
+    "truncate_external": truncated_external,
     "run_stats": published_stats,
     "stamp_load": stamped,
     "filter_report_date": filtered,
@@ -632,6 +656,7 @@ QUERIES = {
     "compact_partition": compacted,
     "retention_plan": planned_retention,
     "retention_apply": applied_retention,
+    "retention_external": retained_external,
     "step_job": step_job,
     "run_audit": run_audit,
     "mart_job": mart_job,

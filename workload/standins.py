@@ -94,9 +94,10 @@ def corporate_profile(spark: SparkSession, sf_dir: str, month: str | None = None
 
 
 def corporate_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of the first twenty nations; the others stay unmatched."""
-    return given(spark, sf_dir, "customer").where("c_nationkey < 20").select(
-        F.col("c_custkey").cast("string").alias("inn"),
+    """All customers; those of nation 20 and above have no key, so their
+    profiles stay unmatched."""
+    return given(spark, sf_dir, "customer").select(
+        F.when(F.col("c_nationkey") < 20, F.col("c_custkey").cast("string")).alias("inn"),
         F.col("c_nationkey").cast("string").alias("okved_cd"),
         F.col("c_mktsegment").alias("segment"),
         F.col("c_name").alias("sector"),
