@@ -220,13 +220,15 @@ def edited_pairs(
     text: str = "text",
     size: int = SHINGLE_CHARS,
     scale: int = SCALE,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """``(id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next)`` of every row. In the edited text, as many of the
     first code points of the next document replace the last quarter. Ids are
-    integers."""
+    integers. There are ``ranges`` ranges of them, else four for each of the
+    session's shuffle partitions and ``RANGES`` at least."""
     spark = docs.sparkSession
+    ranges = ranges or max(RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     steps = [(k + 1) / ranges for k in range(ranges - 1)]
     cuts = rows.agg(F.percentile_approx("id", steps, 20 * ranges)).first()[0] or []
