@@ -48,13 +48,21 @@ class MartSpec:
     partition_column: str = "report_dt"
     load_id_column: str = "ctl_loading"
     run_start_column: str = "ctl_validfrom"
+    # All partition columns, outermost first, if there are more than the date.
+    partition_columns: tuple[str, ...] = ()
 
     def __post_init__(self):
         names = self.schema.fieldNames()
-        named = (*self.from_reference, self.partition_column, self.load_id_column, self.run_start_column)
+        named = (*self.from_reference, *self.partitions, self.partition_column, self.load_id_column, self.run_start_column)
         unknown = [name for name in named if name not in names]
         if unknown:
             raise ValueError(f"columns missing from the mart schema: {unknown}")
+        if self.partition_column not in self.partitions:
+            raise ValueError(f"{self.partition_column} is not among the partition columns")
+
+    @property
+    def partitions(self) -> tuple[str, ...]:
+        return self.partition_columns or (self.partition_column,)
 
     @property
     def from_profile(self) -> tuple[str, ...]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,11 @@ DATE_PATTERN = r"\d{4}-\d{2}-\d{2}"
 DATE_LENGTH = 10
 
 
+def column_names(columns: str | Sequence[str] | None) -> tuple[str, ...]:
+    """One name, several or none, as a tuple."""
+    return (columns,) if isinstance(columns, str) else tuple(columns or ())
+
+
 def partition_value(text: Column | str, name: str) -> Column:
     """Text after the first ``name=`` up to the next slash; ``''`` when absent."""
     return F.regexp_extract(text, f"{re.escape(name)}=([^/]*)", 1)

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from martloom.functions.partition_text import column_names
 from martloom.sources.literals import literal_rows
-from martloom.sources.tables import is_external
+from martloom.sources.tables import is_external, table_facts
 
 
 def declare_table(
     spark: SparkSession,
     table: str,
     schema: T.StructType,
-    partition_column: str | None = None,
+    partition_columns: str | Sequence[str] | None = None,
     location: str | None = None,
     make_folder: bool = True,
 ) -> None:
@@ -23,8 +26,9 @@ def declare_table(
     known = spark.catalog.tableExists(table)
     ddl = f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:t) ({schema.toDDL()}) USING parquet"
     args = {"t": table}
-    if partition_column:
-        ddl += f" OPTIONS (partitionOverwriteMode = 'dynamic') PARTITIONED BY (`{partition_column}`)"
+    if partition_columns:
+        keys = ", ".join(f"`{name}`" for name in column_names(partition_columns))
+        ddl += f" OPTIONS (partitionOverwriteMode = 'dynamic') PARTITIONED BY ({keys})"
     if location:
         ddl += " LOCATION :location"
         args["location"] = location
@@ -46,7 +50,7 @@ def recreate_table(
     table: str,
     schema: T.StructType,
     location: str,
-    partition_column: str | None = None,
+    partition_columns: str | Sequence[str] | None = None,
 ) -> None:
     """Drop and re-declare an external table so that a changed definition
     applies. Files stay, and partitions are found again."""
@@ -54,6 +58,45 @@ def recreate_table(
     if known and not is_external(spark, table):
         raise ValueError(f"{table} is managed: dropping it would delete its files")
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
-    declare_table(spark, table, schema, partition_column, location, make_folder=not known)
-    if partition_column:
+    declare_table(spark, table, schema, partition_columns, location, make_folder=not known)
+    if partition_columns:
         recover_partitions(spark, table)
+
+
+def _is_declared(
+    spark: SparkSession, table: str, schema: T.StructType, location: str, keys: tuple[str, ...]
+) -> bool:
+    """Whether the catalog holds exactly this definition of an external table."""
+    if not spark.catalog.tableExists(table):
+        return False
+    facts = table_facts(spark, table)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # The catalog keeps partition columns last.
+    ordered = [f for f in schema if f.name not in keys] + [schema[name] for name in keys]
+
+    def facts_of(fields):
+        return [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in fields]
+
+    return (
+        facts.external
+        and facts.partition_columns == keys
+        and facts.location.rstrip("/") == system.makeQualified(path).toString().rstrip("/")
+        and facts_of(spark.table(table).schema) == facts_of(ordered)
+    )
+
+
+def redeclare_table(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    location: str,
+    partition_columns: str | Sequence[str] | None = None,
+) -> bool:
+    """``recreate_table`` if the definition differs from the declared one, so
+    that partitions are searched for only then. Returns whether it did."""
+    keys = column_names(partition_columns)
+    if _is_declared(spark, table, schema, location, keys):
+        return False
+    recreate_table(spark, table, schema, location, keys)
+    return True

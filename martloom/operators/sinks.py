@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.functions import narrow_to
+from martloom.session import scratch_dir
 from martloom.sources.literals import literal_rows
 from martloom.sources.tables import table_facts
 
@@ -19,8 +20,8 @@ def overwrite_partitions(
     ``rebalance`` shuffles rows by partition before the write, for results of
     many dates: adaptive execution splits a large partition and merges small
     ones, so neither one date in a single task nor one small file per task and
-    date can result. Without adaptive execution nothing would split a large
-    partition, and rows are written where they are.
+    date can result. A session without adaptive execution, where nothing would
+    split a large partition, is refused.
     """
     spark = df.sparkSession
     facts = table_facts(spark, table)
@@ -31,11 +32,31 @@ def overwrite_partitions(
         # Static mode would wipe every other partition.
         raise ValueError(f"{table} is not in dynamic partition overwrite mode")
     rows = narrow_to(df, spark.table(table).schema, on_overflow)
-    if rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+    if rebalance:
+        if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise ValueError("rebalancing partitions needs spark.sql.adaptive.enabled")
         rows = rows.hint("rebalance", *facts.partition_columns)
     rows.write.insertInto(table, overwrite=True)
 
 
+def overwrite_table(df: DataFrame, table: str, on_overflow: str = "raise") -> None:
+    """Replace all rows of an unpartitioned table; an empty ``df`` empties it.
+    Columns are matched by name and narrowed to the table's types.
+
+    The rows are computed into the shared scratch folder first, so a failure
+    there leaves the table as it was, and ``df`` may read the table itself.
+    Replacing it then is a copy of finished files; they are removed after it.
+    """
+    spark = df.sparkSession
+    if table_facts(spark, table).partition_columns:
+        raise ValueError(f"{table} is partitioned")
+    rows, folder = narrow_to(df, spark.table(table).schema, on_overflow), scratch_dir(spark)
+    rows.write.parquet(folder)
+    spark.read.schema(rows.schema).parquet(folder).write.insertInto(table, overwrite=True)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def append_row(spark: SparkSession, table: str, **values) -> None:
     """Append one row. Columns without a value become NULL; a name that is not
     a column is an error."""

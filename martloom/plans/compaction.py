@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +15,14 @@ from martloom.config import BLOCK_BYTES
 from martloom.functions import target_file_count
 from martloom.operators.partitions import stored_value
 from martloom.operators.sinks import overwrite_partitions
-from martloom.sources.files import partition_inventory, partition_sizes
+from martloom.sources.files import partition_inventory, partition_sizes, touched_partitions
 from martloom.sources.literals import literal_rows
-from martloom.sources.tables import table_location
+from martloom.sources.tables import table_facts
 
 
-_SLOTS = (
-    T.StructType()
-    .add("__value", T.StringType())
-    .add("__first", T.LongType())
-    .add("__files", T.LongType())
-)
+# Output files of one write job: what a shuffle holds about its tasks stays
+# small however much there is to compact.
+FILES_PER_JOB = 10_000
 
 
 def compaction_plan(sizes: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -34,47 +34,71 @@ def compaction_plan(sizes: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 def compact_partitions(
     spark: SparkSession,
     table: str,
-    partition_column: str,
     run_start: str | None = None,
     block_bytes: int = BLOCK_BYTES,
+    files_per_job: int = FILES_PER_JOB,
 ) -> list[dict]:
     """Rewrite partitions to their target file count; with ``run_start`` only
-    those written since. Returns what was rewritten.
+    those written since, and only their folders are listed. Returns what was
+    rewritten.
 
-    All partitions go through one shuffle. Every output file has its own task,
-    and a partition's rows are dealt out to its files at random, so a large
-    partition is spread as widely as its bytes require. Partitions that already
-    have the right number of files are not rewritten. The overwrite is staged,
-    and replaces a partition only when all of its new files are there.
+    A partition is a folder of files: with several partition columns, one value
+    of each. Partitions that already have the right number of files are not
+    rewritten. The others go through one shuffle for about ``files_per_job``
+    output files, and all of one partition through the same: every output file
+    has its own task, and a partition's rows are dealt out to its files at
+    random. The overwrite is staged, and replaces a partition only when all of
+    its new files are there.
     """
-    location = table_location(spark, table)
-    folders = location
+    facts = table_facts(spark, table)
+    keys, folders = facts.partition_columns, facts.location
     if run_start is not None:
-        written = partition_inventory(spark, location, partition_column, since=run_start)
-        paths = written.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
-        folders = [row["folder"] for row in paths.collect()]
+        touched = touched_partitions(spark, facts.location, keys, run_start)
+        folders = [f"{facts.location}/{row['partition']}" for row in touched.collect()]
         if not folders:
             return []
-    sizes = partition_sizes(partition_inventory(spark, folders, partition_column), partition_column)
-    plan = (
-        compaction_plan(sizes, block_bytes)
-        .where(F.col("files") != F.col("target_files"))
-        .orderBy(partition_column)
-        .collect()
-    )
-    if not plan:
-        return []
-
-    values = [stored_value(row[partition_column]) for row in plan]
-    counts = [row["target_files"] for row in plan]
+    sizes = partition_sizes(partition_inventory(spark, folders, keys), keys)
+    found = compaction_plan(sizes, block_bytes).where(F.col("files") != F.col("target_files")).collect()
+    plan = sorted((row.asDict() for row in found), key=lambda row: row["partition"])
+    for batch in _batches(plan, files_per_job):
+        _rewrite(spark, table, keys, batch)
+    return plan
+
+
+def _batches(plan: list[dict], files_per_job: int) -> Iterator[list[dict]]:
+    batch, files = [], 0
+    for row in plan:
+        if batch and files + row["target_files"] > files_per_job:
+            yield batch
+            batch, files = [], 0
+        batch.append(row)
+        files += row["target_files"]
+    if batch:
+        yield batch
+
+
+def _rewrite(spark: SparkSession, table: str, keys: tuple[str, ...], batch: list[dict]) -> None:
+    """Rewrite the partitions of ``batch`` in one job."""
+    specs = [tuple(stored_value(row[key]) for key in keys) for row in batch]
+    counts = [row["target_files"] for row in batch]
     firsts = [0, *accumulate(counts)]
-    slots = literal_rows(spark, list(zip(values, firsts, counts, strict=False)), _SLOTS)
-    column = F.col(partition_column)
-    named = column.isin([value for value in values if value is not None])
-    rows = spark.table(table).where(named | column.isNull() if None in values else named)
+    named = [f"__{i}" for i in range(len(keys))]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in named])
+    schema = schema.add("__first", T.LongType()).add("__files", T.LongType())
+    slots = literal_rows(spark, [(*s, f, n) for s, f, n in zip(specs, firsts, counts, strict=False)], schema)
+
+    rows = spark.table(table)
+    for i, key in enumerate(keys):
+        # For the catalog, which prunes by plain comparisons of one column.
+        values = {spec[i] for spec in specs}
+        wanted = F.col(key).isin(sorted(values - {None}))
+        rows = rows.where(wanted | F.col(key).isNull() if None in values else wanted)
+    if len(keys) > 1:
+        whole = F.concat_ws("/", *(F.col(key).cast("string") for key in keys))
+        rows = rows.where(whole.isin(["/".join(v for v in spec if v is not None) for spec in specs]))
+    same = [F.col(key).cast("string").eqNullSafe(F.col(name)) for key, name in zip(keys, named, strict=True)]
     # One row per partition being rewritten.
-    dealt = rows.join(slots, column.cast("string").eqNullSafe(F.col("__value")))
+    dealt = rows.join(slots, reduce(and_, same))
     file_id = F.col("__first") + F.floor(F.rand(seed=11) * F.col("__files"))
-    exact = dealt.repartitionById(firsts[-1], file_id.cast("int")).drop("__value", "__first", "__files")
+    exact = dealt.repartitionById(firsts[-1], file_id.cast("int")).drop(*schema.fieldNames())
     overwrite_partitions(exact, table, rebalance=False)
-    return [row.asDict() for row in plan]

@@ -11,7 +11,7 @@ from martloom import session
 from martloom.config import RunConfig
 from martloom.functions import partition_value
 from martloom.operators.aggregates import last_partition
-from martloom.operators.ddl import declare_table, recreate_table
+from martloom.operators.ddl import declare_table, redeclare_table
 from martloom.operators.joins import HotKeys
 from martloom.plans.audit import AUDIT_SCHEMA, RUN_STATS_SCHEMA, record_run, run_stats, write_run_stats
 from martloom.plans.compaction import compact_partitions
@@ -34,14 +34,14 @@ class RunReport:
 
 
 def declare_tables(spark: SparkSession, config: RunConfig) -> None:
-    """Declare mart, audit and statistics tables; external ones are
-    re-declared, so that changed definitions apply."""
+    """Declare mart, audit and statistics tables; external ones
+    whose definition changed are re-declared."""
     spec = config.spec
     if config.location:
-        recreate_table(spark, config.target, spec.schema, config.location, spec.partition_column)
-        recreate_table(spark, config.audit_table, AUDIT_SCHEMA, config.audit_location)
+        redeclare_table(spark, config.target, spec.schema, config.location, spec.partitions)
+        redeclare_table(spark, config.audit_table, AUDIT_SCHEMA, config.audit_location)
     else:
-        declare_table(spark, config.target, spec.schema, spec.partition_column)
+        declare_table(spark, config.target, spec.schema, spec.partitions)
         declare_table(spark, config.audit_table, AUDIT_SCHEMA)
     declare_table(spark, config.statistics_table, RUN_STATS_SCHEMA)
 
@@ -116,8 +116,10 @@ def run_mart_job(
             f"{config.target}: stopped after step {outcome.last_success} of {outcome.in_general}"
         ) from outcome.error
 
-    compacted = compact_partitions(spark, config.target, spec.partition_column, run_start, config.block_bytes)
-    expired = apply_retention(spark, config.target, spec.partition_column, run_start, config.lifetime)
+    compacted = compact_partitions(spark, config.target, run_start, config.block_bytes)
+    expired = apply_retention(
+        spark, config.target, spec.partition_column, run_start, config.lifetime, recover=False
+    )
     write_run_stats(
         run_stats(
             spark, load_id, config.entity_id, run_start, newest["value"] if newest else None,

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from martloom.config import MartSpec
 from martloom.functions import narrow_to, partition_value
-from martloom.operators.ddl import recreate_table
+from martloom.operators.ddl import redeclare_table
 from martloom.operators.joins import HotKeys, left_join
 from martloom.operators.partitions import NULL_PARTITION, stored_value, truncate_partitions
 from martloom.operators.projections import filter_report_date, stamp_load
@@ -136,4 +136,4 @@ def force_reload(spark: SparkSession, table: str, spec: MartSpec) -> None:
     caller then loads the one date it was given."""
     truncate_partitions(spark, table)
     if is_external(spark, table):
-        recreate_table(spark, table, spec.schema, table_location(spark, table), spec.partition_column)
+        redeclare_table(spark, table, spec.schema, table_location(spark, table), spec.partitions)

@@ -9,19 +9,21 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.operators.sinks import overwrite_partitions
+from martloom.operators.sinks import overwrite_partitions, overwrite_table
 from martloom.plans.audit import last_step
 
 
 @dataclass(frozen=True)
 class Step:
     """One table and the function ``(spark, params) -> DataFrame`` of its rows.
-    ``rebalance`` suits results of many dates, see ``overwrite_partitions``."""
+    ``rebalance`` suits results of many dates, see ``overwrite_partitions``.
+    ``whole`` replaces all rows of an unpartitioned table."""
 
     table: str
     transform: Callable[[SparkSession, Mapping], DataFrame]
     on_overflow: str = "raise"
     rebalance: bool = True
+    whole: bool = False
 
 
 @dataclass(frozen=True)
@@ -61,7 +63,10 @@ def run_steps(
 
     def write(step: Step) -> None:
         rows = step.transform(spark, params)
-        overwrite_partitions(rows, step.table, step.on_overflow, step.rebalance)
+        if step.whole:
+            overwrite_table(rows, step.table, step.on_overflow)
+        else:
+            overwrite_partitions(rows, step.table, step.on_overflow, step.rebalance)
 
     done = min(done, total)
     for number in range(done + 1, total + 1):

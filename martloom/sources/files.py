@@ -6,22 +6,30 @@ the executors. Only names, lengths and times are read, never file contents.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.functions import partition_value, run_start_timestamp
+from martloom.functions import run_start_timestamp
+from martloom.functions.partition_text import column_names
+
+
+def _millis(spark: SparkSession, since: str) -> int:
+    return spark.range(1).select(F.unix_millis(run_start_timestamp(F.lit(since)))).first()[0]
 
 
 def partition_inventory(
     spark: SparkSession,
     location: str | list[str],
-    partition_column: str,
+    partition_columns: str | Sequence[str],
     since: str | None = None,
 ) -> DataFrame:
     """One row per Parquet file below ``location`` that belongs to a partition:
-    the partition value as its folder spells it, path, length, time.
+    ``partition``, the folders of all partition columns, and each value as its
+    folder spells it; path, length, time.
 
     ``since``, a run timestamp in the session's zone, keeps files modified at
     or after that second; the others are dropped while listing and cost no task.
@@ -38,31 +46,50 @@ def partition_inventory(
     if since is not None:
         # The reader's bound is exclusive, ours is inclusive. It is stated in
         # UTC because only there the reader takes it without a shift.
-        millis = spark.range(1).select(F.unix_millis(run_start_timestamp(F.lit(since)))).first()[0] - 1
+        millis = _millis(spark, since) - 1
         bound = datetime.fromtimestamp(millis // 1000, UTC).strftime("%Y-%m-%dT%H:%M:%S")
         reader = reader.option("timeZone", "UTC").option("modifiedAfter", f"{bound}.{millis % 1000:03d}")
-    return (
-        reader.load(location)
-        .where(F.contains("path", F.lit(f"/{partition_column}=")))
-        .select(
-            partition_value("path", partition_column).alias(partition_column),
-            "path",
-            "length",
-            "modificationTime",
-        )
-    )
+    columns = column_names(partition_columns)
+    folders = "/".join(f"{re.escape(c)}=([^/]*)" for c in columns)
+    pattern = f"/({folders})/[^/]*$"
+    values = (F.regexp_extract("path", pattern, i).alias(c) for i, c in enumerate(("partition", *columns), 1))
+    listed = reader.load(location).select(*values, "path", "length", "modificationTime")
+    return listed.where(F.col("partition") != "")
 
 
-def partition_sizes(inventory: DataFrame, partition_column: str) -> DataFrame:
+def partition_sizes(inventory: DataFrame, partition_columns: str | Sequence[str]) -> DataFrame:
     """Files, bytes and newest file per partition."""
-    return inventory.groupBy(partition_column).agg(
+    return inventory.groupBy("partition", *column_names(partition_columns)).agg(
         F.count("*").alias("files"),
         F.sum("length").alias("bytes"),
         F.max("modificationTime").alias("modified"),
     )
 
 
-def touched_partitions(sizes: DataFrame, run_start: str) -> DataFrame:
-    """Partitions whose newest file is from the run's start second or later."""
-    newest = F.date_trunc("second", "modified")
-    return sizes.where(newest >= run_start_timestamp(F.lit(run_start)))
+def changed_folders(spark: SparkSession, location: str, levels: int, since: str) -> list[str]:
+    """Partition folders, ``levels`` below ``location``, with a time at or after
+    ``since``: those in which a file was put or from which one was taken.
+
+    Only folders are looked at, one file-system call for each parent; their
+    files are not. A store without folder times says they all changed.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(location)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    bound, found = _millis(spark, since), [(root, 0)]
+    for _ in range(levels):
+        below = (child for folder, _ in found for child in system.listStatus(folder) if child.isDirectory())
+        paths = ((child.getPath(), child.getModificationTime()) for child in below)
+        found = [(path, time) for path, time in paths if "=" in path.getName()]
+    return [path.toString() for path, time in found if not time or time >= bound]
+
+
+def touched_partitions(
+    spark: SparkSession, location: str, partition_columns: str | Sequence[str], run_start: str
+) -> DataFrame:
+    """``partition`` and values of the partitions with a file from the run's
+    start second or later. Only folders that changed since are listed."""
+    columns = column_names(partition_columns)
+    folders = changed_folders(spark, location, len(columns), run_start)
+    listed = partition_inventory(spark, folders or location, columns, since=run_start)
+    return listed.where(F.lit(bool(folders))).select("partition", *columns).distinct()

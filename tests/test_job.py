@@ -233,3 +233,29 @@ def test_config_is_checked(config):
         replace(CORPORATE_MART, from_reference=("nope",))
     assert CORPORATE_MART.from_profile[0] == "inn" and CORPORATE_MART.from_profile[-1] == "report_dt"
     assert len(CORPORATE_MART.schema) == 19
+
+
+def test_a_step_replaces_an_unpartitioned_table_only_when_it_succeeds(spark, space):
+    from pyspark.sql import types as T
+
+    staging = space.table("staging")
+    declare_table(spark, staging, T.StructType.fromDDL(SCHEMA))
+    groups = {1: [Step(staging, one_row(1), whole=True)], 2: [Step(staging, broken, whole=True)]}
+    outcome = run_steps(spark, groups, {"factor": 10})
+    assert (outcome.last_success, outcome.in_general) == (1, 2)
+    assert numbers(spark, [staging]) == [[10]]
+    groups[2] = [Step(staging, lambda s, p: s.table(staging).withColumn("n", F.col("n") + 1), whole=True)]
+    assert run_steps(spark, groups, {"factor": 10}, done=outcome.last_success).complete
+    assert numbers(spark, [staging]) == [[11]]
+    refused = run_steps(spark, {1: [Step(staging, one_row(1))]}, {"factor": 1})
+    assert "not partitioned" in str(refused.error)
+
+
+def test_an_unchanged_table_is_not_declared_again(spark, space):
+    from martloom.operators import redeclare_table
+
+    table, folder = space.table("mart"), space.path("mart")
+    assert redeclare_table(spark, table, CORPORATE_MART.schema, folder, CORPORATE_MART.partitions)
+    assert not redeclare_table(spark, table, CORPORATE_MART.schema, folder, CORPORATE_MART.partitions)
+    wider = CORPORATE_MART.schema[:-1].add("note", "string").add(CORPORATE_MART.schema[-1])
+    assert redeclare_table(spark, table, wider, folder, CORPORATE_MART.partitions)

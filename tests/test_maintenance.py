@@ -57,7 +57,7 @@ def content(spark, table):
 def test_inventory_of_an_empty_table(spark, space):
     declare_table(spark, space.table("mart"), SCHEMA, "report_dt", space.path("mart"))
     assert files(spark, space.table("mart")) == {}
-    assert compact_partitions(spark, space.table("mart"), "report_dt") == []
+    assert compact_partitions(spark, space.table("mart")) == []
     assert apply_retention(spark, space.table("mart"), "report_dt", run_start(spark), Lifetime(days=1)) == 0
 
 
@@ -79,7 +79,7 @@ def test_touched_partitions_and_since(spark, space, zone):
     table = make(spark, space, ["d1", "d2", "d3"])
     started = next_second(spark)
     overwrite_partitions(spark.table(table).where("report_dt = 'd2'"), table)
-    touched = sources.touched_partitions(sizes(spark, table), started)
+    touched = sources.touched_partitions(spark, sources.table_location(spark, table), "report_dt", started)
     assert [r["report_dt"] for r in touched.collect()] == ["d2"]
     location = sources.table_location(spark, table)
     since = sources.partition_inventory(spark, location, "report_dt", since=started)
@@ -103,18 +103,18 @@ def test_compaction_merges_files_and_keeps_rows(spark, space, external):
     table = make(spark, space, ["d1", "d2"], external=external)
     before = content(spark, table)
     assert files(spark, table) == {"d1": 6, "d2": 6}
-    report = compact_partitions(spark, table, "report_dt")
+    report = compact_partitions(spark, table)
     assert [(r["report_dt"], r["target_files"]) for r in report] == [("d1", 1), ("d2", 1)]
     assert files(spark, table) == {"d1": 1, "d2": 1}
     assert content(spark, table) == before
-    assert compact_partitions(spark, table, "report_dt") == []
+    assert compact_partitions(spark, table) == []
 
 
 def test_compaction_splits_by_bytes(spark, space):
     table = make(spark, space, ["d1", "d2"], n=2000)
     before = content(spark, table)
     block = max(r["bytes"] for r in sizes(spark, table).collect()) // 3
-    report = compact_partitions(spark, table, "report_dt", block_bytes=block)
+    report = compact_partitions(spark, table, block_bytes=block)
     assert {r["report_dt"]: r["target_files"] for r in report} == files(spark, table)
     assert all(r["target_files"] in (3, 4) for r in report)
     assert content(spark, table) == before
@@ -129,7 +129,7 @@ def test_compaction_of_touched_partitions_only(spark, space, zone):
     again = spark.table(table).where("report_dt = 'd2'").repartition(4)
     overwrite_partitions(again, table, rebalance=False)
     before = content(spark, table)
-    assert [r["report_dt"] for r in compact_partitions(spark, table, "report_dt", started)] == ["d2"]
+    assert [r["report_dt"] for r in compact_partitions(spark, table, started)] == ["d2"]
     assert files(spark, table) == {"d1": 6, "d2": 1, "d3": 6}
     assert content(spark, table) == before
 
@@ -140,7 +140,7 @@ def test_compaction_counts_older_files_of_a_touched_partition(spark, space):
     extra = spark.createDataFrame([(-1, "x", "d1")], SCHEMA)
     extra.write.insertInto(table)
     before = content(spark, table)
-    report = compact_partitions(spark, table, "report_dt", started)
+    report = compact_partitions(spark, table, started)
     assert [(r["report_dt"], r["files"]) for r in report] == [("d1", 7)]
     assert content(spark, table) == before
 
@@ -150,7 +150,7 @@ def test_compaction_of_null_and_odd_partition_values(spark, space):
     odd = spark.createDataFrame([(i, str(i), d) for i in range(40) for d in (None, "a:b c'%")], SCHEMA)
     overwrite_partitions(odd.repartition(5), table, rebalance=False)
     before = spark.table(table).count()
-    compact_partitions(spark, table, "report_dt")
+    compact_partitions(spark, table)
     assert all(n == 1 for n in files(spark, table).values())
     assert spark.table(table).count() == before
     assert spark.table(table).where("report_dt is null").count() == 40
@@ -160,7 +160,7 @@ def test_compaction_of_null_and_odd_partition_values(spark, space):
 def test_retention_plan_boundary(spark):
     days = ["2024-02-28", "2024-02-29", "2024-03-01", "2024-01-01"]
     listed = spark.createDataFrame([(f"report_dt={d}",) for d in days], "partition string")
-    touched = spark.createDataFrame([("2024-01-01",)], "report_dt string")
+    touched = spark.createDataFrame([("report_dt=2024-01-01",)], "partition string")
     plan = retention_plan(listed, touched, "report_dt", "2024-03-31 00:00:00", Lifetime(months=1))
     assert {r["value"]: r["expired"] for r in plan.collect()} == {
         "2024-02-28": True, "2024-02-29": True, "2024-03-01": False, "2024-01-01": False,
@@ -237,3 +237,50 @@ def test_jobs_do_not_grow_with_the_partitions_dropped(spark, space):
         recover_partitions(spark, table)
         assert spark.table(table).count() == 0 and sources.list_partitions(spark, table).count() == 0
     assert jobs[0] == jobs[1]
+
+
+TWO_LEVELS = T.StructType().add("a", T.LongType()).add("platform", T.StringType()).add("report_dt", T.StringType())
+
+
+def make_two_levels(spark, space, days):
+    table = space.table("two")
+    declare_table(spark, table, TWO_LEVELS, ("platform", "report_dt"))
+    platform = F.when(F.col("id") % 2 == 0, "WEB").otherwise("a/b")
+    day = F.element_at(F.array(*(F.lit(d) for d in days)), (F.floor(F.col("id") / 2) % len(days) + 1).cast("int"))
+    rows = spark.range(0, 400, 1, 4).select(F.col("id").alias("a"), platform.alias("platform"), day.alias("report_dt"))
+    overwrite_partitions(rows, table, rebalance=False)
+    return table
+
+
+def test_compaction_of_two_levels_ends(spark, space):
+    table = make_two_levels(spark, space, ["d1", "d2"])
+    before = sorted(tuple(r) for r in spark.table(table).collect())
+    report = compact_partitions(spark, table, files_per_job=2)
+    names = {r["partition"] for r in sources.list_partitions(spark, table).collect()}
+    assert [r["partition"] for r in report] == sorted(names) and len(names) == 4
+    assert {(r["files"], r["target_files"]) for r in report} == {(4, 1)}
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == before
+    assert compact_partitions(spark, table) == []
+
+
+def test_a_run_on_one_of_many_dates_lists_one_folder(spark, space):
+    table = make_two_levels(spark, space, ["d1", "d2", "d3"])
+    started = next_second(spark)
+    one = spark.table(table).where("report_dt = 'd2' and platform = 'WEB'")
+    overwrite_partitions(one.repartition(3), table, rebalance=False)
+    location = sources.table_location(spark, table)
+    folders = sources.changed_folders(spark, location, 2, started)
+    assert [f.split("/two/")[1] for f in folders] == ["platform=WEB/report_dt=d2"]
+    assert [r["partition"] for r in compact_partitions(spark, table, started)] == ["platform=WEB/report_dt=d2"]
+
+
+def test_a_touched_platform_does_not_protect_another(spark, space):
+    today = date.fromisoformat(run_start(spark)[:10])
+    old, new = str(today - timedelta(days=30)), str(today)
+    table = make_two_levels(spark, space, [old, new])
+    started = next_second(spark)
+    time.sleep(1.1)
+    overwrite_partitions(spark.table(table).where(f"platform = 'WEB' and report_dt = '{old}'"), table)
+    assert apply_retention(spark, table, "report_dt", started, Lifetime(days=10)) == 1
+    left = {tuple(r) for r in spark.table(table).select("platform", "report_dt").distinct().collect()}
+    assert left == {("WEB", old), ("WEB", new), ("a/b", new)}

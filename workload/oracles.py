@@ -207,6 +207,10 @@ ORACLES = {
         select report_dt, count(*) as n_rows, min(o_orderkey) as low, max(o_orderkey) as high,
                true as within_plan
         from ({_MONTHLY}) group by report_dt""",
+    "compact_two_levels": f"""
+        select o_orderstatus, report_dt, count(*) as n_rows, min(o_orderkey) as low, max(o_orderkey) as high,
+               true as within_plan, 0 as n_again
+        from ({_MONTHLY}) group by o_orderstatus, report_dt""",
     "retention_plan": f"""
         select 'report_dt=' || report_dt as partition, report_dt as value,
                '2000-05-31 06:00:00' as cutoff,

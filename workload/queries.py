@@ -151,7 +151,8 @@ def touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         time.sleep(0.1)
     started = run_start(spark)
     overwrite_partitions(monthly_columns(orders.where(F.col("o_totalprice") > 499000)), table)
-    return sources.touched_partitions(_sizes(spark, table), started).select(_PART)
+    location = sources.table_location(spark, table)
+    return sources.touched_partitions(spark, location, _PART, started).select(_PART)
 
 
 # Table definition and sinks
@@ -470,7 +471,7 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = compaction_plan(_sizes(spark, table)).select(_PART, "target_files")
     # The plan is kept as values: it describes files that are about to go.
     planned = literal_rows(spark, before.collect(), before.schema)
-    compact_partitions(spark, table, _PART, started)
+    compact_partitions(spark, table, started)
     per_month = spark.table(table).groupBy(_PART).agg(
         F.count("*").alias("n_rows"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
     )
@@ -480,10 +481,31 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compacted_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status and month: a partition is a month of one status. A
+    second pass finds nothing to rewrite."""
+    keys = ("o_orderstatus", _PART)
+    table = Workspace(spark).table("two_levels")
+    declare_table(spark, table, MONTHLY_SCHEMA, keys)
+    started = run_start(spark)
+    orders = monthly_columns(monthly_orders(spark, sf_dir))
+    overwrite_partitions(orders.repartition(3), table, rebalance=False)
+    compact_partitions(spark, table, started)
+    again = compact_partitions(spark, table, started)
+    location = sources.table_location(spark, table)
+    sizes = sources.partition_sizes(sources.partition_inventory(spark, location, keys), keys)
+    settled = compaction_plan(sizes).select(*keys, (F.col("files") <= F.col("target_files")).alias("within_plan"))
+    per_partition = spark.table(table).groupBy(*keys).agg(
+        F.count("*").alias("n_rows"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
+    )
+    return per_partition.join(settled, list(keys), "left").withColumn("n_again", F.lit(len(again)))
+
+
 def planned_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months with a very large order count as touched by the run."""
     table = shared_monthly(spark, sf_dir)
-    touched = spark.table(table).where(F.col("o_totalprice") > 499000).select(_PART)
+    touched = spark.table(table).where(F.col("o_totalprice") > 499000)
+    touched = touched.select(F.concat(F.lit(f"{_PART}="), _PART).alias("partition"))
     listed = sources.list_partitions(spark, table)
     return retention_plan(listed, touched, _PART, "2001-07-31 06:00:00", Lifetime(months=14))
 
@@ -512,7 +534,7 @@ def step_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customers, mart = (space.table(name) for name in ("orders_m", "customers_m", "mart"))
     declare_table(spark, orders, MONTHLY_SCHEMA, _PART)
     known = given(spark, sf_dir, "customer")
-    declare_table(spark, customers, known.schema, "c_nationkey")
+    declare_table(spark, customers, known.schema)
     declare_table(spark, mart, ORDERS_MART.schema, _PART)
 
     def joined(spark: SparkSession, params) -> DataFrame:
@@ -522,7 +544,7 @@ def step_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = {
         1: [
             Step(orders, lambda s, _: monthly_columns(monthly_orders(s, sf_dir))),
-            Step(customers, lambda s, _: given(s, sf_dir, "customer")),
+            Step(customers, lambda s, _: given(s, sf_dir, "customer"), whole=True),
         ],
         2: [Step(mart, joined)],
     }
@@ -654,6 +676,7 @@ QUERIES = {
     "change_of_run": change_of_mart,
     "compaction_plan": planned_compaction,
     "compact_partition": compacted,
+    "compact_two_levels": compacted_two_levels,
     "retention_plan": planned_retention,
     "retention_apply": applied_retention,
     "retention_external": retained_external,

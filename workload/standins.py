@@ -136,6 +136,9 @@ class Workspace:
             "CREATE DATABASE IDENTIFIER(:d) LOCATION :folder",
             args={"d": self.database, "folder": f"{self.folder}/managed"},
         )
+        # The catalog's entries end with the session; so do the files.
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
