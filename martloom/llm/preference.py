@@ -6,8 +6,8 @@ spans of it that a loss applies to: the texts of assistant turns and their end
 marks; turns of others and role marks are masked.
 
 A pair is one row in the result, so its turns meet in one row; pairs spread
-over the tasks. Turns are ordered by number, then role and text; repeated rows
-count once. NULL roles and texts are empty. Rows with a NULL pair id belong to
+over the tasks. Turns are ordered by number, NULL first, then role and text;
+repeated rows count once. NULL roles and texts are empty. Rows with a NULL pair id belong to
 no pair. A side without turns has an empty completion.
 """
 
@@ -73,21 +73,24 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def reply_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs from a table of conversations ``(conv_id, turn, role, text)``: a
-    conversation up to its last assistant turn is chosen; the same with that
-    turn's text taken from the last assistant turn of conversation
-    ``conv_id + 1`` is rejected. Where there is no such text, it is empty."""
+    """Pairs from a table of conversations ``(conv_id, turn, role, text)``, one
+    for each: a conversation up to its last assistant turn is chosen; the same
+    with that turn's text taken from the last assistant turn of conversation
+    ``conv_id + 1`` is rejected. Where there is no such text, it is empty.
+
+    Turns after the last reply are part of neither side, for nothing answers
+    them. A conversation without a reply has all its turns on both sides, so
+    they are the prompt and both completions are empty. A NULL turn number is
+    below all others."""
     turns = conversations.where(F.col("conv_id").isNotNull()).select(
         F.col("conv_id").alias("pair_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    last = F.max(F.when(F.col("role") == LEARNT_ROLE, F.col("turn"))).over(Window.partitionBy("pair_id"))
-    chosen = turns.withColumn("last", last).where(F.col("turn") <= F.col("last"))
-    replies = (
-        chosen.where((F.col("turn") == F.col("last")) & (F.col("role") == LEARNT_ROLE))
-        .groupBy((F.col("pair_id") - 1).alias("pair_id"))
-        .agg(F.min("text").alias("other"))
-    )
-    is_reply = (F.col("turn") == F.col("last")) & (F.col("role") == LEARNT_ROLE)
+    # In a struct a NULL is the least value and equal to itself.
+    at = F.struct("turn")
+    last = F.max(F.when(F.col("role") == LEARNT_ROLE, at)).over(Window.partitionBy("pair_id"))
+    chosen = turns.withColumn("last", last).where(F.col("last").isNull() | (at <= F.col("last")))
+    is_reply = (at == F.col("last")) & (F.col("role") == LEARNT_ROLE)
+    replies = chosen.where(is_reply).groupBy((F.col("pair_id") - 1).alias("pair_id")).agg(F.min("text").alias("other"))
     rejected = chosen.join(replies, "pair_id", "left").select(
         "pair_id", "turn", "role", F.when(is_reply, F.coalesce("other", F.lit(""))).otherwise(F.col("text")).alias("text")
     )

@@ -71,3 +71,40 @@ def test_small_cases(spark):
         assert [tuple(s) for s in r["rejected_spans"]] == bad_spans
     empty = sides[0].where("false")
     assert preference.format_pairs(empty, empty).collect() == []
+
+
+def test_every_conversation_has_a_row(spark, sf):
+    talks: dict = {}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        talks.setdefault(r["conv_id"], []).append((r["turn"], r["role"] or "", r["text"] or ""))
+    got = {r["conv_id"]: r for r in QUERIES["op2_preference"](spark, sf).collect()}
+    assert got.keys() == talks.keys()
+    silent = [i for i, turns in talks.items() if all(role != "assistant" for _, role, _ in turns)]
+    assert silent
+    for i in silent:
+        turns, r = [t[1:] for t in sorted(set(talks[i]))], got[i]
+        assert (r["n_shared"], r["prompt"]) == (len(turns), rendered(turns))
+        assert (r["chosen"], r["chosen_spans"], r["rejected"], r["rejected_spans"]) == ("", "", "", "")
+
+
+def test_conversations_without_replies_or_numbers(spark):
+    rows = [
+        (1, 0, "user", "a"), (1, 1, "user", "b"),
+        (2, None, "user", "c"), (2, 0, "assistant", "d"), (2, 1, "user", "e"),
+        (3, None, "assistant", "f"), (3, 0, "user", "g"),
+        (4, None, "user", "h"),
+        (None, 0, "user", "no id"),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r["pair_id"]: r for r in preference.format_pairs(*preference.reply_pairs(table)).collect()}
+    # Shared turns, then the completions; "e" and "g" come after the last reply.
+    expected = {
+        1: ([("user", "a"), ("user", "b")], [], []),
+        2: ([("user", "c")], [("assistant", "d")], [("assistant", "f")]),
+        3: ([], [("assistant", "f")], [("assistant", "")]),
+        4: ([("user", "h")], [], []),
+    }
+    assert got.keys() == expected.keys()
+    for i, (prompt, chosen, rejected) in expected.items():
+        r = got[i]
+        assert (r["n_shared"], r["prompt"], r["chosen"], r["rejected"]) == (len(prompt), *map(rendered, (prompt, chosen, rejected)))
