@@ -17,8 +17,9 @@ All of it is joins and aggregates: contexts are counted with partial sums, the
 score of a character in its context is computed once for each distinct one in
 the table, and a URL is scored once however many rows have it.
 
-URLs: NULL or without ``://``, host and path are empty and the score is 0.
-Without examples of both kinds every score and the threshold are 0, which
+Rules look at host and path; the models learn from and score the whole URL as
+it is written, with its scheme, query and fragment. NULL or without ``://``,
+host and path are empty. A NULL or empty URL scores 0. Without examples of both kinds every score and the threshold are 0, which
 allows.
 """
 
@@ -163,7 +164,7 @@ def judge(pages: DataFrame, rules=RULES, url: str = "url", order: int = ORDER, f
     host, path = host_and_path(F.col(url))
     found = fitting_rule(host, path, rules)
     own = pages.select(F.struct(*(F.col(c) for c in pages.columns)).alias("row"), host.alias("host"), path.alias("path"), found.alias("found"))
-    own = own.withColumn("text", F.concat("host", "path"))
+    own = own.withColumn("text", F.coalesce(F.col("row")[url], F.lit("")))
     # Each URL once, with its number of rows; whether a rule fits depends on it.
     texts = stored(own.groupBy("text").agg(F.first("found.action").alias("action"), F.count("*").alias("n")))
     held = F.crc32("text") % folds == 0

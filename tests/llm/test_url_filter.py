@@ -115,3 +115,25 @@ def test_rules_and_odd_rows(spark):
 def test_query_runs_no_python(spark, sf):
     plan = QUERIES["op5_url_filter"](spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)
+
+
+def test_query_scores_whole_urls(spark, sf):
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()}
+    got = {r["page_id"]: r for r in QUERIES["op5_url_filter"](spark, sf).collect()}
+    actions = {i: rule(*parts(u))[1] for i, u in pages.items()}
+    scores, threshold = plain_model([(u, actions[i]) for i, u in pages.items()])
+    assert got.keys() == pages.keys()
+    for i, u in pages.items():
+        assert got[i]["score"] == pytest.approx(scores[u], abs=1e-9)
+        assert got[i]["verdict"] == (actions[i] or ("allow" if scores[u] >= threshold else "block"))
+
+
+def test_tails_and_urls_without_scheme_are_scored(spark):
+    urls = [f"{kind}/{n}?{tail}" for kind, tail in (("http://a.net", "ref=bad"), ("http://b.org/fr", "id=fine")) for n in range(50)]
+    other = ["http://c.com/1?ref=bad", "http://c.com/1?id=fine", "c.com/1?ref=bad", "c.com/1?id=fine", "", None]
+    table = spark.createDataFrame([(u,) for u in urls + other], "url string")
+    got = {r["url"]: r for r in url_filter.judge(table).where("url IS NULL OR rule IS NULL").collect()}
+    assert got.keys() == set(other)
+    for bad, fine in (other[:2], other[2:4]):
+        assert got[bad]["score"] < got[fine]["score"] and got[bad]["score"] != 0 != got[fine]["score"]
+    assert got[""]["score"] == got[None]["score"] == 0
