@@ -35,9 +35,9 @@ def ship(spark: SparkSession) -> None:
     context._martloom_sent = True
 
 
-def fold(doc_id: str | Column) -> Column:
-    """crc32 of the id's text, modulo 3; NULL for a NULL id."""
-    return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3
+def fold(doc_id: str | Column, folds: int = 3) -> Column:
+    """crc32 of the id's text, modulo ``folds``; NULL for a NULL id."""
+    return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
 
 
 def held_out(doc_id: str | Column) -> Column:

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, decontam, html_text, langid, pii, preference, simhash, sketch, toxicity, url_filter
-from martloom.llm.common import held_out, ship
+from martloom.llm import bpe, clustering, decontam, html_text, langid, language_model, pii, preference, simhash, sketch, toxicity, url_filter, whitening
+from martloom.llm.common import fold, held_out, ship
 from martloom.llm.stages import PSEUDONYM_KEY, RANK_FILE
 
 
@@ -95,6 +95,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_pairs(read(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held = F.coalesce(fold("doc_id", 5) == 1, F.lit(False))
+    return language_model.score(docs, ~held).withColumn("held_out", held)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -108,6 +122,9 @@ QUERIES = {
         op8_simhash,
         op9_decontamination,
         op10_fingerprints,
+        op11_whitening,
+        op12_clustering,
+        op13_language_model,
     )
 }
 ORACLES: dict[str, str] = {}
