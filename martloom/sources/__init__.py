@@ -1,6 +1,6 @@
 """Reading tables, partitions and the files under them."""
 
-from martloom.sources.files import changed_folders, partition_inventory, partition_sizes, touched_partitions
+from martloom.sources.files import changed_folders, folder_times, partition_inventory, partition_sizes, touched_partitions
 from martloom.sources.tables import (
     is_external,
     list_partitions,
@@ -14,6 +14,7 @@ from martloom.sources.tables import (
 
 __all__ = [
     "changed_folders",
+    "folder_times",
     "is_external",
     "list_partitions",
     "partition_columns",

@@ -13,12 +13,20 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.functions import run_start_timestamp
+from martloom.functions.dates import RUN_START_FORMAT
 from martloom.functions.partition_text import column_names
 
 
+# Tasks of a listing for each core; a task may look at any number of files.
+_TASKS_PER_CORE = 4
+
+
 def _millis(spark: SparkSession, since: str) -> int:
-    return spark.range(1).select(F.unix_millis(run_start_timestamp(F.lit(since)))).first()[0]
+    """A run timestamp of the session's zone as milliseconds."""
+    time = spark.sparkContext._jvm.java.time
+    there = time.LocalDateTime.parse(since, time.format.DateTimeFormatter.ofPattern(RUN_START_FORMAT))
+    zone = time.ZoneId.of(spark.conf.get("spark.sql.session.timeZone"))
+    return there.atZone(zone).toInstant().toEpochMilli()
 
 
 def partition_inventory(
@@ -34,9 +42,8 @@ def partition_inventory(
     ``since``, a run timestamp in the session's zone, keeps files modified at
     or after that second; the others are dropped while listing and cost no task.
 
-    Without it, files are packed into tasks by their length although nothing
-    of them is read: for a very large table, bound the number of tasks with
-    ``spark.sql.files.maxPartitionNum``.
+    Spark packs files into tasks by their length, of which nothing is read
+    here; so the tasks are merged to a few for each core, without a shuffle.
     """
     reader = (
         spark.read.format("binaryFile")
@@ -54,34 +61,43 @@ def partition_inventory(
     pattern = f"/({folders})/[^/]*$"
     values = (F.regexp_extract("path", pattern, i).alias(c) for i, c in enumerate(("partition", *columns), 1))
     listed = reader.load(location).select(*values, "path", "length", "modificationTime")
-    return listed.where(F.col("partition") != "")
+    tasks = _TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return listed.where(F.col("partition") != "").coalesce(tasks)
 
 
 def partition_sizes(inventory: DataFrame, partition_columns: str | Sequence[str]) -> DataFrame:
-    """Files, bytes and newest file per partition."""
+    """Files, bytes, largest and newest file per partition."""
     return inventory.groupBy("partition", *column_names(partition_columns)).agg(
         F.count("*").alias("files"),
         F.sum("length").alias("bytes"),
+        F.max("length").alias("largest"),
         F.max("modificationTime").alias("modified"),
     )
 
 
-def changed_folders(spark: SparkSession, location: str, levels: int, since: str) -> list[str]:
-    """Partition folders, ``levels`` below ``location``, with a time at or after
-    ``since``: those in which a file was put or from which one was taken.
+def folder_times(spark: SparkSession, location: str, levels: int) -> dict[str, tuple[str, int]]:
+    """``partition: (folder, time)`` of the partition folders ``levels`` below
+    ``location``; a time is when a file was put there or taken away.
 
     Only folders are looked at, one file-system call for each parent; their
-    files are not. A store without folder times says they all changed.
+    files are not. A store without folder times says 0.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     root = hadoop.Path(location)
     system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    bound, found = _millis(spark, since), [(root, 0)]
+    found = [("", root, 0)]
     for _ in range(levels):
-        below = (child for folder, _ in found for child in system.listStatus(folder) if child.isDirectory())
-        paths = ((child.getPath(), child.getModificationTime()) for child in below)
-        found = [(path, time) for path, time in paths if "=" in path.getName()]
-    return [path.toString() for path, time in found if not time or time >= bound]
+        below = ((name, child) for name, folder, _ in found for child in system.listStatus(folder) if child.isDirectory())
+        paths = ((name, child.getPath(), child.getModificationTime()) for name, child in below)
+        found = [(f"{name}/{path.getName()}", path, time) for name, path, time in paths if "=" in path.getName()]
+    return {name.lstrip("/"): (path.toString(), time) for name, path, time in found}
+
+
+def changed_folders(spark: SparkSession, location: str, levels: int, since: str) -> list[str]:
+    """Partition folders, ``levels`` below ``location``, with a time at or after
+    ``since``. A store without folder times says they all changed."""
+    bound = _millis(spark, since)
+    return [path for path, time in folder_times(spark, location, levels).values() if not time or time >= bound]
 
 
 def touched_partitions(

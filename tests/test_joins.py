@@ -1,9 +1,12 @@
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from martloom.operators import HotKeys, left_join
+from martloom.operators import HotKeys, joins, left_join
+from martloom.operators.joins import heavy_buckets, hot_keys_of
 
 ALL_HOT = HotKeys(rows_per_task=1)
 
@@ -130,3 +133,70 @@ def test_name_clash_is_an_error(spark):
 def test_policy_bounds():
     with pytest.raises(ValueError):
         HotKeys(rows_per_task=0)
+
+
+@pytest.fixture()
+def stored_right(spark, tmp_path):
+    """A stored right side: half of its rows share a key."""
+    rows = spark.range(0, 4000, 1, 4).selectExpr("IF(id % 2 = 0, 'hot', CAST(id AS string)) AS k", "id AS b")
+    rows.write.parquet(str(tmp_path / "right"))
+    return spark.read.parquet(str(tmp_path / "right"))
+
+
+def jobs_of(spark, made):
+    """What ``made`` returns, and how many jobs it ran."""
+    group = f"join-{time.monotonic()}"
+    spark.sparkContext.setJobGroup(group, group)
+    out = made()
+    n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, n
+
+
+def test_footers_settle_a_small_right_side(spark, stored_right):
+    left = spark.range(40).selectExpr("'hot' AS k", "id AS a")
+    joined, jobs = jobs_of(spark, lambda: left_join(left, stored_right.where("b >= 0"), "k", "k", ["b"], HotKeys(rows_per_task=4000)))
+    assert jobs == 0 and "__piece" not in plan_of(joined)
+    joined, jobs = jobs_of(spark, lambda: left_join(left, stored_right, "k", "k", ["b"], HotKeys(rows_per_task=3999)))
+    assert 0 < jobs <= 2 and "__piece" not in plan_of(joined), "a histogram alone"
+    doubled = stored_right.join(spark.range(2).withColumnRenamed("id", "copy"))
+    assert jobs_of(spark, lambda: left_join(left, doubled, "k", "k", ["b"], HotKeys(rows_per_task=5000)))[1] > 0
+
+
+def test_a_task_shuffles_no_more_rows_than_buckets(spark, stored_right):
+    policy = HotKeys(rows_per_task=100, buckets=16)
+    heavy = heavy_buckets(stored_right, "k", policy)
+    heavy.collect()
+    text = plan_of(heavy)
+    assert "functions=[partial_count" in text and text.count("Exchange hashpartitioning(_groupingexpression") >= 1
+    before = stored_right.groupBy(F.spark_partition_id().alias("p"), F.pmod(F.xxhash64("k"), F.lit(16)).alias("b")).count()
+    assert all(r["n"] <= 16 for r in before.groupBy("p").agg(F.count("*").alias("n")).collect())
+    assert hot_keys_of(stored_right, "k", policy).collect() == [("hot", 20)]
+    # Most buckets are heavy by their many light keys: the exact count tells.
+    assert heavy.count() > 4
+
+
+def test_light_keys_in_heavy_buckets_are_not_split(spark, stored_right):
+    left = spark.range(40).selectExpr("'1' AS k", "id AS a")
+    light = stored_right.where("k <> 'hot'")
+    joined = left_join(left, light, "k", "k", ["b"], HotKeys(rows_per_task=50, buckets=4))
+    assert "__piece" not in plan_of(joined) and joined.count() == 40
+
+
+def test_many_hot_keys_are_counted_by_the_query(spark, monkeypatch):
+    monkeypatch.setattr(joins, "_STATED_KEYS", 1)
+    assert run(spark, LEFT, RIGHT, ALL_HOT) == nested_loop(LEFT, RIGHT)
+
+
+def test_derived_right_sides_need_whole_retries(spark, stored_right):
+    left = spark.range(40).selectExpr("'hot' AS k", "id AS a")
+    key = "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch"
+    spark.conf.set(key, "false")
+    try:
+        derived = stored_right.groupBy("k", "b").count()
+        with pytest.raises(ValueError, match="enableFullRetryOnMismatch"):
+            left_join(left, derived, "k", "k", ["b"], HotKeys(rows_per_task=100))
+        assert left_join(left, stored_right, "k", "k", ["b"], HotKeys(rows_per_task=100)).count() == 40 * 2000
+        assert left_join(left, derived, "k", "k", ["b"], HotKeys(rows_per_task=5000)).count() == 40 * 2000
+    finally:
+        spark.conf.set(key, "true")
