@@ -109,6 +109,11 @@ class RunConfig:
         database, table = self.target.split(".")
         return f"{database}.{AUDIT_PREFIX}{table}"
 
+    @property
+    def counts_table(self) -> str:
+        """Rows by partition of the target, as last counted."""
+        return f"{self.audit_table}_rows"
+
     @property
     def statistics_table(self) -> str:
         return self.stats_table or f"{self.database}.run_stats"

@@ -2,15 +2,17 @@
 
 from martloom.plans.audit import (
     AUDIT_SCHEMA,
+    COUNTS_SCHEMA,
     RUN_STATS_SCHEMA,
     change_of_run,
+    current_rows,
     last_step,
     previous_count,
     record_run,
     run_stats,
     write_run_stats,
 )
-from martloom.plans.compaction import compact_partitions, compaction_plan
+from martloom.plans.compaction import compact_partitions, compact_table, compaction_plan
 from martloom.plans.job import JobFailed, RunReport, run_mart_job
 from martloom.plans.mart import (
     CORPORATE_MART,
@@ -26,6 +28,7 @@ from martloom.plans.steps import Step, StepsOutcome, resume_after, run_steps
 __all__ = [
     "AUDIT_SCHEMA",
     "CORPORATE_MART",
+    "COUNTS_SCHEMA",
     "JobFailed",
     "RUN_STATS_SCHEMA",
     "RunReport",
@@ -35,7 +38,9 @@ __all__ = [
     "build_mart",
     "change_of_run",
     "compact_partitions",
+    "compact_table",
     "compaction_plan",
+    "current_rows",
     "force_reload",
     "last_step",
     "mart_rows",

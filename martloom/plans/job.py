@@ -13,8 +13,8 @@ from martloom.functions import partition_value
 from martloom.operators.aggregates import last_partition
 from martloom.operators.ddl import declare_table, redeclare_table
 from martloom.operators.joins import HotKeys
-from martloom.plans.audit import AUDIT_SCHEMA, RUN_STATS_SCHEMA, record_run, run_stats, write_run_stats
-from martloom.plans.compaction import compact_partitions
+from martloom.plans.audit import AUDIT_SCHEMA, COUNTS_SCHEMA, RUN_STATS_SCHEMA, record_run, run_stats, write_run_stats
+from martloom.plans.compaction import compact_partitions, compact_table
 from martloom.plans.mart import force_reload, mart_rows, resolve_date
 from martloom.plans.retention import apply_retention
 from martloom.plans.steps import Step, resume_after, run_steps
@@ -44,6 +44,7 @@ def declare_tables(spark: SparkSession, config: RunConfig) -> None:
         declare_table(spark, config.target, spec.schema, spec.partitions)
         declare_table(spark, config.audit_table, AUDIT_SCHEMA)
     declare_table(spark, config.statistics_table, RUN_STATS_SCHEMA)
+    declare_table(spark, config.counts_table, COUNTS_SCHEMA)
 
 
 def mart_step(config: RunConfig, hot_keys: HotKeys | None = HotKeys()) -> Step:
@@ -61,7 +62,7 @@ def mart_step(config: RunConfig, hot_keys: HotKeys | None = HotKeys()) -> Step:
             hot_keys,
         )
 
-    return Step(config.target, transform, config.on_overflow, rebalance=False)
+    return Step(config.target, transform, config.on_overflow, rebalance="blocks", block_bytes=config.block_bytes)
 
 
 def run_mart_job(
@@ -110,13 +111,17 @@ def run_mart_job(
         force,
         outcome.last_success,
         outcome.in_general,
+        config.counts_table,
+        outcome.written.get(config.target),
     )
     if not outcome.complete:
         raise JobFailed(
             f"{config.target}: stopped after step {outcome.last_success} of {outcome.in_general}"
         ) from outcome.error
 
-    compacted = compact_partitions(spark, config.target, run_start, config.block_bytes)
+    # The step has written about a block a file; only what it left far from
+    # that, or others wrote, is written again.
+    compacted = compact_partitions(spark, config.target, run_start, config.block_bytes, slack=2.0)
     expired = apply_retention(
         spark, config.target, spec.partition_column, run_start, config.lifetime, recover=False
     )
@@ -127,4 +132,7 @@ def run_mart_job(
         ),
         config.statistics_table,
     )
+    # A file for every run would add up.
+    for table in (config.audit_table, config.statistics_table):
+        compact_table(spark, table, config.block_bytes)
     return RunReport(load_date, audit, compacted, expired)

@@ -13,6 +13,7 @@ from martloom.operators.joins import HotKeys, left_join
 from martloom.operators.partitions import NULL_PARTITION, stored_value, truncate_partitions
 from martloom.operators.projections import filter_report_date, stamp_load
 from martloom.operators.sinks import overwrite_partitions
+from martloom.sources.footers import MOST_FILES, rows_at_most, stored_files
 from martloom.sources.tables import is_external, list_partitions, table_location
 
 
@@ -86,20 +87,18 @@ def build_mart(
     on_overflow: str = "raise",
     hot_keys: HotKeys | None = HotKeys(),
 ) -> None:
-    """Compute one report date and replace that partition of ``target``.
-
-    A single date needs no shuffle before the write: every task adds to the
-    same partition, and compaction settles the file count.
-    """
+    """Compute one report date and replace that partition of ``target``: once,
+    in files of about a block."""
     rows = mart_rows(profile, reference, spec, date, load_id, run_start, on_overflow, hot_keys)
-    overwrite_partitions(rows, target, rebalance=False)
+    overwrite_partitions(rows, target, on_overflow, rebalance="blocks")
 
 
 def newest_loaded_date(spark: SparkSession, table: str, partition_column: str) -> str | None:
     """Largest partition value that has rows; None when there is none.
 
     Same answer as a maximum over the rows, but read from the partition list:
-    the newest partition normally has rows, and one row settles it.
+    the newest partition normally has rows, and the footer of a file of it says
+    so. No Spark job runs, but for a partition with very many empty files.
     """
     values = (
         list_partitions(spark, table)
@@ -109,11 +108,23 @@ def newest_loaded_date(spark: SparkSession, table: str, partition_column: str) -
         .collect()
     )
     for value in sorted((stored_value(row["value"]) for row in values), reverse=True):
-        if spark.table(table).where(F.col(partition_column) == value).select(F.lit(1)).head(1):
+        if _has_rows(spark.table(table).where(F.col(partition_column) == value)):
             return value
     return None
 
 
+def _has_rows(rows: DataFrame) -> bool:
+    """Whether a part of a stored table has a row: its footers say, file by
+    file; beyond a few files, a query for one row does."""
+    files = stored_files(rows)
+    if files is not None:
+        if not rows_at_most(rows.sparkSession, files[:MOST_FILES], 0):
+            return True
+        if len(files) <= MOST_FILES:
+            return False
+    return bool(rows.select(F.lit(1)).head(1))
+
+
 def resolve_date(
     spark: SparkSession, table: str, partition_column: str, default_date: str, force: bool
 ) -> str:

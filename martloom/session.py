@@ -7,9 +7,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from martloom.config import BLOCK_BYTES
+from martloom.functions.dates import RUN_START_FORMAT
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,6 +18,8 @@ SESSION_CONF = {
     # Only the partitions present in a result are replaced. Tables declared by
     # this library carry the same option, so that they do not depend on it.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Steps of a group share the executors, each table in a pool of its own.
+    "spark.scheduler.mode": "FAIR",
     # A shuffle whose input comes back different after a lost executor is
     # recomputed whole instead of mixing two versions of the rows.
     "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
@@ -52,8 +54,9 @@ def build_session(
 
 def run_start(spark: SparkSession) -> str:
     """The current time in the session's zone as ``yyyy-MM-dd HH:mm:ss``."""
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    return spark.range(1).select(now.alias("now")).first()["now"]
+    time = spark.sparkContext._jvm.java.time
+    now = time.LocalDateTime.now(time.ZoneId.of(spark.conf.get("spark.sql.session.timeZone")))
+    return now.format(time.format.DateTimeFormatter.ofPattern(RUN_START_FORMAT))
 
 
 def scratch_dir(spark: SparkSession) -> str:

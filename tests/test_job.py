@@ -1,16 +1,24 @@
+import time
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom import Lifetime, RunConfig
-from martloom.operators import declare_table, overwrite_partitions
+from martloom.operators import append_row, declare_table, overwrite_partitions, overwrite_table, redeclare_table
+from martloom.operators.sinks import base_folder, file_system, table_files
+from martloom.plans import audit as audit_plan
+from martloom.plans import compaction, job
 from martloom.plans import (
     AUDIT_SCHEMA,
     CORPORATE_MART,
+    COUNTS_SCHEMA,
     JobFailed,
     Step,
     change_of_run,
+    compact_table,
+    current_rows,
     last_step,
     mart_rows,
     previous_count,
@@ -20,6 +28,7 @@ from martloom.plans import (
     run_steps,
 )
 from martloom.plans.job import mart_step
+from martloom.sources import table_location
 
 PROFILE = (
     "inn string, days_from_registration int, op_tech_other_bank_cnt int, balance_rs double, "
@@ -126,12 +135,15 @@ def test_steps_run_in_order_and_stop_at_a_failure(spark, tables):
     outcome = run_steps(spark, groups, {"factor": 10})
     assert (outcome.last_success, outcome.in_general, outcome.complete) == (1, 3, False)
     assert "broken step" in str(outcome.error)
-    assert numbers(spark, tables) == [[10], [], [30], []]
+    first, failed, sibling, later = numbers(spark, tables)
+    # The failure cancels its sibling, unless that was quicker.
+    assert (first, failed, later) == ([10], [], []) and sibling in ([], [30])
 
     groups[2][0] = Step(b, lambda s, p: s.table(a).withColumn("n", F.col("n") + 1))
     outcome = run_steps(spark, groups, {"factor": 100}, done=outcome.last_success)
     assert outcome.complete and outcome.error is None
     assert numbers(spark, tables) == [[10], [11], [300], [400]]
+    assert outcome.written[c] == {"report_dt=d": 1}
 
 
 @pytest.mark.parametrize("numbers_", [(0, 1), (1, 3), (2,)])
@@ -259,3 +271,164 @@ def test_an_unchanged_table_is_not_declared_again(spark, space):
     assert not redeclare_table(spark, table, CORPORATE_MART.schema, folder, CORPORATE_MART.partitions)
     wider = CORPORATE_MART.schema[:-1].add("note", "string").add(CORPORATE_MART.schema[-1])
     assert redeclare_table(spark, table, wider, folder, CORPORATE_MART.partitions)
+
+
+def test_a_failing_table_ends_its_siblings(spark, tables):
+    def endless(spark, params):
+        # A minute of work in tasks that can be cancelled.
+        slow = spark.range(0, 200_000_000, 1, 400).select(F.sum(F.crc32(F.sha2(F.col("id").cast("string"), 512))).alias("n"))
+        return slow.select((F.col("n") % 7).cast("int").alias("n"), F.lit("d").alias("report_dt"))
+
+    def late_failure(spark, params):
+        time.sleep(2)
+        return broken(spark, params)
+
+    started = time.monotonic()
+    outcome = run_steps(spark, {1: [Step(tables[0], endless), Step(tables[1], late_failure)]}, {})
+    assert time.monotonic() - started < 20
+    assert "broken step" in str(outcome.error) and numbers(spark, tables[:2]) == [[], []]
+    assert run_steps(spark, {1: [Step(tables[0], one_row(1))]}, {"factor": 2}).complete
+
+
+def test_steps_have_a_pool_each(spark, tables):
+    pools = []
+
+    def noted(spark, params):
+        pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        return one_row(1)(spark, params)
+
+    assert run_steps(spark, {1: [Step(t, noted) for t in tables]}, {"factor": 1}).complete
+    assert sorted(pools) == sorted(tables)
+
+
+def folders_in(spark, location):
+    system, path = file_system(spark, location)
+    return [c.getPath().getName() for c in system.listStatus(path) if c.isDirectory()]
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_replacing_a_table_is_one_change(spark, space, external):
+    table = space.table("whole")
+    declare_table(spark, table, T.StructType.fromDDL(SCHEMA), location=space.path("whole") if external else None)
+    base = table_location(spark, table)
+    overwrite_table(one_row(1)(spark, {"factor": 1}), table)
+    first = table_location(spark, table)
+    assert numbers(spark, [table]) == [[1]] and base_folder(first) == base != first
+    halfway = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("second write"))).cast("int").alias("n"), F.lit("d").alias("report_dt")
+    )
+    with pytest.raises(Exception, match="second write"):
+        overwrite_table(halfway, table)
+    assert numbers(spark, [table]) == [[1]] and table_location(spark, table) == first
+    assert len(folders_in(spark, base)) == 1
+    overwrite_table(spark.table(table).withColumn("n", F.col("n") + 1), table)
+    assert numbers(spark, [table]) == [[2]] and len(folders_in(spark, base)) == 1
+    overwrite_table(spark.table(table).where("false"), table)
+    assert numbers(spark, [table]) == [[]]
+    one_row(5)(spark, {"factor": 1}).write.insertInto(table)
+    assert numbers(spark, [table]) == [[5]]
+
+
+def test_a_replaced_table_is_found_again_when_declared(spark, space):
+    table, folder = space.table("whole"), space.path("whole")
+    schema = T.StructType.fromDDL(SCHEMA)
+    assert redeclare_table(spark, table, schema, folder)
+    overwrite_table(one_row(4)(spark, {"factor": 1}), table)
+    assert not redeclare_table(spark, table, schema, folder), "its declared folder is the same"
+    spark.sql(f"DROP TABLE {table}")
+    assert redeclare_table(spark, table, schema, folder)
+    assert numbers(spark, [table]) == [[4]]
+
+
+def test_small_tables_stay_in_few_files(spark, space):
+    table = space.audit()
+    for n in range(100):
+        append_row(spark, table, ctl_loading=n, ctl_validfrom="x")
+        if n % 25 == 24:
+            compact_table(spark, table, loose_files=10)
+    assert len(table_files(spark, table_location(spark, table))) == 1
+    append_row(spark, table, ctl_loading=100)
+    assert compact_table(spark, table) == 0
+    assert sorted(r["ctl_loading"] for r in spark.table(table).collect()) == list(range(101))
+
+
+def test_rows_appended_during_a_compaction_stay(spark, space):
+    table = space.audit()
+    append_row(spark, table, ctl_loading=1)
+    files = list(table_files(spark, table_location(spark, table)))
+    rows = spark.read.schema(AUDIT_SCHEMA).parquet(*files)
+    append_row(spark, table, ctl_loading=2)
+    overwrite_table(rows, table, replaced=files)
+    assert sorted(r["ctl_loading"] for r in spark.table(table).collect()) == [1, 2]
+
+
+def test_runs_leave_few_audit_files(spark, config, monkeypatch):
+    monkeypatch.setattr(compaction, "LOOSE_FILES", 2)
+    monkeypatch.setattr(job, "compact_table", lambda s, t, b: compaction.compact_table(s, t, b, compaction.LOOSE_FILES))
+    run_mart_job(spark, config, 1, run_start="2024-02-16 06:00:00", force=True)
+    for n in range(2, 6):
+        run_mart_job(spark, config, n, run_start=f"2024-02-{15 + n} 06:00:00")
+    for table in (config.audit_table, config.statistics_table, config.counts_table):
+        assert len(table_files(spark, table_location(spark, table))) <= 2
+    assert [r[0] for r in audit_rows(spark, config)] == [1, 2, 3, 4, 5]
+    assert spark.table(config.statistics_table).count() == 25
+
+
+def test_a_run_writes_its_date_once(spark, config):
+    report = run_mart_job(spark, config, 2, run_start="2024-02-16 06:00:00", force=True)
+    assert report.compacted == []
+    again = run_mart_job(spark, config, 3)
+    assert again.compacted == []
+    paths = spark.table(config.target).select("_metadata.file_path").distinct().count()
+    assert paths == 1
+
+
+@pytest.fixture()
+def counted(spark, space):
+    table, counts = space.table("mart"), space.table("counts")
+    declare_table(spark, table, T.StructType.fromDDL(SCHEMA), "report_dt")
+    declare_table(spark, counts, COUNTS_SCHEMA)
+    rows = spark.range(60).select(F.col("id").cast("int").alias("n"), F.concat(F.lit("d"), F.col("id") % 3).alias("report_dt"))
+    overwrite_partitions(rows, table)
+    return table, counts
+
+
+def test_only_changed_partitions_are_counted(spark, counted, monkeypatch):
+    table, counts = counted
+    asked, rows_of = [], audit_plan.rows_of
+    monkeypatch.setattr(audit_plan, "rows_of", lambda s, t, names: asked.append(names) or rows_of(s, t, names))
+    monkeypatch.setattr(audit_plan, "_SETTLED_MS", -60_000)
+    assert current_rows(spark, table, counts) == 60
+    assert asked.pop() == ["report_dt=d0", "report_dt=d1", "report_dt=d2"]
+    assert current_rows(spark, table, counts) == 60 and not asked
+    time.sleep(1.1)
+    written = overwrite_partitions(spark.createDataFrame([(1, "d1"), (2, "d1")], SCHEMA), table)
+    assert written == {"report_dt=d1": 2}
+    assert current_rows(spark, table, counts, written) == 42 and not asked
+    spark.createDataFrame([(1, "d2")], SCHEMA).write.insertInto(table)
+    assert current_rows(spark, table, counts) == 43 and asked.pop() == ["report_dt=d2"]
+    spark.sql(f"ALTER TABLE {table} DROP PARTITION (report_dt='d0')")
+    assert current_rows(spark, table, counts) == 23 and not asked
+    text = rows_of(spark, table, ["report_dt=d2"])._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<>" in text and "d2" in text
+
+
+def test_fresh_counts_are_not_trusted(spark, counted):
+    """A folder's time may be as coarse as a second."""
+    times = {"report_dt=a": ("x", 1_000_000), "report_dt=b": ("x", 1_000_000), "report_dt=c": ("x", 0), "report_dt=d": ("x", 5)}
+    known = {
+        "report_dt=a": {"modified": 1_000_000, "counted": 1_001_000},
+        "report_dt=b": {"modified": 1_000_000, "counted": 1_003_000},
+        "report_dt=c": {"modified": 0, "counted": 9_000_000},
+    }
+    assert audit_plan.partitions_to_count(times, known, {"report_dt=d": 3}) == ["report_dt=a", "report_dt=c"]
+
+
+def test_odd_values_are_counted_by_their_folders(spark, counted):
+    table, counts = counted
+    odd = spark.createDataFrame([(1, None), (2, "a b:c/d'e%")], SCHEMA)
+    assert overwrite_partitions(odd, table) is None
+    assert overwrite_partitions(odd.where("n = 1"), table) is None
+    assert overwrite_partitions(odd.where("n = 2"), table) is None
+    assert overwrite_partitions(odd.where("false"), table) is None
+    assert current_rows(spark, table, counts) == 62

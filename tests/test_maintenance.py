@@ -17,6 +17,7 @@ from martloom.plans import (
     retention_plan,
 )
 from martloom.session import run_start, scratch_dir
+from martloom.sources.literals import literal_rows
 
 SCHEMA = T.StructType().add("a", T.LongType()).add("t", T.StringType()).add("report_dt", T.StringType())
 
@@ -284,3 +285,112 @@ def test_a_touched_platform_does_not_protect_another(spark, space):
     assert apply_retention(spark, table, "report_dt", started, Lifetime(days=10)) == 1
     left = {tuple(r) for r in spark.table(table).select("platform", "report_dt").distinct().collect()}
     assert left == {("WEB", old), ("WEB", new), ("a/b", new)}
+
+
+def test_merging_keeps_rows_in_the_order_of_their_files(spark, space):
+    table = space.table("mart")
+    declare_table(spark, table, SCHEMA, "report_dt")
+    for start in range(0, 6000, 1000):
+        # Falling within each file, so that no sort by value can pass for it.
+        rows = spark.range(start, start + 1000, 1, 1).select((-F.col("id")).alias("a"), F.lit("t").alias("t"), F.lit("d1").alias("report_dt"))
+        rows.write.insertInto(table)
+    assert files(spark, table) == {"d1": 6}
+    largest = sizes(spark, table).first()["largest"]
+    report = compact_partitions(spark, table, block_bytes=5 * largest // 2)
+    assert [(r["merge"], r["target_files"]) for r in report] == [(True, 3)] and files(spark, table) == {"d1": 3}
+    for (name,) in spark.table(table).select("_metadata.file_path").distinct().collect():
+        got = [r["a"] for r in spark.read.parquet(name).collect()]
+        assert len(got) in (1000, 2000, 3000)
+        runs = [got[i : i + 1000] for i in range(0, len(got), 1000)]
+        assert all(run == list(range(run[0], run[0] - 1000, -1)) for run in runs)
+
+
+def test_merging_shuffles_nothing(spark, space):
+    table = make(spark, space, ["d1"])
+    rows = spark.table(table).where("report_dt = 'd1'").withColumn("report_dt", F.lit("d1")).coalesce(2)
+    assert "Exchange" not in rows._jdf.queryExecution().toString()
+    group = "merge"
+    spark.sparkContext.setJobGroup(group, group)
+    tracker = spark.sparkContext.statusTracker()
+    assert [r["merge"] for r in compact_partitions(spark, table)] == [True]
+    writing = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Two jobs at most list and sum up; the write has one stage.
+    assert len(writing[0].stageIds) == 1 or min(len(w.stageIds) for w in writing) == 1
+
+
+def test_large_files_are_split_and_small_ones_merged_in_one_call(spark, space):
+    table = make(spark, space, ["d1", "d2"], n=2000)
+    one = spark.table(table).where("report_dt = 'd2'").coalesce(1)
+    overwrite_partitions(one, table, rebalance=False)
+    before = content(spark, table)
+    block = sizes(spark, table).where("report_dt = 'd1'").first()["largest"] * 2
+    report = {r["report_dt"]: r for r in compact_partitions(spark, table, block_bytes=block)}
+    assert report["d1"]["merge"] and not report["d2"]["merge"]
+    assert files(spark, table) == {d: r["target_files"] for d, r in report.items()}
+    assert content(spark, table) == before and compact_partitions(spark, table, block_bytes=10**9)
+
+
+def test_slack_leaves_well_filled_files_alone(spark, space):
+    table = make(spark, space, ["d1"])
+    block = sizes(spark, table).first()["bytes"] // 4
+    target = sizes(spark, table).first()["bytes"] // block + 1
+    assert files(spark, table) == {"d1": 6} and target == 5
+    assert compact_partitions(spark, table, block_bytes=block, slack=2.0) == []
+    assert len(compact_partitions(spark, table, block_bytes=block)) == 1
+    assert files(spark, table) == {"d1": 5}
+
+
+def test_one_date_is_written_in_blocks(spark, space):
+    table = space.table("mart")
+    declare_table(spark, table, SCHEMA, "report_dt")
+    rows = spark.range(0, 160_000, 1, 16).select(F.col("id").alias("a"), F.sha2(F.col("id").cast("string"), 512).alias("t"), F.lit("d1").alias("report_dt"))
+    kept = {key: spark.conf.get(key, None) for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    started = run_start(spark)
+    for block in (100_000_000, 6_000_000, 2_000_000):
+        written = overwrite_partitions(rows, table, rebalance="blocks", block_bytes=block)
+        assert written == {"report_dt=d1": 160_000}
+        found = sizes(spark, table).first()
+        target = found["bytes"] // block + 1
+        assert found["files"] <= 2 * target and found["largest"] <= 1.5 * block
+        assert compact_partitions(spark, table, started, block, slack=2.0) == []
+    assert found["files"] >= 5
+    assert kept == {key: spark.conf.get(key, None) for key in kept}
+
+
+def test_many_empty_newest_partitions_cost_no_job(spark, space):
+    table = make(spark, space, ["2024-01-31"])
+    names = [str(date(2024, 3, 1) + timedelta(days=n)) for n in range(50)]
+    spark.sql(f"ALTER TABLE {table} ADD " + " ".join(f"PARTITION (report_dt='{n}')" for n in names))
+    empty = literal_rows(spark, [], SCHEMA).coalesce(1)
+    location = sources.table_location(spark, table)
+    empty.drop("report_dt").write.mode("append").parquet(f"{location}/report_dt={names[-1]}")
+    spark.sparkContext.setJobGroup("newest", "newest")
+    try:
+        assert newest_loaded_date(spark, table, "report_dt") == "2024-01-31"
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("newest")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_listing_takes_a_few_tasks_however_long_the_files(spark, space):
+    table = make(spark, space, ["d1", "d2"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        listed = sources.partition_inventory(spark, sources.table_location(spark, table), "report_dt")
+        tasks = listed.rdd.getNumPartitions()
+        assert tasks <= 4 * spark.sparkContext.defaultParallelism and listed.count() == 12
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_run_times_run_no_job(spark, space, zone):
+    spark.sparkContext.setJobGroup("times", "times")
+    now = run_start(spark)
+    bound = sources.files._millis(spark, now)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("times")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert abs(bound / 1000 - time.time()) < 5
+    assert spark.range(1).select(F.unix_millis(F.to_timestamp(F.lit(now)))).first()[0] == bound

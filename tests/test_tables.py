@@ -13,6 +13,7 @@ from martloom.operators import (
     overwrite_partitions,
     recover_partitions,
     recreate_table,
+    redeclare_table,
     truncate_partitions,
 )
 
@@ -222,3 +223,62 @@ def test_aggregates(spark):
     assert max_where(df, "n").first()[0] == 5
     assert max_where(df, "k", "n = 1").first()[0] == "a"
     assert max_where(df, "n", "1=0").collect() == [(None,)]
+
+
+def retyped(schema, **types):
+    return T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in schema])
+
+
+WIDE = T.StructType().add("a", T.IntegerType()).add("b", T.LongType()).add("c", T.StringType()).add("report_dt", T.StringType())
+
+
+def test_changed_types_apply_to_old_files(spark, space):
+    table, folder = space.table("mart"), space.path("ext")
+    declare_table(spark, table, WIDE, "report_dt", folder)
+    data = [(1, 5, "7", "d1"), (None, 6, None, "d2"), (3, None, "9", None)]
+    overwrite_partitions(spark.createDataFrame(data, WIDE), table)
+    changed = retyped(WIDE, a=T.StringType(), b=T.IntegerType(), c=T.DoubleType())
+    changed = T.StructType([*changed[:-1], T.StructField("new", T.LongType()), changed[-1]])
+    recreate_table(spark, table, changed, folder, "report_dt")
+    assert stored(spark, table) == sorted([("1", 5, 7.0, None, "d1"), (None, 6, None, None, "d2"), ("3", None, 9.0, None, None)], key=repr)
+    overwrite_partitions(spark.createDataFrame([("x", 1, 1.5, 2, "d2")], changed), table)
+    assert len(stored(spark, table)) == 3
+    # Nothing to do the second time.
+    modified = sources.folder_times(spark, folder, 1)
+    recreate_table(spark, table, changed, folder, "report_dt")
+    assert sources.folder_times(spark, folder, 1) == modified
+
+
+def test_a_value_that_does_not_fit_leaves_the_definition(spark, space):
+    table, folder = space.table("mart"), space.path("ext")
+    declare_table(spark, table, WIDE, "report_dt", folder)
+    overwrite_partitions(spark.createDataFrame([(1, 5, "x", "d1"), (2, 2**40, "y", "d2")], WIDE), table)
+    narrow = retyped(WIDE, b=T.IntegerType())
+    with pytest.raises(PySparkException, match="does not fit"):
+        recreate_table(spark, table, narrow, folder, "report_dt")
+    assert stored(spark, table) == [(1, 5, "x", "d1"), (2, 2**40, "y", "d2")]
+    overwrite_partitions(spark.createDataFrame([(2, 9, "y", "d2")], WIDE), table)
+    assert redeclare_table(spark, table, narrow, folder, "report_dt")
+    assert stored(spark, table) == [(1, 5, "x", "d1"), (2, 9, "y", "d2")]
+
+
+def test_changed_types_of_an_unpartitioned_table(spark, space):
+    table, folder = space.table("log"), space.path("log")
+    schema = T.StructType.fromDDL("id int, note string")
+    redeclare_table(spark, table, schema, folder)
+    for n in range(3):
+        append_row(spark, table, id=n, note=str(n))
+    changed = T.StructType.fromDDL("id string, note int, more string")
+    assert redeclare_table(spark, table, changed, folder)
+    append_row(spark, table, id="x")
+    assert stored(spark, table) == sorted([("0", 0, None), ("1", 1, None), ("2", 2, None), ("x", None, None)], key=repr)
+    assert not redeclare_table(spark, table, changed, folder)
+
+
+def test_changed_types_in_two_levels(spark, space):
+    table, folder = space.table("two"), space.path("two")
+    schema = T.StructType.fromDDL("a int, platform string, report_dt string")
+    declare_table(spark, table, schema, ("platform", "report_dt"), folder)
+    overwrite_partitions(spark.createDataFrame([(1, "a/b", "d1"), (2, "WEB", "d 2"), (3, None, "d1")], schema), table)
+    recreate_table(spark, table, retyped(schema, a=T.StringType()), folder, ("platform", "report_dt"))
+    assert stored(spark, table) == sorted([("1", "a/b", "d1"), ("2", "WEB", "d 2"), ("3", None, "d1")], key=repr)

@@ -73,6 +73,10 @@ ORACLES = {
     "create_mart": _MONTHLY,
     "recreate_mart": f"""
         select o_orderkey, cast(null as varchar) as note, report_dt from ({_MONTHLY})""",
+    "recreate_types": f"""
+        select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as integer) as o_custkey,
+               cast(cast(o_totalprice as decimal(12, 2)) as varchar) as price, report_dt
+        from ({_MONTHLY})""",
     "recover_partitions": f"select o_orderkey, o_custkey, report_dt from ({_MONTHLY})",
     "overwrite_partition": f"""
         select o_orderkey, report_dt,
@@ -205,7 +209,7 @@ ORACLES = {
     "compaction_plan": f"select distinct report_dt, true as fits from ({_MONTHLY})",
     "compact_partition": f"""
         select report_dt, count(*) as n_rows, min(o_orderkey) as low, max(o_orderkey) as high,
-               true as within_plan
+               true as as_planned
         from ({_MONTHLY}) group by report_dt""",
     "compact_two_levels": f"""
         select o_orderstatus, report_dt, count(*) as n_rows, min(o_orderkey) as low, max(o_orderkey) as high,

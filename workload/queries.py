@@ -78,7 +78,7 @@ from workload.standins import (
 
 RUN = "2024-01-16 06:00:00"
 _PART = "report_dt"
-_SMALL_BLOCK = 4096
+_SMALL_BLOCK = 512
 
 
 # Sources
@@ -170,6 +170,17 @@ def recreate_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("o_orderkey", "note", _PART)
 
 
+def recreate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns declared in other types than their files have: a wider number,
+    a narrower one, and numbers as text."""
+    space = Workspace(spark)
+    table = space.monthly(monthly_orders(spark, sf_dir), external=True)
+    types = {"o_orderkey": T.StringType(), "o_custkey": T.IntegerType(), "o_totalprice": T.DecimalType(12, 2)}
+    changed = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in MONTHLY_SCHEMA])
+    recreate_table(spark, table, changed, sources.table_location(spark, table), _PART)
+    return spark.table(table).select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("string").alias("price"), _PART)
+
+
 def recovered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark)
     table, folder = space.table("found"), space.path("found")
@@ -455,29 +466,34 @@ def change_of_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planned_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = compaction_plan(_sizes(spark, shared_monthly(spark, sf_dir)), _SMALL_BLOCK)
-    low = (F.col("target_files") - 1) * _SMALL_BLOCK
-    fits = (low <= F.col("bytes")) & (F.col("bytes") < low + _SMALL_BLOCK)
-    return plan.select(_PART, fits.alias("fits"))
+    """Against the bytes that the table's own scan reports."""
+    table = shared_monthly(spark, sf_dir)
+    plan = compaction_plan(_sizes(spark, table), _SMALL_BLOCK)
+    due = F.floor(F.col("scan_bytes") / _SMALL_BLOCK) + 1
+    fits = F.col("target_files").eqNullSafe(due) & (due > 1)
+    return plan.join(_files_seen_by_scan(spark, table), _PART, "left").select(_PART, fits.alias("fits"))
 
 
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many small files per month, then as many as their bytes ask for."""
+    """Many small files per month, then as many as their bytes ask for: several
+    for each month, so many that some have to be merged."""
     orders = monthly_columns(monthly_orders(spark, sf_dir))
     started = run_start(spark)
     table = Workspace(spark).table("monthly")
     declare_table(spark, table, MONTHLY_SCHEMA, _PART)
-    overwrite_partitions(orders.repartition(4), table, rebalance=False)
-    before = compaction_plan(_sizes(spark, table)).select(_PART, "target_files")
+    overwrite_partitions(orders.repartition(6), table, rebalance=False)
+    sizes = _sizes(spark, table)
+    block = sizes.agg(F.max("largest")).first()[0]
+    before = compaction_plan(sizes, block).select(_PART, "target_files")
     # The plan is kept as values: it describes files that are about to go.
     planned = literal_rows(spark, before.collect(), before.schema)
-    compact_partitions(spark, table, started)
+    compact_partitions(spark, table, started, block)
     per_month = spark.table(table).groupBy(_PART).agg(
         F.count("*").alias("n_rows"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
     )
     after = _sizes(spark, table).select(_PART, "files").join(planned, _PART)
     return per_month.join(after, _PART, "left").select(
-        _PART, "n_rows", "low", "high", (F.col("files") <= F.col("target_files")).alias("within_plan")
+        _PART, "n_rows", "low", "high", F.col("files").eqNullSafe(F.col("target_files")).alias("as_planned")
     )
 
 
@@ -642,6 +658,7 @@ QUERIES = {
     "touched_partitions": touched_partitions,
     "create_mart": create_mart,
     "recreate_mart": recreate_mart,
+    "recreate_types": recreate_types,
     "recover_partitions": recovered_partitions,
     "overwrite_partition": overwrite_partition,
     "overwrite_empty": overwrite_empty,
