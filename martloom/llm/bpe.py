@@ -22,12 +22,16 @@ import base64
 import functools
 import hashlib
 import re
+import zlib
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.llm.common import ship
+
 # The characters that the pattern's \s matches.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -39,12 +43,23 @@ _SAFE = re.compile(
 
 
 @functools.lru_cache(maxsize=4)
+def ranks_of(rank_file: str) -> bytes:
+    """A rank file's lines, packed: a value of about a megabyte that goes to
+    the workers, which need not have the file."""
+    return zlib.compress(Path(rank_file).read_bytes(), 9)
+
+
 def encoding(rank_file: str, pattern: str):
-    """The encoding of a rank file, loaded once per Python worker."""
+    return encoding_of(ranks_of(rank_file), pattern)
+
+
+@functools.lru_cache(maxsize=4)
+def encoding_of(packed: bytes, pattern: str):
+    """The encoding of packed ranks, made once per Python worker."""
     import tiktoken
 
-    with open(rank_file, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    lines = zlib.decompress(packed).splitlines()
+    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -82,10 +97,12 @@ RESULT = T.StructType(
 
 def encode_udf(rank_file: str, pattern: str):
     """text -> array of ids; NULL gives an empty array."""
+    ship()
+    ranks = ranks_of(rank_file)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids_of(texts: pa.Array) -> pa.Array:
-        enc = encoding(rank_file, pattern)
+        enc = encoding_of(ranks, pattern)
         return pa.array([encode_text(enc, t or "") for t in texts.to_pylist()], pa.list_(pa.int32()))
 
     return ids_of
@@ -93,10 +110,12 @@ def encode_udf(rank_file: str, pattern: str):
 
 def decode_udf(rank_file: str, pattern: str):
     """array of ids -> bytes, which need not be valid UTF-8; NULL gives none."""
+    ship()
+    ranks = ranks_of(rank_file)
 
     @F.arrow_udf(T.BinaryType())
     def bytes_of(ids: pa.Array) -> pa.Array:
-        enc = encoding(rank_file, pattern)
+        enc = encoding_of(ranks, pattern)
         return pa.array([enc.decode_bytes(x or []) for x in ids.to_pylist()], pa.binary())
 
     return bytes_of
@@ -105,12 +124,14 @@ def decode_udf(rank_file: str, pattern: str):
 def digest_udf(rank_file: str, pattern: str):
     """text -> count and digest of its ids and digest of the decoded bytes, in
     one visit, so that the ids need not go back to the JVM."""
+    ship()
+    ranks = ranks_of(rank_file)
 
     @F.arrow_udf(RESULT)
     def digests(texts: pa.Array) -> pa.Array:
         import numpy as np
 
-        enc = encoding(rank_file, pattern)
+        enc = encoding_of(ranks, pattern)
         n, ids_hex, text_hex = [], [], []
         for text in texts:
             ids = encode_text(enc, text.as_py() or "")

@@ -69,12 +69,12 @@ class SortedLists:
         for d in dims:
             right[:, d] = np.searchsorted(self.values[:, d], x[:, d])
         left, going = right - 1, np.arange(n)
-        # No gap is as long as this, and its square still fits.
-        beyond = int(far**0.5) // 2 if kind == object else 2**31
+        # A list ends with a gap longer than any; each has a centroid left on
+        # one side until all are met.
         while len(going):
             part = x[going]
-            below = np.where(left >= 0, part - self.values[np.maximum(left, 0), dims], beyond)
-            above = np.where(right < k, self.values[np.minimum(right, k - 1), dims] - part, beyond)
+            below = np.where(left >= 0, part - self.values[np.maximum(left, 0), dims], far)
+            above = np.where(right < k, self.values[np.minimum(right, k - 1), dims] - part, far)
             nearer = below <= above
             frontier = np.where(nearer, below, above)
             at = np.clip(np.where(nearer, left, right), 0, k - 1)

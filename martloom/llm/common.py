@@ -14,16 +14,12 @@ import martloom
 from martloom.session import scratch_dir
 
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-TEXTS_PER_BATCH = 1_000
-
-
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession | None = None) -> None:
     """Send this package to the Python workers, once per application, so that
-    it need not be installed where they run; and where the session has Spark's
-    own number of rows in an Arrow batch, lower it to one that fits texts."""
-    if spark.conf.get(_BATCH) == "10000":
-        spark.conf.set(_BATCH, str(TEXTS_PER_BATCH))
+    it need not be installed where they run. Arrow batches are bounded by the
+    session's ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by
+    default. Called wherever functions for the workers are made."""
+    spark = spark or SparkSession.active()
     context, root = spark.sparkContext, Path(martloom.__file__).parent
     if getattr(context, "_martloom_sent", False) or not root.is_dir():
         return
@@ -47,10 +43,22 @@ def held_out(doc_id: str | Column) -> Column:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared scratch folder and read back, so
-    that it is computed once and survives lost executors."""
-    path = scratch_dir(df.sparkSession)
+    that it is computed once and survives lost executors. The folder goes when
+    the application ends."""
+    return _stored_at(df)[0]
+
+
+def _stored_at(df: DataFrame) -> tuple[DataFrame, str]:
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    system, folder = _file_system(spark, path)
+    system.deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def shared_value(spark: SparkSession, value):
@@ -66,10 +74,11 @@ def connected_groups(links: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps (Kiveris et al., 2014): each
     step points neighbours at the least one around, so a chain of n links takes
     about log n rounds. No row holds a neighbour list, so a hub costs no more
-    than its links; the last round changes nothing. Each round is stored.
+    than its links; the last round changes nothing. Each round is stored, and
+    the one before removed.
     """
     a, b = F.col("a"), F.col("b")
-    edges = stored(
+    edges, path = _stored_at(
         links.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     )
     before = None
@@ -93,7 +102,10 @@ def connected_groups(links: DataFrame) -> DataFrame:
             .where(a != b)
             .distinct()
         )
-        edges = stored(small)
+        edges, after = _stored_at(small)
+        system, folder = _file_system(links.sparkSession, path)
+        system.delete(folder, True)
+        path = after
         # A sum over hashed links tells whether the set of links has changed.
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if before == mark:

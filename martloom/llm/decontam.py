@@ -16,9 +16,10 @@ prefix. So:
    the bounds (the window must begin and end within the document) and compares
    the words themselves.
 
-Both look-ups in the documents go through a bitmap of fixed size, whatever the
-items are; it lets some others pass, which the join removes. Only narrow rows
-are shuffled, no text. A passage in very many documents is many rows of one
+Both look-ups in the documents go through a bitmap of ``BITS_PER_HASH`` bits
+for each of the hashes, up to a bound; it lets a few others pass, which the
+join removes. Only narrow rows are shuffled, no text: windows go by a key, and
+the ids of items are looked up for a document's distinct windows at the end. A passage in very many documents is many rows of one
 prefix on the documents' side, which adaptive execution can split; windows of
 one prefix sit in one row.
 
@@ -29,17 +30,21 @@ with a NULL id hit words but are in no list.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import shared_value, stored
+from martloom.llm.common import shared_value, ship, stored
 
 WINDOW = 13
 SHINGLE = 3
-FILTER_BITS = 24
+# A bitmap has some of 64 bits set; it holds 2 ** 20 to 2 ** 31 bits, 256 MB.
+BITS_PER_HASH = 64
+_LEAST_BITS, _MOST_BITS = 20, 31
 # Texts scanned together, in bytes; memory is some 40 times that.
 _SCAN_BYTES = 1 << 20
 # Which bytes of UTF-8 belong to a word, and A-Z in lower case.
@@ -189,9 +194,12 @@ class Filter:
         return (self.bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def build_filter(hashes: DataFrame, bits: int, sizes: list[int]):
+def build_filter(hashes: DataFrame, sizes: list[int]):
     """A filter of the ``h`` column, made in the executors in pieces of fixed
-    size and sent back to them: 2 ** bits bits in all."""
+    size and sent back to them: as large as the number of hashes asks for, up
+    to 2 ** ``_MOST_BITS`` bits."""
+    n = hashes.agg(F.approx_count_distinct("h")).first()[0]
+    bits = min(_MOST_BITS, max(_LEAST_BITS, math.ceil(math.log2(BITS_PER_HASH * max(n, 1)))))
     slot = F.shiftrightunsigned("h", 64 - bits) + 1
     parts = (
         hashes.groupBy(F.bitmap_bucket_number(slot).alias("bucket"))
@@ -295,7 +303,7 @@ _VERIFIED = """
   transform(
     filter(windows, w -> c.pos >= w.offset AND c.pos - w.offset + w.n <= n_words
       AND array_join(slice(c.words, c.pos - w.offset - c.first + 1, w.n), ' ') = w.words),
-    w -> struct(c.pos - w.offset AS start, c.pos - w.offset + w.n AS end, w.items AS items))
+    w -> struct(c.pos - w.offset AS start, c.pos - w.offset + w.n AS end, w.w AS w))
 """
 
 # How many words sorted intervals cover together.
@@ -308,35 +316,39 @@ _COVERED = """
 """
 
 
-def _prefixes(items: DataFrame, texts: DataFrame, window: int, shingle: int, bits: int, item_id: str, item_text: str):
-    """``(h, windows)``: for each prefix shingle the windows it stands for."""
-    windows = stored(
+def _prefixes(items: DataFrame, texts: DataFrame, window: int, shingle: int, item_id: str, item_text: str):
+    """``(h, windows)``, for each prefix shingle the windows it stands for;
+    ``(w, item)``, the items that have a window; and the sizes of shingles."""
+    # A window is known by 96 bits of its words.
+    key = F.struct(F.xxhash64("words").alias("a"), F.hash("words").alias("b")).alias("w")
+    cut = stored(
         items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
         .mapInArrow(_windows(window, shingle), "item string, words string, n int, shingles array<long>")
-        .groupBy("words", "n", "shingles")
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .select("*", key)
     )
+    owners = stored(cut.where(F.col("item").isNotNull()).select("w", "item").distinct())
+    windows = stored(cut.groupBy("w").agg(*(F.first(c).alias(c) for c in ("words", "n", "shingles"))))
     # At most ``shingle`` different sizes.
     sizes = sorted(r[0] for r in windows.select(F.least("n", F.lit(shingle))).distinct().collect())
-    shingles = windows.select("words", F.posexplode("shingles").alias("offset", "h"))
+    shingles = windows.select("w", F.posexplode("shingles").alias("offset", "h"))
     counts = (
-        texts.mapInArrow(_frequencies(build_filter(shingles.select("h"), bits, sizes)), "h long, n long")
+        texts.mapInArrow(_frequencies(build_filter(shingles.select("h"), sizes)), "h long, n long")
         .groupBy("h")
         .agg(F.sum("n").alias("seen"))
     )
     rarest = (
         shingles.join(counts, "h", "left")
-        .groupBy("words")
+        .groupBy("w")
         .agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "h", "offset")).alias("least"))
-        .select("words", "least.h", "least.offset")
+        .select("w", "least.h", "least.offset")
     )
     prefixes = stored(
         windows.drop("shingles")
-        .join(rarest, "words")
+        .join(rarest, "w")
         .groupBy("h")
-        .agg(F.collect_list(F.struct("words", "n", "offset", "items")).alias("windows"))
+        .agg(F.collect_list(F.struct("words", "n", "offset", "w")).alias("windows"))
     )
-    return prefixes, sizes
+    return prefixes, owners, sizes
 
 
 def find(
@@ -348,16 +360,16 @@ def find(
     item_text: str = "text",
     window: int = WINDOW,
     shingle: int = SHINGLE,
-    bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``(id, k1, k2, n_words, n_hit, items)`` of every row: how many words
     are hit, and the sorted ids of items with windows that occur."""
-    prefixes, sizes = _prefixes(items, docs.select(text), window, shingle, bits, item_id, item_text)
-    look_up = build_filter(prefixes.select("h"), bits, sizes)
+    ship()
+    prefixes, owners, sizes = _prefixes(items, docs.select(text), window, shingle, item_id, item_text)
+    look_up = build_filter(prefixes.select("h"), sizes)
     keyed = docs.select(F.col(id).alias("id"), *row_keys(id, text), F.col(text).alias("text"))
     schema = T.StructType([*keyed.drop("text").schema.fields, *_SCANNED.fields])
     scanned = stored(keyed.mapInArrow(_candidates(look_up, window), schema))
-    hits = (
+    hits = stored(
         scanned.where(F.size("found") > 0)
         .dropDuplicates(["k1", "k2"])
         .select("k1", "k2", "n_words", F.explode("found").alias("c"))
@@ -366,13 +378,15 @@ def find(
         .where(F.size("hits") > 0)
         .groupBy("k1", "k2")
         .agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
-        .select(
-            "k1",
-            "k2",
-            F.expr(_COVERED).alias("n_hit"),
-            F.array_sort(F.array_distinct(F.flatten("hits.items"))).alias("items"),
-        )
+        .select("k1", "k2", F.expr(_COVERED).alias("n_hit"), F.array_distinct(F.col("hits.w")).alias("windows"))
     )
+    listed = (
+        hits.select("k1", "k2", F.explode("windows").alias("w"))
+        .join(owners, "w")
+        .groupBy("k1", "k2")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+    hits = hits.drop("windows").join(listed, ["k1", "k2"], "left")
     return (
         scanned.drop("found")
         .join(hits, ["k1", "k2"], "left")
@@ -396,8 +410,6 @@ def without_contaminated(docs: DataFrame, found: DataFrame, id: str = "doc_id",
     """The rows of ``docs`` that ``found`` does not call contaminated. Their
     keys are stored first, so that Spark knows how many there are and shuffles
     the texts only if they are not few."""
-    bad = stored(
-        found.where(is_contaminated()).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
-    )
-    k1, k2 = row_keys(id, text)
-    return docs.join(bad, (k1 == bad["__k1"]) & (k2 == bad["__k2"]), "left_anti")
+    bad = stored(found.where(is_contaminated()).select("k1", "k2").distinct())
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *row_keys(id, text))
+    return keyed.join(bad, ["k1", "k2"], "left_anti").select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -23,6 +23,7 @@ that is not reached.
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import shared_value
+from martloom.llm.common import shared_value, ship
 
 PROFILE_SIZE = 400
 # Profiles are collected: a table with more label values than this does not
@@ -41,6 +42,7 @@ SLICE_CHARS = 262_144
 HELD_GRAMS = 250_000
 UNDETERMINED = "und"
 _BLANK = 32
+_SPACE = re.compile(r"\s")
 
 
 @functools.lru_cache(maxsize=1)
@@ -74,9 +76,25 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct packed n-grams and their counts. A long text is counted in
-    slices that share two characters, and the overlap's own n-grams are taken
-    off again, so memory does not grow with the text."""
+    """Distinct packed n-grams and their counts. A long text is cut at white
+    space, which no n-gram spans, so that memory follows the slice and not the
+    text; a stretch without white space is held whole."""
+    if len(text) <= SLICE_CHARS:
+        return _counts(text)
+    parts, start = [], 0
+    while start < len(text):
+        cut = _SPACE.search(text, start + SLICE_CHARS)
+        end = cut.start() if cut else len(text)
+        parts.append(_counts(text[start:end]))
+        start = end
+        if len(parts) > 16:
+            parts = [_merged(parts)]
+    return _merged(parts)
+
+
+def _counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """A stretch's n-grams; a long one is counted in slices that share two
+    characters, and the overlap's own n-grams are taken off again."""
     codes = normalized(text)
     if len(codes) <= SLICE_CHARS:
         return np.unique(_grams(codes), return_counts=True)
@@ -122,6 +140,7 @@ def _count_batches(batches):
 def learn_profiles(labelled: DataFrame, lang: str = "lang", text: str = "text", size: int = PROFILE_SIZE) -> DataFrame:
     """``(lang, gram, rank)``: the ``size`` most frequent n-grams of each
     language; ranks start at 0. Rows without a language or text teach nothing."""
+    ship()
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     counts = (
         rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -177,6 +196,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", size: int =
 
 def predict_udf(profiles):
     """text -> (lang_pred, score)."""
+    ship()
 
     @F.arrow_udf(PREDICTION)
     def predict(texts: pa.Array) -> pa.Array:

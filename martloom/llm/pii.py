@@ -8,20 +8,24 @@ different ones stay different. What fails validation is left alone.
 
 Found and checked:
 
-* card numbers of 13 to 19 digits, in one run or in groups of four: Luhn digit
+* card numbers of 13 to 19 digits, in one run, in groups of four, or in groups
+  of 4, 6 and 4 or 5: Luhn digit
 * IPv4 addresses: octets up to 255
-* phone numbers with a country code, or in North American form: 8 to 15 digits
+* phone numbers with ``+`` and 8 to 15 digits, single separators or brackets
+  between any of them, or in North American form
 * social security numbers: area, group and serial in use
 * IBANs: check digits modulo 97
-* dates as 2024-01-31, 31.1.2024 and 1/31/2024: days that exist
+* dates as 2024-01-31, 31.1.2024 and 1/31/2024: days that exist; 31/1/2024,
+  which can only have the day first, becomes another date like that
 * e-mail addresses: by form; the name gets a keyed name, the domain stays
 
 The network works on a pair (left, right) below (a, b) by adding, modulo a and
 b in turn, a keyed hash of the other half, so that its domain has exactly a * b
 values and no value needs another round. All of it is Spark's own functions.
 
-Texts: NULL stays NULL, texts without values stay as they are. Every row gets
-its own result.
+Texts: NULL stays NULL, texts without values stay as they are, of any length.
+Every row gets its own result, repeated ones the same. Columns of any other
+name are kept; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -34,22 +38,28 @@ ROUNDS = 8
 _DATE_PARTS = (200, 365)
 _FIRST_DAY = "0001-01-01"
 
-# Patterns that values begin and end by; possessive, so that no long run of
-# characters is tried more than once.
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}(?![\w-])"
+# Repeated groups of open length are possessive: no long run of characters is
+# tried more than once, and the engine loops over them instead of recursing.
+# The last label of a domain that is made of letters ends an address.
+_LAST = r"[A-Za-z]{2,}+(?![\w-])"
+EMAIL = rf"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.(?:(?!{_LAST})[A-Za-z0-9-]++\.)*+{_LAST})++"
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<!\w)(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
-PHONE = (
-    r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-    r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?<sep>[ .-]?)\d{2,4}(?:\k<sep>\d{2,4}){0,2}(?!\d)"
-    r"|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w)"
-)
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<!\w)(?<!\d\.)(?:\d{13,19}|\d{4}(?<gap>[ -])\d{4}\k<gap>\d{4}\k<gap>\d{1,7})(?!\w|\.\d)"
+CARD = (
+    r"(?<!\w)(?<!\d\.)(?:\d{13,19}|\d{4}(?<gap>[ -])(?:\d{4}\k<gap>\d{4}\k<gap>\d{1,7}|\d{6}\k<gap>\d{4,5}))(?!\w|\.\d)"
+)
 ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
 DAY_DATE = r"(?<![\w./])\d{1,2}\.\d{1,2}\.\d{4}(?!\w|[./]\d)"
 MONTH_DATE = r"(?<![\w./])\d{1,2}/\d{1,2}/\d{4}(?!\w|[./]\d)"
+# What follows a phone number after a blank, and is no part of it.
+_OTHER = rf"(?:{IPV4}|{SSN}|{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}|\d{{4}}[ -]\d{{4}}[ -]\d{{4}}[ -]|\d{{4}}[ -]\d{{6}}[ -]\d)"
+PHONE = (
+    r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    rf"|(?<![\w+])\+\d(?:(?:[ .-](?!{_OTHER}))?\(?\d\)?){{7,14}}(?!\d)"
+    r"|(?<![\w+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\w)"
+)
 
 
 # What a value can begin with is looked at first.
@@ -215,6 +225,40 @@ def _permuted_day(day: Column, key: str) -> Column:
     return F.when(day.isNotNull(), _with(pair, lambda p: F.date_add(F.lit(_FIRST_DAY).cast("date"), (block * (a * b) + p["l"] * b + p["r"]).cast("int"))))
 
 
+def _permuted_late_day(day: Column, key: str) -> Column:
+    """Another date after the 12th of its month. Months of one length are
+    permuted with their days in stretches of 200 years; February 29ths, with
+    each other."""
+    year, month, number = F.year(day).cast("long"), F.month(day), F.dayofmonth(day).cast("long")
+    stretch = F.floor((year - 1) / 200)
+    # The last stretch ends in 9999.
+    years = F.when(stretch == 49, 199).otherwise(200).cast("long")
+
+    def among(months: tuple[int, ...]) -> Column:
+        listed, n, last = F.array(*map(F.lit, months)), len(months), 28 if months == (2,) else 31 if 1 in months else 30
+        left = (year - 1) % 200 * n + F.array_position(listed, month) - 1
+        pair = feistel(left, number - 13, years * n, F.lit(last - 12).cast("long"), key, f"day{last}")
+        return _with(
+            pair,
+            lambda p: F.make_date(
+                (stretch * 200 + 1 + F.floor(p["l"] / n)).cast("int"), F.element_at(listed, (p["l"] % n + 1).cast("int")), (p["r"] + 13).cast("int")
+            ),
+        )
+
+    # Leap years from 1 to 9999: 24 times 101.
+    leap = F.filter(F.sequence(F.lit(4), F.lit(9996), F.lit(4)), lambda y: (y % 100 != 0) | (y % 400 == 0))
+    place = F.array_position(leap, F.year(day)) - 1
+    a, b = (F.lit(n).cast("long") for n in (24, 101))
+    leaps = feistel(F.floor(place / b), place % b, a, b, key, "leap day")
+    other = _with(leaps, lambda p: F.make_date(F.element_at(leap, (p["l"] * b + p["r"] + 1).cast("int")), F.lit(2), F.lit(29)))
+    return (
+        F.when((month == 2) & (number == 29), other)
+        .when(month == 2, among((2,)))
+        .when(month.isin(4, 6, 9, 11), among((4, 6, 9, 11)))
+        .otherwise(among((1, 3, 5, 7, 8, 10, 12)))
+    )
+
+
 def _day(year: Column, month: Column, day: Column) -> Column:
     """The date, or NULL if there is none."""
     return F.try_to_date(F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
@@ -225,8 +269,8 @@ def _date(value: Column, key: str) -> Column:
     one, two, three = (F.element_at(parts, i) for i in (1, 2, 3))
     padded = (F.length(one) > 1) & (F.length(two) > 1)
 
-    def shown(day: Column, wide: str, narrow: str) -> Column:
-        new = _permuted_day(day, key)
+    def shown(day: Column, wide: str, narrow: str, permuted=_permuted_day) -> Column:
+        new = permuted(day, key)
         return F.when(padded, F.date_format(new, wide)).otherwise(F.date_format(new, narrow))
 
     iso, dotted = _day(one, two, three), _day(three, two, one)
@@ -235,7 +279,8 @@ def _date(value: Column, key: str) -> Column:
         F.when(value.contains("-"), F.date_format(_permuted_day(iso, key), "yyyy-MM-dd"))
         .when(value.contains("."), shown(dotted, "dd.MM.yyyy", "d.M.yyyy"))
         .when(by_month.isNotNull(), shown(by_month, "MM/dd/yyyy", "M/d/yyyy"))
-        .otherwise(shown(dotted, "dd/MM/yyyy", "d/M/yyyy"))
+        # No month has this number, so the day is first, and stays above 12.
+        .otherwise(F.when(dotted.isNotNull(), shown(dotted, "dd/MM/yyyy", "d/M/yyyy", _permuted_late_day)))
     )
 
 
@@ -279,21 +324,22 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", kinds: str | Non
     def judged(value: Column) -> Column:
         return _with(_kind(value), lambda kind: F.struct(pseudonym(value, kind, key).alias("new"), kind.alias("kind")))
 
-    source = F.col(text)
+    own = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"))
+    source = F.col("row")[text]
     # One plain scan tells texts that can have no value.
     may = source.rlike("[0-9@]")
-    found = F.when(may, F.regexp_extract_all(source, F.lit(ANY), F.lit(0)))
-    rows = docs.withColumn("__values", found).withColumn("__new", F.transform("__values", judged))
-    shown = F.zip_with("__values", "__new", lambda old, new: F.coalesce(new["new"], old))
+    found = own.withColumn("values", F.when(may, F.regexp_extract_all(source, F.lit(ANY), F.lit(0))))
+    rows = found.withColumn("new", F.transform("values", judged))
+    shown = F.zip_with("values", "new", lambda old, new: F.coalesce(new["new"], old))
     pieces = F.zip_with(
         F.split(source, ANY, -1),
         F.concat(shown, F.array(F.lit(""))),
         lambda gap, value: F.concat(gap, value),
     )
-    replaced = F.when(F.size("__values") > 0, F.array_join(pieces, "")).otherwise(source)
-    out = rows.withColumn("__text", replaced)
-    columns = [F.col("__text").alias(text) if c == text else F.col(c) for c in docs.columns if c != kinds]
+    replaced = F.when(F.size("values") > 0, F.array_join(pieces, "")).otherwise(source)
+    out = rows.withColumn("replaced", replaced)
+    columns = [(F.col("replaced") if c == text else F.col("row")[c]).alias(c) for c in docs.columns if c != kinds]
     if kinds:
-        valid = F.filter(F.coalesce("__new", F.array()), lambda x: x["new"].isNotNull())
+        valid = F.filter(F.coalesce("new", F.array()), lambda x: x["new"].isNotNull())
         columns.append(F.transform(valid, lambda x: x["kind"]).alias(kinds))
     return out.select(*columns)

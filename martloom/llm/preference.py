@@ -13,18 +13,20 @@ no pair. A side without turns has an empty completion.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BEGIN, MIDDLE, END = "<|", "|>\n", "<|end|>\n"
 LEARNT_ROLE = "assistant"
 
 
-def _turns(side: DataFrame, name: str) -> DataFrame:
+def _turns(side: DataFrame, pair_id: str, name: str) -> DataFrame:
+    """Each conversation in one array, gathered once."""
     turn = F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return side.where(F.col("pair_id").isNotNull()).groupBy("pair_id").agg(F.array_sort(F.collect_set(turn)).alias(name))
+    rows = side.where(F.col(pair_id).isNotNull()).select(F.col(pair_id).alias("pair_id"), turn.alias("t"))
+    return rows.groupBy("pair_id").agg(F.array_sort(F.collect_set("t")).alias(name))
 
 
 def _said(turns: Column) -> Column:
@@ -53,7 +55,11 @@ def _spans(turns: Column) -> Column:
 def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     """``(pair_id, n_shared, prompt, chosen, chosen_spans, rejected,
     rejected_spans)`` of two tables ``(pair_id, turn, role, text)``."""
-    pairs = _turns(chosen, "good").join(_turns(rejected, "bad"), "pair_id", "full")
+    return _formatted(_turns(chosen, "pair_id", "good").join(_turns(rejected, "pair_id", "bad"), "pair_id", "full"))
+
+
+def _formatted(pairs: DataFrame) -> DataFrame:
+    """``format_pairs`` of two arrays of turns a row, ``good`` and ``bad``."""
     none = F.array().cast("array<struct<role: string, text: string>>")
     said = pairs.select("pair_id", *(F.coalesce(_said(F.col(c)), none).alias(c) for c in ("good", "bad")))
     differs = F.array_position(F.zip_with("good", "bad", lambda a, b: F.coalesce(a == b, F.lit(False))), F.lit(False))
@@ -72,26 +78,44 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     )
 
 
-def reply_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs from a table of conversations ``(conv_id, turn, role, text)``, one
-    for each: a conversation up to its last assistant turn is chosen; the same
-    with that turn's text taken from the last assistant turn of conversation
-    ``conv_id + 1`` is rejected. Where there is no such text, it is empty.
+def format_replies(conversations: DataFrame) -> DataFrame:
+    """``format_pairs`` of pairs made from a table of conversations
+    ``(conv_id, turn, role, text)``, one for each: a conversation up to its last
+    assistant turn is chosen; the same with that turn's text taken from the last
+    assistant turn of conversation ``conv_id + 1`` is rejected. Where there is
+    no such text, it is empty.
 
     Turns after the last reply are part of neither side, for nothing answers
     them. A conversation without a reply has all its turns on both sides, so
     they are the prompt and both completions are empty. A NULL turn number is
-    below all others."""
-    turns = conversations.where(F.col("conv_id").isNotNull()).select(
-        F.col("conv_id").alias("pair_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    below all others. Rows without a ``conv_id`` belong to no conversation;
+    repeated ones count once; other columns play no part; an empty table has no
+    rows.
+
+    Conversations are gathered once, cut where they are, and joined with the
+    others' last replies alone.
+    """
+    gathered = _turns(conversations, "conv_id", "turns")
     # In a struct a NULL is the least value and equal to itself.
-    at = F.struct("turn")
-    last = F.max(F.when(F.col("role") == LEARNT_ROLE, at)).over(Window.partitionBy("pair_id"))
-    chosen = turns.withColumn("last", last).where(F.col("last").isNull() | (at <= F.col("last")))
-    is_reply = (at == F.col("last")) & (F.col("role") == LEARNT_ROLE)
-    replies = chosen.where(is_reply).groupBy((F.col("pair_id") - 1).alias("pair_id")).agg(F.min("text").alias("other"))
-    rejected = chosen.join(replies, "pair_id", "left").select(
-        "pair_id", "turn", "role", F.when(is_reply, F.coalesce("other", F.lit(""))).otherwise(F.col("text")).alias("text")
-    )
-    return chosen.drop("last"), rejected
+    learnt = F.filter("turns", lambda t: t["role"] == LEARNT_ROLE)
+    ended = gathered.withColumn("last", F.array_max(F.transform(learnt, lambda t: F.struct(t["turn"].alias("turn")))))
+
+    def is_reply(t: Column) -> Column:
+        return F.coalesce((F.struct(t["turn"].alias("turn")) == F.col("last")) & (t["role"] == LEARNT_ROLE), F.lit(False))
+
+    def answered(t: Column) -> Column:
+        return F.col("last").isNull() | (F.struct(t["turn"].alias("turn")) <= F.col("last"))
+
+    cut = ended.select("pair_id", "last", F.filter("turns", answered).alias("good"))
+    replies = cut.select(
+        (F.col("pair_id") - 1).alias("pair_id"), F.array_min(F.transform(F.filter("good", is_reply), lambda t: t["text"])).alias("other")
+    ).where(F.col("other").isNotNull())
+
+    def replaced(t: Column) -> Column:
+        text = F.when(is_reply(t), F.coalesce("other", F.lit(""))).otherwise(t["text"])
+        return F.struct(t["turn"].alias("turn"), t["role"].alias("role"), text.alias("text"))
+
+    both = cut.join(replies, "pair_id", "left")
+    # Two replies at the last turn become one.
+    bad = F.array_sort(F.array_distinct(F.transform("good", replaced)))
+    return _formatted(both.select("pair_id", "good", bad.alias("bad")))

@@ -30,8 +30,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen, rejected = preference.reply_pairs(read(spark, sf_dir, "conversations"))
-    found = preference.format_pairs(chosen, rejected)
+    found = preference.format_replies(read(spark, sf_dir, "conversations"))
 
     def shown(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import connected_groups, stored
+from martloom.llm.common import connected_groups, ship, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -228,6 +228,7 @@ def near_duplicates(
     row: the least id that can be reached over links, the least fingerprint
     there, and whether the row is the one that stands for its group: the least
     by id, NULL last, then by the text's hash."""
+    ship(docs.sparkSession)
     rows = stored(
         docs.select(
             F.col(id).alias("id"), F.xxhash64(text).alias("h"), fingerprint_udf(words)(F.col(text)).alias("f")
@@ -262,15 +263,16 @@ def keep_one(docs: DataFrame, decided: DataFrame, id: str = "doc_id", text: str
     Rows that go grow with the table, so the texts are shuffled for them at any
     size; only those of repeated rows, mostly none, are left to Spark's choice.
     """
-    key = [F.col(id).alias("__id"), F.col("text_hash").alias("__hash")]
+    key = [F.col(id).alias("i"), F.col("text_hash").alias("h")]
     gone = decided.where(~F.col("stays")).select(*key).distinct()
     kept = decided.where("stays").groupBy(*key).agg(F.count("*").alias("n"))
     repeated = stored(kept.where(F.col("n") > 1).drop("n"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id).alias("i"), F.xxhash64(text).alias("h"))
 
     def same(other: DataFrame):
-        return docs[id].eqNullSafe(other["__id"]) & (F.xxhash64(docs[text]) == other["__hash"])
+        return keyed["i"].eqNullSafe(other["i"]) & (keyed["h"] == other["h"])
 
     out = gone.union(repeated).hint("merge")
-    once = docs.join(out, same(out), "left_anti")
-    more = docs.join(repeated, same(repeated), "left_semi").withColumn("__hash", F.xxhash64(text))
-    return once.unionByName(more.dropDuplicates([id, "__hash"]).select(*docs.columns))
+    once = keyed.join(out, same(out), "left_anti")
+    more = keyed.join(repeated, same(repeated), "left_semi").dropDuplicates(["i", "h"])
+    return once.unionByName(more).select(*(F.col("row")[c].alias(c) for c in docs.columns))

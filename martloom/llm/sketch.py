@@ -22,18 +22,23 @@ NULL texts are empty. The last document is followed by the first.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import shared_value
+from martloom.llm.common import shared_value, ship
 
 SHINGLE_CHARS = 12
 SCALE = 16
 RANGES = 512
+# Code points of text in a range of ids.
+RANGE_CHARS = 64 << 20
+# What the cuts may be off by, at the most, is one in so many rows.
+_ACCURACY = 200_000
 # Code points hashed at once, so that memory does not grow with a text.
 _SLICE = 262_144
 # An odd base, its inverse modulo 2 ** 64, and a final mix.
@@ -101,6 +106,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def sketch_udf(size: int = SHINGLE_CHARS, scale: int = SCALE):
     """text -> array of hashes, as signed integers."""
+    ship()
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def sketches(texts: pa.Array) -> pa.Array:
@@ -109,16 +115,33 @@ def sketch_udf(size: int = SHINGLE_CHARS, scale: int = SCALE):
     return sketches
 
 
-def containment(a: str, b: str):
-    """The share of sketch column ``a`` that column ``b`` has; NULL if ``a`` is
-    empty."""
-    return F.size(F.array_intersect(a, b)) / F.nullif(F.size(a), F.lit(0))
+def below(sketch: Column, scale: int = SCALE) -> Column:
+    """The hashes of a sketch below the threshold, without a kept least one."""
+    if scale == 1:
+        return sketch
+    return F.filter(sketch, lambda h: h.between(0, (1 << 64) // scale - 1))
 
 
-def merged(sketches: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """Sketches of the unions of groups of documents."""
+def containment(a: str, b: str, scale: int = SCALE) -> Column:
+    """The share of sketch column ``a`` that column ``b`` has. NULL if ``a`` is
+    empty, or has nothing below the threshold while ``b`` does, which then
+    holds nothing else: such a short text's share cannot be told."""
+    own, other = below(F.col(a), scale), below(F.col(b), scale)
+    told = F.size(F.array_intersect(own, other)) / F.nullif(F.size(own), F.lit(0))
+    whole = F.size(F.array_intersect(a, b)) / F.nullif(F.size(a), F.lit(0))
+    return F.when(F.size(own) + F.size(other) > 0, told).otherwise(whole)
+
+
+def merged(sketches: DataFrame, keys: list[str], column: str, scale: int = SCALE) -> DataFrame:
+    """Sketches of the unions of groups of documents: the hashes below the
+    threshold, or the least one if there is none."""
     hashes = sketches.select(*keys, F.explode_outer(column).alias(column))
-    return hashes.groupBy(*keys).agg(F.array_sort(F.collect_set(column)).alias(column))
+    together = hashes.groupBy(*keys).agg(F.array_sort(F.collect_set(column)).alias(column))
+    kept, sign = below(F.col(column), scale), F.lit(-(1 << 63))
+    # Unsigned order is the signed one of the numbers with the highest bit turned.
+    least = F.array_min(F.transform(column, lambda h: h.bitwiseXOR(sign))).bitwiseXOR(sign)
+    alone = F.when(F.size(column) > 0, F.array(least)).otherwise(F.col(column))
+    return together.withColumn(column, F.when(F.size(kept) > 0, kept).otherwise(alone))
 
 
 class _Ranges:
@@ -225,13 +248,16 @@ def edited_pairs(
     """``(id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next)`` of every row. In the edited text, as many of the
     first code points of the next document replace the last quarter. Ids are
-    integers. There are ``ranges`` ranges of them, else four for each of the
-    session's shuffle partitions and ``RANGES`` at least."""
+    integers. There are ``ranges`` ranges of them, else one for each
+    ``RANGE_CHARS`` of text, and ``RANGES`` at least."""
     spark = docs.sparkSession
-    ranges = ranges or max(RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ship()
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    size_of = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    blocks = math.ceil(size_of / RANGE_CHARS)
+    ranges, tasks = ranges or max(RANGES, blocks), max(blocks, 8 * spark.sparkContext.defaultParallelism)
     steps = [(k + 1) / ranges for k in range(ranges - 1)]
-    cuts = rows.agg(F.percentile_approx("id", steps, 20 * ranges)).first()[0] or []
+    cuts = rows.agg(F.percentile_approx("id", steps, min(20 * ranges, _ACCURACY))).first()[0] or []
     known = _Ranges([int(c) for c in cuts])
     number = _range_udf(shared_value(spark, known))
     # The first row of each range: at most 64 rows for each cut.
@@ -248,7 +274,7 @@ def edited_pairs(
     dealt = (
         rows.withColumn("place", F.explode(places("id", "h")))
         .select(F.col("place.range").alias("range"), F.col("place.guest").alias("guest"), "id", "text", "h")
-        .repartition("range")
+        .repartition(tasks, "range")
         .sortWithinPartitions("range", "guest", "id", "h")
         .select("range", "guest", "id", "text")
     )

@@ -10,24 +10,39 @@ from pyspark.sql import functions as F
 from martloom.llm import bpe, decontam, langid, pii, simhash
 from martloom.llm.common import held_out, ship
 
-# Below it, a text's n-grams are in no learnt language's order. Texts of the
-# learnt languages score above 0.4, junk around them included.
-MIN_LANGUAGE_SCORE = 0.2
-
+# A text is in no learnt language if its score is so many standard deviations
+# below the mean of those learnt from, of which about so many are scored.
+DEVIATIONS = 6.0
+SCORED_ROWS = 4_000
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # No secret here: a real run passes its own key.
 PSEUDONYM_KEY = "query key"
 
 
+def least_score(learnt: DataFrame, predict) -> float:
+    """What a text must score to be in a learnt language: by the scores of
+    the rows learnt from, a sample of about ``SCORED_ROWS`` by a hash of the row.
+    0 if no row of them has a language."""
+    n = learnt.count()
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SCORED_ROWS / max(n, 1))))
+    found = learnt.where(share).select(predict(F.col("text")).alias("found")).where(F.col("found.lang_pred") != langid.UNDETERMINED)
+    row = found.agg(F.avg("found.score").alias("mean"), F.stddev_pop("found.score").alias("spread")).first()
+    return 0.0 if row["mean"] is None else row["mean"] - DEVIATIONS * row["spread"]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and those no learnt profile fits. Profiles
-    are learnt from the stage's own rows, as the operator's query does."""
+    are learnt from the stage's own rows, as the operator's query does, and so
+    is the least score of a text that fits. Repeated rows are judged alike;
+    without rows to learn from, nothing fits."""
     ship(spark)
-    profiles = langid.fit(docs.where(~held_out("doc_id")))
-    judged = docs.withColumn("__found", langid.predict_udf(profiles)(F.col("text")))
-    kept = (F.col("__found.lang_pred") != langid.UNDETERMINED) & (F.col("__found.score") >= MIN_LANGUAGE_SCORE)
-    return judged.where(kept).select(*docs.columns)
+    learnt = docs.where(~held_out("doc_id") & F.col("lang").isNotNull())
+    profiles = langid.fit(learnt)
+    predict = langid.predict_udf(profiles)
+    judged = docs.select(F.struct(*docs.columns).alias("row"), predict(F.col("text")).alias("found"))
+    kept = (F.col("found.lang_pred") != langid.UNDETERMINED) & (F.col("found.score") >= least_score(learnt, predict))
+    return judged.where(kept).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,16 +60,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts; ``n_chars`` follows a changed
-    text."""
-    out = pii.pseudonymize(docs.withColumn("__before", F.col("text")), PSEUDONYM_KEY)
-    changed = F.col("text") != F.col("__before")
+    text. Every row stays: NULL and empty texts, texts without values, repeated
+    rows; an empty table stays empty."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    out = pii.pseudonymize(rows, PSEUDONYM_KEY)
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed = F.col("text") != F.col("row.text")
+        made["n_chars"] = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return out.select(*(made.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes and decodes the texts that are left."""
+    """Encodes and decodes the texts that are left, a row for each: NULL and
+    empty texts have no ids, repeated rows equal ones; an empty table has no
+    rows. Other columns are left aside."""
     ship(spark)
     return bpe.round_trip(docs, RANK_FILE, public_tokenizers.PATTERN)

@@ -10,7 +10,9 @@ the offence is.
 
 Training takes a sample of at most ``SAMPLE`` labelled documents, chosen by a
 hash of the id, and whole texts of them. Features count that occur in
-at least ``MIN_DOCS`` of these. All rows are scored by whole text.
+at least ``MIN_DOCS`` of these. Texts are split and features screened in the
+executors; the driver gets the features that are left and where they stand, no
+texts. All rows are scored by whole text.
 
 Texts: NULL and empty ones have no sentences and score the leak. Without
 labelled rows of both kinds nothing can be learnt and every score is the share
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import shared_value
+from martloom.llm.common import shared_value, ship, stored
 
 SAMPLE = 4_000
 MIN_DOCS = 3
@@ -94,79 +96,101 @@ class Model:
         return 1 - (1 - self.leak) * float(np.prod([1 - s for s in scores]))
 
 
-def _screened(docs: list[set[str]], y: np.ndarray, min_docs: int) -> dict[str, float]:
+def document_features(text: str | None) -> set[str]:
+    return {f for w in set().union(*map(words, sentences(text))) for f in features(w)}
+
+
+def screened(counts: list[tuple[str, int, int]], clean: int, toxic: int) -> dict[str, float]:
     """Features that stand in toxic documents significantly more often, with
-    their log odds. Others could only fit the sample's noise."""
-    seen: list[Counter] = [Counter(), Counter()]
-    parts: dict[str, list[str]] = {}
-    for doc, label in zip(docs, y, strict=True):
-        own: set[str] = set()
-        for w in doc:
-            if w not in parts:
-                parts[w] = features(w)
-            own.update(parts[w])
-        seen[int(label)].update(own)
-    names = [f for f, n in seen[1].items() if n >= 2 and n + seen[0][f] >= min_docs]
-    with_it = np.array([[seen[k][f] for f in names] for k in (0, 1)], float).reshape(2, -1) + 0.5
-    without = np.array([[(y == 0).sum() + 1], [(y == 1).sum() + 1]]) - with_it
+    their log odds, from ``(feature, clean, toxic documents with it)``. Others
+    could only fit the sample's noise."""
+    with_it = np.array([[n0, n1] for _, n0, n1 in counts], float).reshape(-1, 2).T + 0.5
+    without = np.array([[clean + 1], [toxic + 1]]) - with_it
     odds = np.log(with_it[1] / without[1]) - np.log(with_it[0] / without[0])
     error = np.sqrt((1 / with_it + 1 / without).sum(axis=0))
-    return {names[i]: float(odds[i]) for i in np.flatnonzero(odds > SIGNIFICANT * error)}
-
-
-def train(
-    texts: list[str | None], labels: list[int], min_docs: int = MIN_DOCS, rounds: int = ROUNDS
-) -> Model:
-    """Fit by proximal AdaGrad steps on the full likelihood; deterministic."""
+    return {counts[i][0]: float(odds[i]) for i in np.flatnonzero(odds > SIGNIFICANT * error)}
+
+
+def placed(text: str | None, place: dict[str, int]) -> tuple[int, list[list[int]]]:
+    """The number of sentences, and the screened features of those that have
+    any."""
+    own = sentences(text)
+    found = ({place[f] for w in words(s) for f in features(w) if f in place} for s in own)
+    return len(own), [sorted(ids) for ids in found if ids]
+
+
+def log_likelihood(params: np.ndarray, feature, of_sentence, of_doc, bare, y) -> tuple[float, np.ndarray]:
+    """Of the documents' labels ``y``, and its gradient. ``params``: features'
+    weights, bias and the leak's logit. ``feature`` and ``of_sentence`` list
+    the features of sentences, ``of_doc`` the sentences of documents; ``bare``
+    counts a document's other sentences."""
+    size, docs = len(params) - 2, len(y)
+    z = params[size] + np.bincount(of_sentence, params[feature], len(of_doc))
+    p, rest = (1 / (1 + np.exp(-np.clip(x, -40, 40))) for x in (z, params[size]))
+    leak = 1 / (1 + np.exp(-params[-1]))
+    # log of the chance that nothing is toxic; its derivative's factor is 1 for
+    # clean documents, -none / (1 - none) for others.
+    none = np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-12)), docs) + bare * np.log1p(-rest) + np.log1p(-leak)
+    toxic = -np.expm1(np.minimum(none, -1e-9))
+    push = np.where(y == 1, np.exp(none) / toxic, -1.0)
+    by_sentence = push[of_doc] * p
+    gradient = np.empty(size + 2)
+    gradient[:size] = np.bincount(feature, by_sentence[of_sentence], size)
+    gradient[size] = by_sentence.sum() + (push * bare).sum() * rest
+    gradient[-1] = push.sum() * leak
+    return float(np.where(y == 1, np.log(toxic), none).sum()), gradient
+
+
+def trained(start: dict[str, float], split: list[tuple[int, list[list[int]]]], labels: list[int], rounds: int = ROUNDS) -> Model:
+    """Fit by proximal AdaGrad steps on the full likelihood; deterministic.
+    ``split`` has ``placed`` of each document, by the place of a feature in
+    ``sorted(start)``."""
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return Model({}, -40.0, float(y.mean()) if len(y) else 0.0)
-    split = [[words(s) for s in sentences(t)] for t in texts]
-    start = _screened([set().union(*doc) for doc in split], y, min_docs)
     names = sorted(start)
-    place = {f: i for i, f in enumerate(names)}
     size = len(names)
-    known: dict[str, list[int]] = {}
-    # A flat list of features by sentence and of sentences by document.
-    feature, of_sentence, of_doc, n = [], [], [], 0
-    for d, doc in enumerate(split):
-        for sentence in doc:
-            ids: set[int] = set()
-            for w in sentence:
-                if w not in known:
-                    known[w] = [place[f] for f in features(w) if f in place]
-                ids.update(known[w])
-            feature += sorted(ids)
-            of_sentence += [n] * len(ids)
-            of_doc.append(d)
-            n += 1
-    feature, of_sentence, of_doc = (np.array(x, np.int64) for x in (feature, of_sentence, of_doc))
-    # Features, then bias, then the leak's logit.
+    found = [(d, ids) for d, (_, own) in enumerate(split) for ids in own]
+    of_doc = np.array([d for d, _ in found], np.int64)
+    of_sentence = np.array([i for i, (_, ids) in enumerate(found) for _ in ids], np.int64)
+    feature = np.array([f for _, ids in found for f in ids], np.int64)
+    bare = np.array([n - len(own) for n, own in split], float)
     params = np.concatenate(([start[f] for f in names], [-6.0, np.log(y.mean() / (1 - y.mean()))]))
     squares = np.full(size + 2, 1e-6)
     for _ in range(rounds):
-        z = params[size] + np.bincount(of_sentence, params[feature], n)
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        leak = 1 / (1 + np.exp(-params[-1]))
-        # log of the chance that nothing is toxic, and its derivative's factor:
-        # d log-likelihood / d (-log none) is 1 for clean, -none/(1-none) else.
-        none = np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y)) + np.log1p(-leak)
-        toxic = -np.expm1(np.minimum(none, -1e-9))
-        push = np.where(y == 1, np.exp(none) / toxic, -1.0)
-        by_sentence = push[of_doc] * p
-        gradient = np.empty(size + 2)
-        gradient[:size] = np.bincount(feature, by_sentence[of_sentence], size)
-        gradient[size] = by_sentence.sum()
-        gradient[-1] = push.sum() * leak
+        _, gradient = log_likelihood(params, feature, of_sentence, of_doc, bare, y)
         squares += gradient**2
         step = RATE / np.sqrt(squares)
         params += step * gradient
         w = params[:size]
         params[:size] = np.sign(w) * np.maximum(np.abs(w) - PENALTY * step[:size], 0)
-    kept = {f: float(params[i]) for f, i in place.items() if abs(params[i]) > 1e-3}
+    kept = {f: float(params[i]) for i, f in enumerate(names) if abs(params[i]) > 1e-3}
     return Model(kept, float(params[size]), float(1 / (1 + np.exp(-params[-1]))))
 
 
+def _counted(batches):
+    """(text, label) to (feature, clean, toxic): in how many of the task's
+    documents a feature is."""
+    for batch in batches:
+        seen: list[Counter] = [Counter(), Counter()]
+        for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            seen[int(label == 1)].update(document_features(text.as_py()))
+        names = sorted(seen[0].keys() | seen[1].keys())
+        arrays = [pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in seen)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["feature", "clean", "toxic"])
+
+
+def _placed(names):
+    def run(batches):
+        place = {f: i for i, f in enumerate(names.value)}
+        for batch in batches:
+            found = [placed(text.as_py(), place) for text in batch.column(2)]
+            arrays = [pa.array([n for n, _ in found], pa.int64()), pa.array([ids for _, ids in found], pa.list_(pa.list_(pa.int32())))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["id", "label", "n", "ids"])
+
+    return run
+
+
 SCORED = T.StructType(
     [
         T.StructField("score", T.DoubleType()),
@@ -181,10 +205,11 @@ SCORED = T.StructType(
 )
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE):
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE, min_docs: int = MIN_DOCS):
     """A model of at most ``sample`` labelled documents, sent to every
     executor. Rows of ``labels`` without id or label teach nothing; of repeated
     labels the higher counts, of repeated documents the first text."""
+    ship(docs.sparkSession)
     chosen = (
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(id).alias("id"))
@@ -193,14 +218,34 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         .limit(sample)
     )
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    rows = texts.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")).orderBy("id").collect()
-    model = train([r["text"] for r in rows], [int(r["label"]) for r in rows])
+    label_of = (F.col("label") == 1).cast("int").alias("label")
+    rows = stored(texts.join(chosen, "id").groupBy("id", label_of).agg(F.min("text").alias("text")))
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    counts = (
+        rows.select("text", "label")
+        .mapInArrow(_counted, "feature string, clean long, toxic long")
+        .groupBy("feature")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .where((F.col("toxic") >= 2) & (F.col("clean") + F.col("toxic") >= min_docs))
+    )
+    # Only what the screen lets pass leaves the executors.
+    n0, n1 = (F.col(c) + 0.5 for c in ("clean", "toxic"))
+    m0, m1 = clean + 1 - n0, toxic + 1 - n1
+    passes = F.log(n1 / m1) - F.log(n0 / m0) > SIGNIFICANT * F.sqrt(1 / n0 + 1 / n1 + 1 / m0 + 1 / m1) - 1e-9
+    found = [tuple(r) for r in counts.where(passes).collect()] if clean and toxic else []
+    start = screened(found, clean, toxic)
+    names = shared_value(docs.sparkSession, sorted(start))
+    fields = f"id {rows.schema['id'].dataType.simpleString()}, label int, n long, ids array<array<int>>"
+    split = rows.select("id", "label", "text").mapInArrow(_placed(names), fields).orderBy("id").collect()
+    model = trained(start, [(r["n"], r["ids"]) for r in split], [r["label"] for r in split])
     return shared_value(docs.sparkSession, model)
 
 
 def score_udf(model):
     """text -> (score, number of sentences, sentences more likely toxic than
     not)."""
+    ship()
 
     @F.arrow_udf(SCORED)
     def scored(texts: pa.Array) -> pa.Array:

@@ -15,12 +15,14 @@ often misjudged.
 
 All of it is joins and aggregates: contexts are counted with partial sums, the
 score of a character in its context is computed once for each distinct one in
-the table, and a URL is scored once however many rows have it.
+the table, and a URL is scored once however many rows have it. URLs are known
+by two hashes of 96 bits; the work grows with their length, of any length.
 
 Rules look at host and path; the models learn from and score the whole URL as
 it is written, with its scheme, query and fragment. NULL or without ``://``,
-host and path are empty. A NULL or empty URL scores 0. Without examples of both kinds every score and the threshold are 0, which
-allows.
+host and path are empty. A NULL or empty URL scores 0. Without examples of both
+kinds every score and the threshold are 0, which allows. Repeated rows each get
+the verdict; columns of any other name are kept; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from martloom.llm.common import stored
 
 ORDER = 4
 FOLDS = 5
+# Characters of a URL that are looked at together; more than an order.
+CHUNK = 256
 # Characters are first held to be equally likely among this many.
 ALPHABET = 128
 # Marks before and after a URL's characters.
@@ -57,16 +61,27 @@ def fitting_rule(host: Column, path: Column, rules) -> Column:
     return out
 
 
-def _grams(text: Column, order: int) -> Column:
-    """For each character but the first mark, it and the longest context of at
-    most ``order`` characters before it."""
-    marked = F.concat(F.lit(_BEGIN), text, F.lit(_END))
+def grams_of(texts: DataFrame, order: int, *keep: str) -> DataFrame:
+    """A row for each character of ``text`` but the first mark: ``gram``, the
+    character after the longest context of at most ``order`` characters before
+    it, with the columns ``keep``.
+
+    A text is first cut to chunks, in one pass, and a character looked up in
+    its chunk: the work grows with the length, not with its square.
+    """
+    marked = F.concat(F.lit(_BEGIN), F.col("text"), F.lit(_END))
+    cut = texts.select(*keep, F.regexp_extract_all(marked, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("chunks"))
+    # What a chunk's first characters follow; the last one has no successor.
+    before = F.concat(F.array(F.lit("")), F.transform("chunks", lambda c: F.right(c, F.lit(order))))
+    pairs = F.zip_with(before, "chunks", lambda old, own: F.struct(F.length(old).alias("n"), F.concat(old, own).alias("c")))
+    chunks = cut.select(*keep, F.explode(F.filter(pairs, lambda p: p["c"].isNotNull())).alias("chunk"))
+    text, begin = F.col("chunk.c"), F.greatest(F.col("chunk.n"), F.lit(1)) + 1
 
     def gram(i: Column) -> Column:
         first = F.greatest(i - order, F.lit(1))
-        return F.substr(marked, first, i - first + 1)
+        return F.substr(text, first, i - first + 1)
 
-    return F.transform(F.sequence(F.lit(2), F.length(marked)), gram)
+    return chunks.select(*keep, F.explode(F.transform(F.sequence(begin, F.length(text)), gram)).alias("gram"))
 
 
 def context_counts(urls: DataFrame, order: int = ORDER) -> DataFrame:
@@ -74,7 +89,7 @@ def context_counts(urls: DataFrame, order: int = ORDER) -> DataFrame:
     character is in the examples ``(text, action, n)``, for all lengths of
     context from one."""
     longest = (
-        urls.select("action", "n", F.explode(_grams(F.col("text"), order)).alias("gram"))
+        grams_of(urls, order, "action", "n")
         .groupBy("gram")
         .agg(
             F.sum(F.when(F.col("action") == "allow", F.col("n")).otherwise(0)).alias("accepted"),
@@ -125,15 +140,14 @@ def gram_scores(grams: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def scores(texts: DataFrame, counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """``(text, score)`` of each of the distinct ``texts``."""
-    pieces = texts.select(F.xxhash64("text").alias("key"), "text", F.explode(_grams(F.col("text"), order)).alias("gram"))
-    grams = pieces.select("gram").distinct()
-    return (
-        pieces.join(gram_scores(grams, counts), "gram")
-        .groupBy("key", "text")
-        .agg((F.sum("ratio") / F.count("*")).alias("score"))
-        .drop("key")
-    )
+    """``(k1, k2, score)`` of each of the distinct texts ``(k1, k2, text)``.
+
+    Only the keys travel with a text's grams. The scores of grams are a table
+    of their own, so that adaptive execution can split a common gram's rows.
+    """
+    pieces = grams_of(texts, order, "k1", "k2")
+    ratios = stored(gram_scores(pieces.select("gram").distinct(), counts))
+    return pieces.join(ratios, "gram").groupBy("k1", "k2").agg((F.sum("ratio") / F.count("*")).alias("score"))
 
 
 def calibrated(examples: DataFrame) -> float:
@@ -166,17 +180,20 @@ def judge(pages: DataFrame, rules=RULES, url: str = "url", order: int = ORDER, f
     own = pages.select(F.struct(*(F.col(c) for c in pages.columns)).alias("row"), host.alias("host"), path.alias("path"), found.alias("found"))
     own = own.withColumn("text", F.coalesce(F.col("row")[url], F.lit("")))
     # Each URL once, with its number of rows; whether a rule fits depends on it.
-    texts = stored(own.groupBy("text").agg(F.first("found.action").alias("action"), F.count("*").alias("n")))
+    keys = [F.xxhash64("text").alias("k1"), F.hash("text").alias("k2")]
+    once = own.groupBy("text").agg(F.first("found.action").alias("action"), F.count("*").alias("n"))
+    texts = stored(once.select("*", *keys))
     held = F.crc32("text") % folds == 0
     examples = texts.where(F.col("action").isNotNull())
     counts = stored(context_counts(examples.where(~held), order))
     kinds = counts.agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")).first()
     if kinds["a"] and kinds["r"]:
-        scored = stored(scores(texts.where(F.col("text") != "").select("text"), counts, order))
-        threshold = calibrated(examples.where(held).join(scored, "text"))
+        scored = stored(scores(texts.where(F.col("text") != ""), counts, order))
+        threshold = calibrated(examples.where(held).join(scored, ["k1", "k2"]))
     else:
-        scored, threshold = texts.select("text", F.lit(0.0).alias("score")).limit(0), 0.0
-    judged = own.join(scored, "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        scored, threshold = texts.select("k1", "k2", F.lit(0.0).alias("score")).limit(0), 0.0
+    keyed = own.select("row", "host", "path", "found", *keys)
+    judged = keyed.join(scored, ["k1", "k2"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     by_score = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     added = {"host": F.col("host"), "path": F.col("path"), "rule": F.col("found.rule"), "score": F.col("score"), "verdict": F.coalesce("found.action", by_score)}
     kept = [F.col("row")[c].alias(c) for c in pages.columns if c not in added]

@@ -62,7 +62,7 @@ def small_case(spark):
     return docs, spark.createDataFrame(items, "item_id long, text string")
 
 
-def test_small_cases(spark):
+def test_small_cases(spark, monkeypatch):
     docs, items = small_case(spark)
     source = docs.collect()
     want = plain([r["text"] for r in source], [tuple(r) for r in items.collect()])
@@ -73,7 +73,9 @@ def test_small_cases(spark):
     clean = [s for s, (n, hit, _) in zip(source, want, strict=True) if not (hit and 20 * hit >= n)]
     assert sorted(kept.collect(), key=repr) == sorted(clean, key=repr)
     for bits in (3, 10):  # a filter that lets nearly everything pass
-        again = decontam.find(docs, items, bits=bits)
+        monkeypatch.setattr(decontam, "_LEAST_BITS", bits)
+        monkeypatch.setattr(decontam, "_MOST_BITS", bits)
+        again = decontam.find(docs, items)
         assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in again.collect()), key=repr) == sorted(got, key=repr)
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import re
 from datetime import date
 
@@ -60,6 +61,17 @@ FORMS = [
     ("1/2/2003", "date", r"\d{1,2}/\d{1,2}/\d{4}"),
     ("25/12/2003", "date", r"\d\d/\d\d/\d{4}"),
     ("+44 20 7946 0958", "phone", r"\+44 \d\d \d{4} \d{4}"),
+    ("+49 30 1234567", "phone", r"\+49 \d\d \d{7}"),
+    ("+33 1 23 45 67 89", "phone", r"\+33 \d(?: \d\d){4}"),
+    ("+61 2 9374 4000", "phone", r"\+61 \d \d{4} \d{4}"),
+    ("+31 6 12345678", "phone", r"\+31 \d \d{8}"),
+    ("+55 11 91234-5678", "phone", r"\+55 \d\d \d{5}-\d{4}"),
+    ("+49 (0)30 1234567", "phone", r"\+49 \(\d\)\d\d \d{7}"),
+    ("+91 98765 43210", "phone", r"\+91 \d{5} \d{5}"),
+    ("+44 7911 123456", "phone", r"\+44 \d{4} \d{6}"),
+    ("+493012345678", "phone", r"\+4\d{11}"),
+    ("3782 822463 10005", "card", r"\d{4} \d{6} \d{5}"),
+    ("3056-930902-5904", "card", r"\d{4}-\d{6}-\d{4}"),
     ("(212) 555-0123", "phone", r"\(\d{3}\) \d{3}-\d{4}"),
     ("GB82WEST12345698765432", "iban", r"GB\d\dWEST\d{14}"),
     ("DE89 3704 0044 0532 0130 00", "iban", r"DE\d\d(?: \d{4}){4} \d\d"),
@@ -122,3 +134,143 @@ def test_networks_are_bijections(spark):
 def test_query_runs_no_python(spark, sf):
     plan = QUERIES["op7_pii"](spark, sf)._jdf.queryExecution().toString()
     assert not re.search("EvalPython|MapIn|Pandas|CartesianProduct", plan)
+
+
+def test_neighbours_of_phones(spark):
+    others = ["2024-01-31", "10.1.2.3", "31.12.1999", "4111 1111 1111 1111", "123456789012"]
+    found = replaced(spark, [f"+49 30 1234567 {o}" for o in others] + ["+49 30 1234567"])
+    alone = found.pop()[0]
+    assert all(text.startswith(f"{alone} ") for text, _ in found)
+    assert [kinds for _, kinds in found] == [["phone", "date"], ["phone", "ipv4"], ["phone", "date"], ["phone", "card"], ["phone"]]
+
+
+def test_endless_runs(spark):
+    """No group of the patterns is so deep or slow that a long text ends it."""
+    for n in (1_000, 2_000, 100_000):
+        texts = [
+            "a@" + "x." * n + "com.", "a@" + "x." * n + "1", "a@" + "com." * n, "a." * n + "@b.com", "1." * n, "1/" * n, "+1" + "2" * n, "+" + "1 " * n,
+            "1 " * n, "A" * n, "GB82 " + "WEST " * n, "-" * n, "a@b" * n,
+        ]
+        found = replaced(spark, texts)
+        assert found[0][1] == ["email"] and found[0][0].endswith("@" + "x." * n + "com.")
+        assert found[2][0].endswith("@" + "com." * n) and found[2][1] == ["email"]
+        assert found[1] == (texts[1], []) and [t for t, _ in found[4:6]] == texts[4:6]
+
+
+def test_addresses_end_where_labels_do(spark):
+    cases = {
+        "jo@x.com.": "@x.com.", "jo@x.com.1": "@x.com.1", "jo@x.co-op.org,": "@x.co-op.org,", "jo@a.b.c9.de.": "@a.b.c9.de.", "jo@x..com": None,
+        "jo@x.com-": None, "jo@x.c": None, "jo@x.com_": None, "jo@com": None, "jo@x.com.10.0.0.1": "",
+    }
+    for (text, tail), (new, kinds) in zip(cases.items(), replaced(spark, list(cases)), strict=True):
+        if tail is None:
+            assert (new, kinds) == (text, [])
+        else:
+            assert kinds[0] == "email" and "jo@" not in new and new.endswith(tail)
+    assert replaced(spark, ["jo@x.com.10.0.0.1"])[0][1] == ["email", "ipv4"]
+
+
+def test_no_result_stands_for_two_dates(spark):
+    days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2027-12-31')) AS d")
+    forms = ["M/d/yyyy", "MM/dd/yyyy"]
+    texts = [days.select(F.date_format("d", f).alias("text"), "d") for f in forms]
+    texts += [days.where(F.dayofmonth("d") > 12).select(F.date_format("d", f).alias("text"), "d") for f in ("d/M/yyyy", "dd/MM/yyyy")]
+    every = texts[0].union(texts[1]).union(texts[2]).union(texts[3]).select("text", "d", F.col("text").alias("old"))
+    rows = pii.pseudonymize(every, KEY).collect()
+    stands: dict = {}
+    for r in rows:
+        stands.setdefault(r["text"], set()).add((r["d"], r["old"].split("/")[0] == str(r["d"].day).zfill(len(r["old"].split("/")[0])) and r["d"].day > 12))
+    assert all(len({d for d, _ in v}) == 1 or len({first for _, first in v}) == 1 for v in stands.values())
+    month = {(r["old"], r["d"]): r["text"] for r in rows if int(r["old"].split("/")[0]) <= 12}
+    first = {(r["old"], r["d"]): r["text"] for r in rows if int(r["old"].split("/")[0]) > 12}
+    assert not set(month.values()) & set(first.values())
+    for part in (month, first):
+        by_text: dict = {}
+        for (_, d), text in part.items():
+            by_text.setdefault(text, set()).add(d)
+        assert all(len(v) == 1 for v in by_text.values())
+
+
+def test_late_days_are_permuted(spark):
+    days = spark.sql("SELECT explode(sequence(date'1801-01-01', date'2000-12-31')) AS d").where("day(d) > 12 AND NOT (month(d) = 2 AND day(d) = 29)")
+    rows = days.select("d", pii._permuted_late_day(F.col("d"), KEY).alias("n")).collect()
+    assert {r["n"] for r in rows} == {r["d"] for r in rows}
+    leap = spark.sql("SELECT make_date(y, 2, 29) AS d FROM (SELECT explode(sequence(4, 9996, 4)) AS y) WHERE y % 100 <> 0 OR y % 400 = 0")
+    rows = leap.select("d", pii._permuted_late_day(F.col("d"), KEY).alias("n")).collect()
+    assert len(rows) == 2424 and {r["n"] for r in rows} == {r["d"] for r in rows}
+
+
+def hashed(tag, turn, half, modulus, key=KEY):
+    text = "|".join(map(str, (key, tag, turn, modulus, half)))
+    return int(hashlib.sha256(text.encode()).hexdigest()[:15], 16) % modulus
+
+
+def network(left, right, a, b, tag):
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            left = (left + hashed(tag, i, right, a)) % a
+        else:
+            right = (right + hashed(tag, i, left, b)) % b
+    return left, right
+
+
+def plain_digits(digits, tag):
+    n = len(digits)
+    cut = n // 2
+    left, right = network(int(digits[:cut]), int(digits[cut:]), 10**cut, 10 ** (n - cut), tag)
+    return f"{left:0{cut}d}{right:0{n - cut}d}"
+
+
+def refilled(value, digits):
+    left = iter(digits)
+    return "".join(next(left) if c.isdigit() else c for c in value)
+
+
+def plain_value(value, kind):
+    digits = re.sub(r"\D", "", value)
+    if kind == "card":
+        other = plain_digits(digits[:-1], "card")
+        return next(refilled(value, f"{other}{c}") for c in range(10) if luhn(f"{other}{c}"))
+    if kind == "ipv4":
+        o = [int(x) for x in value.split(".")]
+        pair = network(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, "ipv4")
+        return ".".join(str(x) for h in pair for x in divmod(h, 256))
+    if kind == "phone":
+        code = re.match(r"\+(\d{1,3})(?=[ .(-])", value)
+        kept = 0 if value[0] != "+" else len(code[1]) if code else 1
+        return refilled(value, digits[:kept] + plain_digits(digits[kept:], "phone"))
+    if kind == "ssn":
+        used = [n for n in range(1, 900) if n != 666]
+        area, group, serial = map(int, value.split("-"))
+        left, right = network(used.index(area) * 99 + group - 1, serial - 1, 898 * 99, 9999, "ssn")
+        return f"{used[left // 99]:03d}-{left % 99 + 1:02d}-{right + 1:04d}"
+    if kind == "iban":
+        plain = value.replace(" ", "")
+        account = plain[4:]
+        inside = plain_digits(re.sub(r"\D", "", account), "iban")
+        moved = refilled(account, inside) + plain[:2]
+        check = 98 - int("".join(str(int(c, 36)) for c in moved + "00")) % 97
+        return refilled(value, f"{check:02d}{inside}")
+    if kind == "email":
+        return "u" + hashlib.sha256(f"{KEY}|email|{value.lower()}".encode()).hexdigest()[:16] + "@" + value.rsplit("@", 1)[1]
+    day = date.fromisoformat(value)
+    number = day.toordinal() - 1
+    block, within = divmod(number, 200 * 365)
+    left, right = network(within // 365, within % 365, 200, 365, "date")
+    return date.fromordinal(block * 200 * 365 + left * 365 + right + 1).isoformat()
+
+
+def test_values_against_a_plain_network(spark):
+    values = [(v, k) for v, k, _ in FORMS if k != "date"] + [("2024-02-29", "date"), ("0001-01-01", "date"), ("1999-12-31", "date")]
+    values += [("899-99-9999", "ssn"), ("001-01-0001", "ssn"), ("667-50-5000", "ssn"), ("665-50-5000", "ssn"), ("255.255.255.255", "ipv4"), ("0.0.0.0", "ipv4")]
+    for (value, kind), (new, kinds) in zip(values, replaced(spark, [v for v, _ in values]), strict=True):
+        assert (new, kinds) == (plain_value(value, kind), [kind])
+
+
+def test_clashing_names(spark):
+    names = ["__values", "__new", "__text", "values", "new", "row", "replaced", "found"]
+    table = spark.createDataFrame([("a@b.com", *range(len(names)))], ", ".join(["text string", *(f"`{n}` int" for n in names)]))
+    got = pii.pseudonymize(table, KEY).collect()[0]
+    assert got.asDict() == {"text": got["text"], **{n: i for i, n in enumerate(names)}} and got["text"] != "a@b.com"
+    kinds = pii.pseudonymize(table, KEY, kinds="new").collect()[0]
+    assert kinds["new"] == ["email"] and kinds["values"] == 3

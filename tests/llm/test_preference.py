@@ -23,7 +23,7 @@ def plain(good, bad):
     return n, rendered(good[:n]), rendered(good[n:]), spans(good[n:]), rendered(bad[n:]), spans(bad[n:])
 
 
-def test_query_against_plain_version(spark, sf):
+def test_replied_conversations_against_plain_version(spark, sf):
     talks: dict = {}
     for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
         talks.setdefault(r["conv_id"], []).append((r["turn"], r["role"] or "", r["text"] or ""))
@@ -33,7 +33,7 @@ def test_query_against_plain_version(spark, sf):
         if last is not None:
             cut[i] = sorted(set(t for t in turns if t[0] <= last))
     got = {r["conv_id"]: r for r in QUERIES["op2_preference"](spark, sf).collect()}
-    assert got.keys() == cut.keys()
+    assert cut and got.keys() == talks.keys()
     for i, turns in cut.items():
         other = cut[i + 1][-1][2] if i + 1 in cut else ""
         good = [t[1:] for t in turns]
@@ -96,8 +96,13 @@ def test_conversations_without_replies_or_numbers(spark):
         (None, 0, "user", "no id"),
     ]
     table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
-    got = {r["pair_id"]: r for r in preference.format_pairs(*preference.reply_pairs(table)).collect()}
+    got = {r["pair_id"]: r for r in preference.format_replies(table).collect()}
     # Shared turns, then the completions; "e" and "g" come after the last reply.
+    assert preference.format_replies(table.where("false")).collect() == []
+    tied = [(5, 0, "user", "q"), (5, 1, "assistant", "x"), (5, 1, "assistant", "y"), (5, 1, "assistant", "y"), (6, 0, "assistant", "z")]
+    tied = spark.createDataFrame([(*r, "good") for r in tied], "conv_id long, turn int, role string, text string, good string")
+    row = next(r for r in preference.format_replies(tied).collect() if r["pair_id"] == 5)
+    assert (row["chosen"], row["rejected"]) == (rendered([("assistant", "x"), ("assistant", "y")]), rendered([("assistant", "z")]))
     expected = {
         1: ([("user", "a"), ("user", "b")], [], []),
         2: ([("user", "c")], [("assistant", "d")], [("assistant", "f")]),

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.llm import sketch
 from martloom.llm.queries import QUERIES
@@ -61,6 +62,19 @@ def test_unequal_documents_and_unions(spark):
     sides = rows.where("k = 's'").selectExpr("own AS a").join(rows.where("k = 'l'").selectExpr("own AS b"))
     assert sides.select(sketch.containment("a", "b").alias("c")).first()["c"] > 0.97
     assert sides.select(sketch.containment("b", "a").alias("c")).first()["c"] < 0.15
+    short = [("x", "tiny text a"), ("y", "another tiny text"), ("z", "q")]
+    sketches = spark.createDataFrame(short + [("s", part)], "k string, text string").select("k", sketch.sketch_udf()("text").alias("own"))
+    kept = {r["k"]: r["own"] for r in sketches.collect()}
+    # A short text's least hash leaves a union that has hashes below the threshold.
+    for members in ("xs", "xys", "xyz", "xy", "z", "s"):
+        union = sketch.merged(sketches.where(F.col("k").isin(*members)).withColumn("g", F.lit(1)), ["g"], "own").first()["own"]
+        whole = sorted({h for k in members for h in kept[k]})
+        low = [h for h in whole if 0 <= h < 2**64 // sketch.SCALE]
+        assert union == (low or [min(whole, key=lambda h: h % 2**64)])
+    pair = sketches.where("k = 'x'").selectExpr("own AS a").join(sketches.where("k = 's'").selectExpr("own AS b"))
+    if not any(0 <= h < 2**64 // sketch.SCALE for h in kept["x"]):
+        told = pair.select(sketch.containment("a", "b").alias("c"), sketch.containment("b", "a").alias("d"), sketch.containment("a", "a").alias("e")).first()
+        assert (told["c"], told["d"], told["e"]) == (None, 0.0, 1.0)
     union = sketch.merged(rows.selectExpr("1 AS g", "own"), ["g"], "own").first()["own"]
     assert len(union) == len(set().union(*(r["own"] for r in rows.collect())))
 
@@ -86,3 +100,19 @@ def test_one_document_follows_itself(spark):
     one = spark.createDataFrame([(3, "abcdefgh")], "doc_id long, text string")
     row = sketch.edited_pairs(one).first()
     assert row["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest() and row["near_next"] == 1.0
+
+
+def test_hashes_are_those_of_the_definition():
+    """Sums of code points times powers, computed with Python's integers."""
+    text, size, full = "abc dé日xyz", sketch.SHINGLE_CHARS, 1 << 64
+
+    def mixed(h):
+        h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) % full
+        h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) % full
+        return h ^ (h >> 31)
+
+    for n in (3, size):
+        width = min(n, len(text))
+        runs = [text[i : i + width] for i in range(len(text) - width + 1)]
+        plain = {mixed(sum((ord(c) + 1) * pow(sketch._BASE, k, full) for k, c in enumerate(run)) % full) for run in runs}
+        assert set(sketch.sketch(text, n, 1).tolist()) == plain

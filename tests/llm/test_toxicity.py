@@ -1,5 +1,8 @@
+import math
+import random
 import zlib
 
+import numpy as np
 import pytest
 
 from martloom.llm import toxicity
@@ -69,3 +72,81 @@ def test_nothing_to_learn(spark):
         assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, some)).collect()} == {share}
     model = toxicity.fit(docs, labels)
     assert toxicity.score(docs.where("false"), model).collect() == []
+
+
+def plain_likelihood(weights, bias, logit, docs, y):
+    """The documents' log-likelihood, sentence by sentence."""
+    leak, total = 1 / (1 + math.exp(-logit)), 0.0
+    for (n, own), label in zip(docs, y, strict=True):
+        none = 1 - leak
+        for ids in [*own, *[[]] * (n - len(own))]:
+            none *= 1 - 1 / (1 + math.exp(-(bias + sum(weights[i] for i in ids))))
+        total += math.log(1 - none) if label else math.log(none)
+    return total
+
+
+def test_the_gradient_is_that_of_the_likelihood():
+    draw = random.Random(5)
+    docs = [(n := draw.randint(0, 4), [sorted(draw.sample(range(5), draw.randint(1, 3))) for _ in range(draw.randint(0, n))]) for _ in range(30)]
+    y = np.array([draw.randint(0, 1) for _ in docs], float)
+    params = np.array([draw.uniform(-1, 1) for _ in range(5)] + [-1.3, -2.0])
+    found = [(d, ids) for d, (_, own) in enumerate(docs) for ids in own]
+    flat = (
+        np.array([f for _, ids in found for f in ids]), np.array([i for i, (_, ids) in enumerate(found) for _ in ids]),
+        np.array([d for d, _ in found]), np.array([n - len(own) for n, own in docs], float), y,
+    )
+    value, gradient = toxicity.log_likelihood(params, *flat)
+    assert value == pytest.approx(plain_likelihood(params[:5], params[5], params[6], docs, y))
+    for i in range(len(params)):
+        step = np.zeros(len(params))
+        step[i] = 1e-6
+        high, low = (plain_likelihood(p[:5], p[5], p[6], docs, y) for p in (params + step, params - step))
+        assert gradient[i] == pytest.approx((high - low) / 2e-6, abs=1e-5)
+
+
+def test_fit_against_plain_steps(spark):
+    """The same model from plain counting, and steps by plain gradients."""
+    docs, labels = sample(spark)
+    chosen = {r["doc_id"]: max(r["toxic"], 0) for r in labels.where("doc_id < 1000 AND toxic IS NOT NULL").collect()}
+    chosen |= {1: 1 if any(r["toxic"] for r in labels.where("doc_id = 1 AND toxic IS NOT NULL").collect()) else 0, 1000: 0}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in chosen}
+    ids = sorted(texts)
+    y = np.array([chosen[i] for i in ids], float)
+    seen = {}
+    for i in ids:
+        for f in toxicity.document_features(texts[i]):
+            seen.setdefault(f, [0, 0])[chosen[i]] += 1
+    counts = [(f, a, b) for f, (a, b) in seen.items() if b >= 2 and a + b >= toxicity.MIN_DOCS]
+    start = toxicity.screened(counts, int((y == 0).sum()), int(y.sum()))
+    names = sorted(start)
+    split = [toxicity.placed(texts[i], {f: k for k, f in enumerate(names)}) for i in ids]
+    params = [start[f] for f in names] + [-6.0, math.log(y.mean() / (1 - y.mean()))]
+    squares = [1e-6] * len(params)
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    for _ in range(20):
+        gradient, leak = [0.0] * len(params), sigmoid(params[-1])
+        for (n, own), label in zip(split, y, strict=True):
+            sentences = [*own, *[[]] * (n - len(own))]
+            p = [sigmoid(params[-2] + sum(params[i] for i in s)) for s in sentences]
+            none = (1 - leak) * math.prod(1 - x for x in p)
+            push = none / (1 - none) if label else -1.0
+            for s, x in zip(sentences, p, strict=True):
+                gradient[-2] += push * x
+                for i in s:
+                    gradient[i] += push * x
+            gradient[-1] += push * leak
+        for i, g in enumerate(gradient):
+            squares[i] += g * g
+            step = toxicity.RATE / math.sqrt(squares[i])
+            params[i] += step * g
+            if i < len(names):
+                params[i] = math.copysign(max(abs(params[i]) - toxicity.PENALTY * step, 0.0), params[i])
+    model = toxicity.trained(start, split, y.tolist(), rounds=20)
+    assert model.weights == pytest.approx({f: params[i] for i, f in enumerate(names) if abs(params[i]) > 1e-3}, rel=1e-6)
+    assert (model.bias, model.leak) == pytest.approx((params[-2], sigmoid(params[-1])), rel=1e-6)
+    whole = toxicity.trained(start, split, y.tolist())
+    fitted = toxicity.fit(docs, labels).value
+    assert fitted.weights == pytest.approx(whole.weights) and (fitted.bias, fitted.leak) == pytest.approx((whole.bias, whole.leak))

@@ -65,20 +65,6 @@ def plain_model(urls):
     return scores, (ma * sb + mb * sa) / (sa + sb)
 
 
-def test_query_against_plain_version(spark, sf):
-    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()}
-    got = {r["page_id"]: r for r in QUERIES["op5_url_filter"](spark, sf).collect()}
-    assert got.keys() == pages.keys()
-    split = {i: parts(u) for i, u in pages.items()}
-    scores, threshold = plain_model([(h + p, rule(h, p)[1]) for h, p in split.values()])
-    for i, (host, path) in split.items():
-        name, action = rule(host, path)
-        r = got[i]
-        assert (r["host"], r["path"], r["rule"]) == (host, path, name)
-        assert r["score"] == pytest.approx(scores[host + path], abs=1e-9)
-        assert r["verdict"] == (action or ("allow" if scores[host + path] >= threshold else "block"))
-
-
 CASES = {
     "HTTP://Example.NET/en/x?y": ("example.net", "/en/x", "example.net/en/", "allow"),
     "http://a.net": ("a.net", "", None, None),
@@ -124,6 +110,8 @@ def test_query_scores_whole_urls(spark, sf):
     scores, threshold = plain_model([(u, actions[i]) for i, u in pages.items()])
     assert got.keys() == pages.keys()
     for i, u in pages.items():
+        assert (got[i]["host"], got[i]["path"]) == parts(u)
+        assert got[i]["rule"] == rule(*parts(u))[0]
         assert got[i]["score"] == pytest.approx(scores[u], abs=1e-9)
         assert got[i]["verdict"] == (actions[i] or ("allow" if scores[u] >= threshold else "block"))
 
@@ -137,3 +125,13 @@ def test_tails_and_urls_without_scheme_are_scored(spark):
     for bad, fine in (other[:2], other[2:4]):
         assert got[bad]["score"] < got[fine]["score"] and got[bad]["score"] != 0 != got[fine]["score"]
     assert got[""]["score"] == got[None]["score"] == 0
+
+
+def test_long_urls(spark):
+    long = ["http://x.net/" + "ab/" * 333_330, "q" * 40_000, "é" * (url_filter.CHUNK - 1) + "ü" * 700, "http://a.net/" + "z" * (url_filter.CHUNK - 13)]
+    urls = [f"http://{h}/{n}" for h in ("a.net", "b.org/fr") for n in range(60)] + long
+    table = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r["url"]: r for r in url_filter.judge(table).collect()}
+    scores, _ = plain_model([(u, rule(*parts(u))[1]) for u in urls])
+    for u in urls:
+        assert got[u]["score"] == pytest.approx(scores[u], abs=1e-9)
