@@ -10,8 +10,9 @@ of all training documents.
 Tokens are the words of a text, A-Z lower-cased, and one end. A mark before the
 first word is context only. Grams are known by 64-bit hashes.
 
-How it is computed: documents go into blocks of some megabytes, stored once. A
-block asks for each of its distinct grams once, with its own count of it, in
+How it is computed: documents go into blocks of some megabytes, stored once: the
+hashes of a block's distinct words, and its tokens as numbers of them. A block
+asks for each of its distinct grams once, with its own count of it, in
 packed pieces by ranges of the hash. A range adds up its pieces and answers
 every block in the same packed form, and a block and its answers then meet to
 score its documents. So a gram costs a few bytes for each block that has it,
@@ -30,12 +31,13 @@ even. An empty table has no rows. Other columns of the table play no part.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,12 +66,16 @@ _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _ANSWERS = "block long, range int, n int, counts binary, held binary, words long, tokens long, held_tokens long"
 
 
-class _Words(dict):
-    """Hashes of words, computed once each."""
+class _Numbers(dict):
+    """Words in order of appearance: each new one gets the next number."""
 
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
+        n = self[word] = len(self)
+        return n
+
+
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word)
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -84,107 +90,132 @@ def unsqueeze(data: bytes, n: int) -> np.ndarray:
 
 
 def _block_type(kind: T.DataType) -> T.StructType:
-    lists = (("rows", T.LongType()), ("ids", kind), ("learnt", T.BooleanType()), ("before", T.BinaryType()), ("last", T.BooleanType()), ("sizes", T.IntegerType()))
-    fields = [T.StructField("block", T.LongType()), T.StructField("held", T.BooleanType())]
+    """A row for each block: for each part of a document its row, id, whether
+    it is learnt from, its tokens with the words before it, how many of these
+    are before it, and whether it begins the document; the sorted hashes of the
+    block's words; and the tokens as numbers of those."""
+    lists = (("rows", T.LongType()), ("ids", kind), ("learnt", T.BooleanType()), ("tokens", T.IntegerType()), ("before", T.IntegerType()), ("begins", T.BooleanType()))
+    fields = [T.StructField("block", T.LongType()), T.StructField("held", T.BooleanType()), T.StructField("bytes", T.LongType())]
     fields += [T.StructField(name, T.ArrayType(t)) for name, t in lists]
-    return T.StructType([*fields, T.StructField("size", T.IntegerType()), T.StructField("data", T.BinaryType())])
+    return T.StructType([*fields, T.StructField("n_words", T.IntegerType()), T.StructField("words", T.BinaryType()), T.StructField("numbers", T.BinaryType())])
 
 
 def parts_of(text: bytes, context: int, segment: int):
-    """``(words before, bytes, whether it is the last)`` for each part."""
+    """``(words before, words, whether it is the last)`` for each part."""
     before, at = [_BEGIN], 0
     while True:
         cut = _SPACE.search(text, at + segment) if len(text) - at > segment else None
         end = cut.start() if cut else len(text)
-        yield b"\n".join(before) if at else b"", text[at:end], cut is None
+        words = text[at:end].split()
+        yield before, words, cut is None
         if cut is None:
             return
         # The mark before the first word is a word's context like any other.
-        before = (before + text[at:end].split()[-context:])[-context:]
+        before = (before + words[-context:])[-context:]
         at = end
 
 
+class _Open:
+    """A block that is being filled."""
+
+    def __init__(self):
+        self.parts, self.numbers, self.known, self.bytes = [], [], _Numbers(), 0
+
+    def add(self, row: int, id, learnt: bool, before: list[bytes], words: list[bytes], begins: bool, last: bool) -> None:
+        tokens = [*before, *words, _END] if last else [*before, *words]
+        self.numbers.append(np.fromiter(map(self.known.__getitem__, tokens), np.int32, len(tokens)))
+        self.parts.append((row, id, learnt, len(tokens), len(before), begins))
+        self.bytes += sum(map(len, words)) + len(words) + 64
+
+    def closed(self, block: int, held: bool, schema: pa.Schema) -> pa.RecordBatch:
+        hashes = np.fromiter(map(word_hash, self.known), np.uint64, len(self.known))
+        words, place = np.unique(hashes, return_inverse=True)
+        numbers = place[np.concatenate(self.numbers)]
+        packed = (len(words), squeeze(np.diff(words, prepend=np.uint64(0))), squeeze(numbers))
+        values = [block, held, self.bytes, *zip(*self.parts, strict=True), *packed]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, schema.types, strict=True)], schema=schema)
+
+
 def _blocks(context: int, block: int, segment: int, schema: pa.Schema):
     """Rows (id, text, learnt, held) to blocks of documents of one kind."""
 
     def run(batches):
         first = TaskContext.get().partitionId() << 33
-        made, row = 0, 0
-        kept: dict = {False: [], True: []}
-        size = {False: 0, True: 0}
-
-        def closed(held: bool):
-            nonlocal made
-            rows, ids, learnt, before, last, data = zip(*kept[held], strict=True)
-            whole = b"".join(data)
-            values = [first + made, held, rows, ids, learnt, before, last, [len(d) for d in data], len(whole), pa.compress(whole, "zstd", asbytes=True)]
-            made, kept[held], size[held] = made + 1, [], 0
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, schema.types, strict=True)], schema=schema)
-
+        made, row, filling = 0, 0, {False: _Open(), True: _Open()}
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             for i, text, learnt, held in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                for before, data, last in parts_of((text.as_py() or b"").lower(), context, segment):
-                    kept[held].append((first + row, i, learnt, before, last, data))
-                    size[held] += len(data) + 64
-                    if size[held] >= block:
-                        yield closed(held)
+                begins = True
+                for before, words, last in parts_of((text.as_py() or b"").lower(), context, segment):
+                    own = filling[held]
+                    own.add(first + row, i, learnt, before, words, begins, last)
+                    begins = False
+                    if own.bytes >= block:
+                        yield own.closed(first + made, held, schema)
+                        made, filling[held] = made + 1, _Open()
                 row += 1
-        for held in (False, True):
-            if kept[held]:
-                yield closed(held)
+        for held, own in filling.items():
+            if own.parts:
+                yield own.closed(first + made, held, schema)
+                made += 1
 
     return run
 
 
+def _joined(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of grams that are one word longer."""
+    out = hashes * _FACTOR + words
+    out = (out ^ (out >> np.uint64(29))) * _FACTOR
+    return out ^ (out >> np.uint64(32))
+
+
 class Grams:
-    """A block's tokens and its distinct grams."""
+    """A block's distinct grams of all orders: ``keys`` are sorted, ``counts``
+    are those in training documents."""
 
     def __init__(self, block: dict, order: int):
-        data, at, words, lengths, heads = pa.decompress(block["data"], block["size"], "zstd", asbytes=True), 0, [], [], []
-        for before, last, size in zip(block["before"], block["last"], block["sizes"], strict=True):
-            start = len(words)
-            head = before.split(b"\n") if before else [_BEGIN]
-            words += head
-            words += data[at : at + size].split()
-            if last:
-                words.append(_END)
-            at += size
-            lengths.append(len(words) - start)
-            heads.append(len(head))
-        known = _Words()
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        del words, data
-        self.lengths, self.heads = np.array(lengths), np.array(heads)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        place = np.arange(len(hashes)) - np.repeat(self.starts, self.lengths)
-        self.is_token = place >= np.repeat(self.heads, self.lengths)
-        whole = np.array([not b for b in block["before"]])
-        counted = np.repeat(np.array(block["learnt"]), self.lengths)
-        keys, weights, gram = [], [], hashes
+        lengths = np.array(block["tokens"])
+        self.before = np.array(block["before"])
+        starts, size = np.cumsum(lengths) - lengths, int(lengths.sum())
+        words = np.cumsum(unsqueeze(block["words"], block["n_words"]), dtype=np.uint64)
+        numbers = unsqueeze(block["numbers"], size).astype(np.int64)
+        place = np.arange(size) - np.repeat(starts, lengths)
+        self.lengths = lengths
+        self.is_token = place >= np.repeat(self.before, lengths)
+        learnt = np.repeat(np.array(block["learnt"]), lengths)
+        counted = learnt & self.is_token
+        # The mark before a document's first word is counted as context.
+        marked = counted.copy()
+        begins = starts[np.array(block["begins"])]
+        marked[begins] = learnt[begins]
+        keys, counts, found, offset = [], [], [], 0
+        hashes, gram = words, numbers
         for n in range(1, order + 1):
             if n > 1:
-                gram = np.concatenate([np.zeros(1, np.uint64), gram[:-1]]) * _FACTOR + hashes
-                gram = (gram ^ (gram >> np.uint64(29))) * _FACTOR
-                gram ^= gram >> np.uint64(32)
-            there = place >= n - 1
-            own = counted & self.is_token
-            if n == 1:
-                # The mark before a document's first word is counted as context.
-                own = own | (counted & (place == 0) & np.repeat(whole, self.lengths))
-            keys.append(((gram & ~_ORDER_BITS) | np.uint64(n))[there])
-            weights.append(own[there])
-            if n == 1:
-                self.at = [np.empty(0, np.int64)]
-            self.at.append(there)
-        self.keys, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        self.counts = np.bincount(inverse, np.concatenate(weights), len(self.keys)).astype(np.uint64)
-        # For each order, where a position's gram is among the keys; -1: it has none.
-        done = 0
-        for n in range(1, order + 1):
-            there, self.at[n] = self.at[n], np.full(len(hashes), -1)
-            self.at[n][there] = inverse[done : done + there.sum()]
-            done += there.sum()
+                # Grams are numbered by the shorter one and the word after it.
+                there = place >= n - 1
+                ids, known = pd.factorize(gram[:-1][there[1:]] * len(words) + numbers[1:][there[1:]])
+                shorter, last = np.divmod(known, len(words))
+                hashes = _joined(hashes[shorter], words[last])
+                gram = np.full(size, -1)
+                gram[there] = ids
+            own = marked if n == 1 else counted & (gram >= 0)
+            keys.append((hashes & ~_ORDER_BITS) | np.uint64(n))
+            counts.append(np.bincount(gram[own], minlength=len(hashes)))
+            # Where a position's gram is among all grams; below 0: it has none.
+            found.append(np.where(gram >= 0, gram + offset, -1))
+            offset += len(hashes)
+        every = np.concatenate(keys)
+        self.order = np.argsort(every, kind="stable")
+        self.keys = every[self.order]
+        self.counts = np.concatenate(counts)[self.order].astype(np.uint64)
+        self.at = [np.empty(0, np.int64), *found]
+
+    def placed(self, counts: np.ndarray) -> np.ndarray:
+        """Counts in the order of ``keys``, put in the order of ``at``."""
+        out = np.empty(len(counts), np.int64)
+        out[self.order] = counts
+        return out
 
     def estimates(self, counts: np.ndarray, tokens: int, words: int, order: int) -> tuple[np.ndarray, np.ndarray]:
         """``(bucket, probabilities)`` of each token: row n of the latter is the
@@ -192,16 +223,19 @@ class Grams:
         at = np.flatnonzero(self.is_token)
         out = np.zeros((order + 1, len(at)))
         out[0] = 1 / (words + 1)
-        bucket = np.full(len(at), 64)
+        # Without any count the even share stands alone.
+        bucket = np.full(len(at), 64 if tokens else 0)
         for n in range(1, order + 1):
-            own, seen = self.at[n][at], np.full(len(at), tokens)
+            own = self.at[n][at]
+            if n == 1:
+                out[1] = counts[own] / max(tokens, 1)
+                continue
             there = own >= 0
-            if n > 1:
-                seen = np.where(there, counts[self.at[n - 1][at - 1]], 0)
-            usable = there & (seen > 0)
+            seen = np.where(there, counts[self.at[n - 1][at - 1]], 0)
+            usable = seen > 0
             out[n] = np.where(usable, counts[own], 0) / np.maximum(seen, 1)
-            if n > 1:
-                bucket = np.where(usable, 64 * n + np.log2(np.maximum(seen, 1)).astype(np.int64), bucket)
+            # The power of two below a count of this size is its exponent.
+            bucket = np.where(usable, 64 * n - 1 + np.frexp(seen.astype(np.float64))[1], bucket)
         return bucket, out
 
 
@@ -268,7 +302,7 @@ def _events(order: int, tokens: int, words: int):
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         grams = Grams(blocks.to_pylist()[0], order)
-        bucket, p = grams.estimates(_answered(answers, True), tokens, words, order)
+        bucket, p = grams.estimates(grams.placed(_answered(answers, True)), tokens, words, order)
         return pa.table({"bucket": pa.array(bucket, pa.int32()), **{f"p{n}": pa.array(row, pa.float32()) for n, row in enumerate(p)}})
 
     return run
@@ -279,12 +313,16 @@ def _scored(order: int, tokens: int, words: int, weights, id_type: pa.DataType):
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         block = blocks.to_pylist()[0]
-        grams, counts = Grams(block, order), _answered(answers, False)
+        grams = Grams(block, order)
+        counts = grams.placed(_answered(answers, False))
         bucket, p = grams.estimates(counts, tokens, words, order)
-        mixed = np.log10((weights.value[bucket].T * p).sum(axis=0))
+        known, inside = weights.value, np.zeros(len(bucket))
+        for n, row in enumerate(p):
+            inside += known[:, n][bucket] * row
+        mixed = np.log10(inside)
         seen = counts[grams.at[1][grams.is_token]]
         base = np.log10((seen + 0.5) / (tokens + 0.5 * (words + 1)))
-        n = grams.lengths - grams.heads
+        n = grams.lengths - grams.before
         ends = np.concatenate([[0], np.cumsum(n)])
 
         def total(values):
@@ -317,12 +355,12 @@ def learnt_weights(events: DataFrame, order: int, rounds: int = ROUNDS, gain: fl
     spark = events.sparkSession
     names = [f"p{n}" for n in range(order + 1)]
     start = np.zeros((64 * (order + 1), order + 1))
-    for b in range(64, len(start)):
+    for b in (0, *range(64, len(start))):
         start[b, : b // 64 + 1] = 1 / (b // 64 + 1)
     schema = T.StructType([T.StructField("b", T.IntegerType()), *(T.StructField(f"w{n}", T.DoubleType()) for n in range(order + 1))])
     weights, before, seen = start.copy(), -math.inf, []
     for _ in range(rounds):
-        now = literal_rows(spark, [(b, *map(float, row)) for b, row in enumerate(weights) if b >= 64], schema)
+        now = literal_rows(spark, [(b, *map(float, row)) for b, row in enumerate(weights) if b == 0 or b >= 64], schema)
         parts = [F.col(f"w{n}") * F.col(p) for n, p in enumerate(names)]
         whole = sum(parts[1:], parts[0])
         joined = events.join(F.broadcast(now), events["bucket"] == now["b"]).select("b", *(p.alias(n) for p, n in zip(parts, names, strict=True)), whole.alias("whole"))
@@ -370,9 +408,9 @@ def score(
     schema = _block_type(kind)
     arrow = to_arrow_schema(schema)
     blocks = stored(rows.mapInArrow(_blocks(max(order - 1, 1), block, segment, arrow), schema))
-    size = blocks.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
+    size = blocks.agg(F.sum("bytes")).first()[0] or 0
     bits = max(1, math.ceil(math.log2(max(1, size * order / per_range))))
-    begin = int((np.uint64(_Words()[_BEGIN]) & ~_ORDER_BITS) | np.uint64(1))
+    begin = int((np.uint64(word_hash(_BEGIN)) & ~_ORDER_BITS) | np.uint64(1))
     asked = blocks.drop("rows", "ids").mapInArrow(_asked(order, bits), "range int, block long, held boolean, n int, keys binary, counts binary")
     answers = stored(asked.groupBy("range").applyInArrow(_summed(begin), _ANSWERS))
     facts = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "tokens", "held_tokens"))).first()

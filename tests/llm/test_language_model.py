@@ -114,7 +114,7 @@ def test_query_against_plain_version(spark, sf, documents):
 def test_other_orders_in_small_blocks_and_parts(spark, documents, order):
     docs = [(i, t) for i, t in sorted(documents.items()) if i < 120]
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    found = language_model.score(table, F.col("doc_id") % 3 != 0, order=order, block=3_000, segment=700, per_range=2_000).collect()
+    found = language_model.score(table, F.col("doc_id") % 3 != 0, order=order, block=30_000, segment=7_000, per_range=100_000).collect()
     check(spark, found, docs, {i for i, _ in docs if i % 3}, order)
 
 
