@@ -1,5 +1,6 @@
 """The language model against a plain version with dictionaries."""
 
+import functools
 import math
 import re
 import zlib
@@ -50,22 +51,26 @@ def plain_model(train, held, order):
         return sum(words.values()), len(words)
 
     v = facts(full)[1]
-    events = [estimates(kept, t, i, order, facts(kept)[0], v) for t in map(tokens, held) for i in range(1, len(t))]
+    n_kept = facts(kept)[0]
+    # Equal events are counted, so that a round costs a step for each distinct one.
+    events = Counter((b, tuple(p)) for t in map(tokens, held) for i in range(1, len(t)) for b, p in [estimates(kept, t, i, order, n_kept, v)])
+    n_events = sum(events.values())
     weights, before = {}, -math.inf
     for b, _ in events:
         weights[b] = np.array([1 / (b // 64 + 1) if n <= b // 64 else 0.0 for n in range(order + 1)])
     start = {b: w > 0 for b, w in weights.items()}
     for _ in range(language_model.ROUNDS if events else 0):
         share, gain = {b: 0.5 * start[b] for b in weights}, 0.0
-        for b, p in events:
+        for (b, p), times in events.items():
             parts = weights[b] * np.array(p, np.float32)
-            gain += math.log(parts.sum())
-            share[b] = share[b] + parts / parts.sum()
+            gain += times * math.log(parts.sum())
+            share[b] = share[b] + times * parts / parts.sum()
         weights = {b: s / s.sum() for b, s in share.items()}
-        if gain / len(events) - before < language_model.GAIN:
+        if gain / n_events - before < language_model.GAIN:
             break
-        before = gain / len(events)
+        before = gain / n_events
 
+    @functools.cache
     def weight(b):
         alike = [s for s in weights if s // 64 == b // 64]
         if not alike:
