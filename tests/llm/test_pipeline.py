@@ -4,6 +4,7 @@ import statistics
 import zlib
 
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from test_bpe import PLAIN
 from test_decontam import plain as contamination
 from test_langid import plain_predictions
@@ -82,3 +83,18 @@ def test_a_long_dotted_name_passes_the_stages(spark, sf):
     long = [(-1, "the and of a@" + "x." * 50_000 + "com and the of", "en", "x", 5), (-2, "the of and " + "1." * 50_000, "en", "x", 5)]
     out = spark.createDataFrame(long, table.schema)
     assert stages.pii_pseudonyms(spark, table.unionByName(out), sf).count() == 202
+
+
+def test_least_score_comes_from_all_rows_learnt_from(spark, sf):
+    """One English text in twenty is of another kind; all of those hash to the
+    upper tenth, which a sample below a hash would leave out."""
+    usual = "the cat and the dog sat on the mat and the cat saw the dog"
+    other = "quick jumps vex fjord waltz nymphs; sphinx of black quartz"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    ids = spark.range(20_000).where("crc32(CAST(id AS STRING)) % 3 != 1")
+    upper = F.pmod(F.xxhash64("id", F.lit(other)), F.lit(1 << 20)) >= int(0.9 * (1 << 20))
+    rest = [r["id"] for r in ids.where(upper).limit(300).collect()]
+    rows = [(r["id"], usual) for r in ids.where(~upper).limit(5_700).collect()] + [(i, other) for i in rest]
+    table = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], schema)
+    kept = {r["doc_id"] for r in stages.language_id(spark, table, sf).collect()}
+    assert len(rest) == 300 and kept == {i for i, _ in rows}
