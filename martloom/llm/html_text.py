@@ -5,21 +5,29 @@ empty one: what stands in it is text, but for navigation, forms, adverts,
 notices and reader comments inside it. Everything else is the open part: the
 chrome of a page with an article, or all of a page without one.
 
-Repetition decides on the rest. For each host the token streams of the open
-parts are concatenated, and the suffixes are sorted: suffixes that share their
-first ``min_tokens`` tokens stand side by side, and where such neighbours come
-from distinct pages, the run is boilerplate. Longer repeats are overlapping
-runs of that length, so suffixes are kept to it, as a table of (host, run, page,
-position) that Spark sorts by run. A hot host spreads over its runs, and a run
-on a third of all pages is reduced to its least and greatest page in the tasks
-that read it. Of a page without an article, the covered tokens go and the
-unique runs stay; blocks that the markup names as chrome go as well.
-
-Inside articles, suffixes that begin a block are compared: a block that half of
-a host's distinct articles have, and ``NOTICE_PAGES`` of them at least, is a
-notice of the site and goes. A copied article counts once, and one that is made
-of such blocks alone stays whole. Shorter repeats in articles are quotations
-or common lines, which the text keeps.
+For each host the token streams of whole pages are concatenated, and Spark
+sorts the suffixes by (host, run, page), the run being their first
+``min_tokens`` tokens: longer repeats are overlapping runs of that length. In
+this order each suffix is compared with its neighbour. Where neighbours of
+distinct pages share their run, it is repeated. The sort is by ranges, so a hot
+host spreads over its runs and a hot run over its pages; pieces of a run that a
+range or a batch cuts off are put together afterwards.
+
+Of a page without an article, the tokens that repeated runs cover go and the
+unique runs stay; blocks that the markup names as chrome go as well. Hosts
+whose pages all have articles need no such comparison.
+
+In articles, repeats are quotations or common lines too, which the text keeps.
+So tokens go that are covered by runs which half of a host's distinct articles
+have, and ``NOTICE_PAGES`` of them at least: a notice of the site, be it a block
+or a part of one. Blocks too short for a run are compared whole. A copied
+article counts once; one that is made of notices alone stays whole, and one
+that is nine tenths covered is taken for an edited copy, of which only whole
+blocks go. Most suffixes of articles are on so few pages that they need not be
+sorted: a run on half of the articles is on a third of those in some chunks
+(as in the algorithm of Savasere, Omiecinski and Navathe, 1995), and what it
+can have in the others is bounded. ``likely_runs`` keeps every run that can get
+there, ``common_runs`` counts them by their text.
 
 Pages: NULL and empty ones have empty texts. A NULL address has host ``''``.
 Repeated rows count as one page and each get the text. Columns of any name are
@@ -32,7 +40,9 @@ from __future__ import annotations
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +51,10 @@ from martloom.llm.common import ship, stored
 
 MIN_TOKENS = 6
 NOTICE_PAGES = 4
+# Runs of articles that a task counts at a time, and the share of an article
+# above which it is an edited copy.
+HELD_RUNS = 4_000_000
+COPIED = 0.9
 
 # Elements without an end tag.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -202,25 +216,20 @@ def main_text(page: str | None) -> str | None:
 _PART = T.StructType(
     [
         T.StructField("settled", T.BooleanType()),
-        T.StructField("article", T.ArrayType(T.StringType())),
-        T.StructField(
-            "blocks",
-            T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("tokens", T.ArrayType(T.StringType()))])),
-        ),
+        T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("text", T.StringType())]))),
     ]
 )
-_ARROW_BLOCK = pa.struct([("kind", pa.string()), ("tokens", pa.list_(pa.string()))])
-_ARROW_PART = pa.struct([("settled", pa.bool_()), ("article", pa.list_(pa.string())), ("blocks", pa.list_(_ARROW_BLOCK))])
+_ARROW_BLOCK = pa.struct([("kind", pa.string()), ("text", pa.string())])
+_ARROW_PART = pa.struct([("settled", pa.bool_()), ("blocks", pa.list_(_ARROW_BLOCK))])
 
 
 @F.arrow_udf(_PART)
 def _parts_udf(pages: pa.Array) -> pa.Array:
-    """Whether a page has an article, its blocks, and the others as tokens."""
+    """Whether a page has an article, and its blocks."""
     out = []
     for page in pages:
         found, has_article = parsed(page.as_py() or "")
-        rest = [{"kind": k, "tokens": t.split(" ")} for k, t in found if k != "main"]
-        out.append({"settled": has_article, "article": [t for k, t in found if k == "main"], "blocks": rest})
+        out.append({"settled": has_article, "blocks": [{"kind": k, "text": t} for k, t in found]})
     return pa.array(out, _ARROW_PART)
 
 
@@ -231,9 +240,10 @@ def host_of(url: str):
 
 
 def page_parts(pages: DataFrame, id: str, url: str, page: str) -> DataFrame:
-    """``(id, url, host, k1, k2, settled, article, blocks)``: whether a page
-    has an article, that, and its open part."""
+    """``(row, id, url, host, k1, k2, settled, blocks)``: whether a page has an
+    article, and all of its blocks. To be stored, for the row numbers."""
     keyed = pages.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(id).alias("id"),
         F.col(url).alias("url"),
         host_of(url).alias("host"),
@@ -241,31 +251,33 @@ def page_parts(pages: DataFrame, id: str, url: str, page: str) -> DataFrame:
         F.hash(id, url, page).alias("k2"),
         _parts_udf(F.col(page)).alias("part"),
     )
-    return keyed.select("id", "url", "host", "k1", "k2", "part.settled", "part.article", "part.blocks")
+    return keyed.select("row", "id", "url", "host", "k1", "k2", "part.settled", "part.blocks")
 
 
-def block_hashes(article: str):
-    """Blocks by 64 bits of their text."""
-    return F.transform(article, lambda b: F.xxhash64(b))
+def article():
+    """The texts of an article's blocks."""
+    return F.transform(F.filter("blocks", lambda b: b["kind"] == "main"), lambda b: b["text"])
 
 
-def notices(parts: DataFrame, least: int = NOTICE_PAGES) -> DataFrame:
-    """``(host, notices)``: hashes of blocks that at least half of a host's
-    distinct articles have. A host has at most twice as many as an article has
-    blocks on average. No text is shuffled."""
-    articles = parts.where("settled").select("host", F.xxhash64("article").alias("a"), F.array_distinct(block_hashes("article")).alias("blocks"))
-    # Copies meet as partial groups before the shuffle.
-    distinct = articles.groupBy("host", "a").agg(F.first("blocks").alias("blocks"))
-    of_host = distinct.groupBy("host").agg(F.count("*").alias("n_articles"))
-    with_block = distinct.select("host", F.explode("blocks").alias("block")).groupBy("host", "block").agg(F.count("*").alias("n"))
-    common = with_block.where(F.col("n") >= least).join(of_host, "host").where(2 * F.col("n") >= F.col("n_articles"))
+def tokens_of(texts):
+    return F.filter(F.split(F.array_join(texts, " "), " "), lambda t: t != "")
+
+
+def notices(singles: DataFrame, n_articles: DataFrame, min_tokens: int, least: int = NOTICE_PAGES) -> DataFrame:
+    """``(host, notices)``: hashes of blocks too short for a run that at least
+    half of a host's distinct articles have. A host has at most twice as many
+    as an article has blocks on average. No text is shuffled."""
+    short = F.filter("article", lambda b: F.size(F.split(b, " ")) < min_tokens)
+    blocks = singles.select("host", F.explode(F.array_distinct(F.transform(short, lambda b: F.xxhash64(b)))).alias("block"))
+    with_block = blocks.groupBy("host", "block").agg(F.count("*").alias("n"))
+    common = with_block.where(F.col("n") >= least).join(n_articles, "host").where(2 * F.col("n") >= F.col("n_articles"))
     return common.groupBy("host").agg(F.collect_list("block").alias("notices"))
 
 
 def suffixes(parts: DataFrame, min_tokens: int) -> DataFrame:
     """``(host, run, k1, k2, pos)``: each page's suffixes, kept to their first
     ``min_tokens`` tokens; shorter ones cannot hold a long run."""
-    streams = parts.select("host", "k1", "k2", F.flatten(F.transform("blocks", lambda b: b["tokens"])).alias("tokens"))
+    streams = parts.select("host", "k1", "k2", tokens_of(F.transform("blocks", lambda b: b["text"])).alias("tokens"))
     starts = F.sequence(F.lit(0), F.size("tokens") - min_tokens)
     return (
         streams.where(F.size("tokens") >= min_tokens)
@@ -274,12 +286,50 @@ def suffixes(parts: DataFrame, min_tokens: int) -> DataFrame:
     )
 
 
+_PIECE = "host string, run string, n long, k1 long, k2 int, l1 long, l2 int"
+
+
+def _compared(batches):
+    """Sorted (host, run, k1, k2) to pieces of neighbours that share their run:
+    how many pages, the first and the last. One page alone is no piece, but at
+    the ends of a batch, where others may follow."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+
+        def differs(i: int, batch=batch, n=n) -> np.ndarray:
+            return pc.not_equal(batch.column(i).slice(1), batch.column(i).slice(0, n - 1)).to_numpy(zero_copy_only=False).astype(bool)
+
+        other_run = differs(0) | differs(1)
+        other_page = other_run | differs(2) | differs(3)
+        begin = np.concatenate(([0], np.flatnonzero(other_run) + 1))
+        end = np.concatenate((begin[1:], [n])) - 1
+        pages = np.add.reduceat(np.concatenate(([True], other_page)).astype(np.int64), begin)
+        told = pages > 1
+        told[[0, -1]] = True
+        first, last = batch.take(pa.array(begin[told])), batch.take(pa.array(end[told]))
+        yield pa.RecordBatch.from_arrays(
+            [first.column(0), first.column(1), pa.array(pages[told]), first.column(2), first.column(3), last.column(2), last.column(3)],
+            names=["host", "run", "n", "k1", "k2", "l1", "l2"],
+        )
+
+
+def neighbours(suffix_rows: DataFrame) -> DataFrame:
+    """``(host, run, n, least, greatest)`` of runs that neighbours share in the
+    order of suffixes, and of some others: the number of pages, where each has
+    the run in one row, and the least and greatest page."""
+    order = suffix_rows.select("host", "run", "k1", "k2").orderBy("host", "run", "k1", "k2")
+    return (
+        order.mapInArrow(_compared, _PIECE)
+        .groupBy("host", "run")
+        .agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2")).alias("least"), F.max(F.struct(F.col("l1").alias("k1"), F.col("l2").alias("k2"))).alias("greatest"))
+    )
+
+
 def repeated_runs(suffix_rows: DataFrame) -> DataFrame:
-    """``(host, run)``: runs on distinct pages of a host. Neighbours in the
-    suffix order differ in their page exactly if its least and greatest do."""
-    page = F.struct("k1", "k2")
-    ends = suffix_rows.groupBy("host", "run").agg(F.min(page).alias("least"), F.max(page).alias("greatest"))
-    return ends.where(F.col("least") != F.col("greatest")).select("host", "run")
+    """``(host, run)``: runs on distinct pages of a host."""
+    return neighbours(suffix_rows).where(F.col("least") != F.col("greatest")).select("host", "run")
 
 
 def _unique_udf(min_tokens: int):
@@ -292,8 +342,9 @@ def _unique_udf(min_tokens: int):
             gone = {p + i for p in covered or () for i in range(min_tokens)}
             kept, pos = [], 0
             for block in page or ():
-                own = [t for i, t in enumerate(block["tokens"], pos) if i not in gone]
-                pos += len(block["tokens"])
+                tokens = block["text"].split(" ")
+                own = [t for i, t in enumerate(tokens, pos) if i not in gone]
+                pos += len(tokens)
                 if own and block["kind"] == "open":
                     kept.append(" ".join(own))
             out.append("\n\n".join(kept))
@@ -302,23 +353,169 @@ def _unique_udf(min_tokens: int):
     return texts
 
 
+def copies(settled: DataFrame) -> DataFrame:
+    """``(row)`` of articles that an earlier row of their host has as well."""
+    keys = settled.select("row", "host", F.xxhash64("article").alias("a"))
+    first = keys.groupBy("host", "a").agg(F.min("row").alias("first"))
+    return keys.join(first, ["host", "a"]).where(F.col("row") != F.col("first")).select("row")
+
+
+def _run_hashes(tokens: np.ndarray, min_tokens: int) -> np.ndarray:
+    """64 bits of each run, from those of its tokens; they wrap around."""
+    n = max(len(tokens) - min_tokens + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for i in range(min_tokens):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + tokens[i : i + n]
+    return out
+
+
+def _tokens_at(column, i: int) -> np.ndarray:
+    offsets = column.offsets
+    return column.values[offsets[i].as_py() : offsets[i + 1].as_py()].to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _count_runs(min_tokens: int, held_runs: int):
+    """(host, tokens) batches to (host, run, n, missed) rows. For each chunk and
+    host: how many articles, and how many a run that is not named can be on at
+    most; then each run on more, and how many more."""
+
+    def counted(held: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+        hosts, runs, ns, misses = [], [], [], []
+        for host, found in held.items():
+            missed = (len(found) - 1) // 3
+            run, n = np.unique(np.concatenate(found), return_counts=True)
+            run, n = run[n > missed], n[n > missed]
+            hosts += [host] * (len(run) + 1)
+            runs += [None, *run.view(np.int64).tolist()]
+            ns += [len(found), *(n - missed).tolist()]
+            misses += [missed] + [None] * len(run)
+        columns = [pa.array(hosts, pa.string()), pa.array(runs, pa.int64()), pa.array(ns, pa.int64()), pa.array(misses, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["host", "run", "n", "missed"])
+
+    def count(batches):
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+        for batch in batches:
+            hosts, tokens = batch.column(0).to_pylist(), batch.column(1)
+            for i, host in enumerate(hosts):
+                found = np.unique(_run_hashes(_tokens_at(tokens, i), min_tokens))
+                held.setdefault(host, []).append(found)
+                size += len(found)
+                if size > held_runs:
+                    yield counted(held)
+                    held, size = {}, 0
+        yield counted(held)
+
+    return count
+
+
+def likely_runs(singles: DataFrame, min_tokens: int, held_runs: int = HELD_RUNS, least: int = NOTICE_PAGES) -> tuple[DataFrame, DataFrame]:
+    """``(host, likely)``: hashes of runs that can be on half of a host's
+    distinct articles; none that is gets lost. As those chunks that do not name
+    a run have it on less than a third, a host has at most some six times as
+    many as an article has runs on average. And ``(host, n_articles)``."""
+    hashes = F.transform(tokens_of(F.col("article")), lambda t: F.xxhash64(t))
+    found = singles.select("host", hashes.alias("tokens"))
+    rows = stored(found.mapInArrow(_count_runs(min_tokens, held_runs), "host string, run long, n long, missed long"))
+    hosts = rows.where("run IS NULL").groupBy("host").agg(F.sum("n").alias("n_articles"), F.sum("missed").alias("missed"))
+    most = F.col("n") + F.col("missed")
+    likely = (
+        rows.where("run IS NOT NULL")
+        .groupBy("host", "run")
+        .agg(F.sum("n").alias("n"))
+        .join(hosts, "host")
+        .where((most >= least) & (2 * most >= F.col("n_articles")))
+    )
+    return likely.groupBy("host").agg(F.collect_list("run").alias("likely")), hosts.select("host", "n_articles")
+
+
+def _starts_udf(min_tokens: int):
+    """(hashes of tokens, hashes of runs) to where those runs start."""
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def starts(tokens: pa.Array, likely: pa.Array) -> pa.Array:
+        out = []
+        for i in range(len(tokens)):
+            runs = _run_hashes(_tokens_at(tokens, i), min_tokens)
+            out.append(np.flatnonzero(np.isin(runs, _tokens_at(likely, i))).astype(np.int32))
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return starts
+
+
+def common_runs(singles: DataFrame, likely: DataFrame, n_articles: DataFrame, min_tokens: int, least: int = NOTICE_PAGES) -> DataFrame:
+    """``(host, runs)``: the runs that half of a host's distinct articles have.
+    Those suffixes are sorted that start with a likely run, an article's equal
+    ones once."""
+    streams = singles.join(likely, "host").select("row", "host", "likely", tokens_of(F.col("article")).alias("tokens"))
+    starts = _starts_udf(min_tokens)(F.transform("tokens", lambda t: F.xxhash64(t)), F.col("likely"))
+    at = streams.select("row", "host", "tokens", starts.alias("starts"))
+    run = F.transform("starts", lambda p: F.array_join(F.slice(F.col("tokens"), p + 1, min_tokens), " "))
+    rows = at.select("host", F.explode(F.array_distinct(run)).alias("run"), F.col("row").alias("k1"), F.lit(0).alias("k2"))
+    common = neighbours(rows).where(F.col("n") >= least).join(n_articles, "host").where(2 * F.col("n") >= F.col("n_articles"))
+    return common.groupBy("host").agg(F.collect_list("run").alias("runs"))
+
+
+def without_runs(blocks: list[str], runs: set[str], short: set[int], min_tokens: int) -> list[str]:
+    """An article's blocks less the tokens that ``runs`` cover and the blocks
+    numbered in ``short``; all of them if nothing is left."""
+    split = [b.split(" ") for b in blocks]
+    tokens = [t for b in split for t in b]
+    gone = np.zeros(len(tokens), bool)
+    for i in range(len(tokens) - min_tokens + 1):
+        if " ".join(tokens[i : i + min_tokens]) in runs:
+            gone[i : i + min_tokens] = True
+    copied = gone.sum() > COPIED * len(tokens)
+    kept, pos = [], 0
+    for i, own in enumerate(split):
+        cover = gone[pos : pos + len(own)]
+        pos += len(own)
+        if i in short or cover.all():
+            continue
+        kept.append(" ".join(own if copied else [t for t, g in zip(own, cover, strict=True) if not g]))
+    return kept or blocks
+
+
+def _without_runs_udf(min_tokens: int):
+    """(blocks, runs, hashes of blocks, hashes of notices) to the text; NULL
+    for NULL blocks."""
+
+    @F.arrow_udf(T.StringType())
+    def texts(all_blocks: pa.Array, runs: pa.Array, hashes: pa.Array, known: pa.Array) -> pa.Array:
+        out = []
+        for i, blocks in enumerate(all_blocks.to_pylist()):
+            if blocks is None:
+                out.append(None)
+                continue
+            gone = set(known[i].as_py() or ())
+            short = {k for k, h in enumerate(hashes[i].as_py()) if h in gone}
+            out.append("\n\n".join(without_runs(blocks, set(runs[i].as_py() or ()), short, min_tokens)))
+        return pa.array(out, pa.string())
+
+    return texts
+
+
 def extract(
     pages: DataFrame, id: str = "page_id", url: str = "url", page: str = "html", min_tokens: int = MIN_TOKENS
 ) -> DataFrame:
     """``(id, url, text)`` of every row."""
     ship()
     parts = stored(page_parts(pages, id, url, page))
-    # Stored, so that Spark knows how few there are before it joins.
-    known = stored(notices(parts))
-    left = F.filter("article", lambda b: ~F.array_contains(F.col("notices"), F.xxhash64(b)))
-    left = F.when(F.col("notices").isNotNull() & (F.size(left) > 0), left).otherwise(F.col("article"))
-    settled = (
-        parts.where("settled")
-        .join(known, "host", "left")
-        .select("id", "url", F.array_join(left, "\n\n").alias("text"))
+    settled = parts.where("settled").select("row", "id", "url", "host", article().alias("article"))
+    # Small tables are stored, so that Spark knows how few rows there are
+    # before it joins.
+    singles = settled.join(stored(copies(settled)), "row", "left_anti")
+    likely, n_articles = likely_runs(singles, min_tokens)
+    runs = common_runs(singles, stored(likely), n_articles, min_tokens)
+    known = stored(runs.join(notices(singles, n_articles, min_tokens), "host", "full"))
+    told = F.when(F.col("runs").isNotNull() | F.col("notices").isNotNull(), F.col("article"))
+    left = _without_runs_udf(min_tokens)(told, F.col("runs"), F.transform(told, lambda b: F.xxhash64(b)), F.col("notices"))
+    articles = settled.join(known, "host", "left").select(
+        "id", "url", F.coalesce(left, F.array_join("article", "\n\n")).alias("text")
     )
-    rows = suffixes(parts, min_tokens)
     unsettled = parts.where(~F.col("settled"))
+    # Whole pages, with articles, of the hosts that have others.
+    rows = suffixes(parts.join(stored(unsettled.select("host").distinct()), "host", "left_semi"), min_tokens)
     covered = (
         suffixes(unsettled, min_tokens)
         .join(repeated_runs(rows), ["host", "run"], "left_semi")
@@ -328,4 +525,4 @@ def extract(
     rest = unsettled.join(covered, ["k1", "k2"], "left").select(
         "id", "url", _unique_udf(min_tokens)(F.col("blocks"), F.col("starts")).alias("text")
     )
-    return settled.unionByName(rest).select(F.col("id").alias(id), F.col("url").alias(url), "text")
+    return articles.unionByName(rest).select(F.col("id").alias(id), F.col("url").alias(url), "text")

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 import time
 from html.parser import HTMLParser
@@ -176,3 +177,62 @@ def test_deep_nesting_takes_linear_time():
 
     seconds(1_000)
     assert seconds(40_000) < 12 * max(seconds(10_000), 0.05)
+
+
+def test_notices_within_blocks_go(spark):
+    """Before, blocks of articles were only compared as a whole."""
+    rows = [(i, "http://n.example/", f"<article><h1>T{i}</h1><p>Story of {i}. {NOTICE}</p><p>{i} ends</p></article>") for i in range(6)]
+    # Over two blocks, in another place of the article.
+    rows += [(10, "http://n.example/", "<article><p>Copyright of the house, all</p><p>rights reserved and more is said here than above, in words of its own</p></article>")]
+    # Half of eight have it; four of nine do not suffice.
+    rows += [(20 + i, "http://half.example/", f"<article><p>Story {i} {NOTICE if i < 4 else 'is other'}</p></article>") for i in range(8)]
+    rows += [(30 + i, "http://some.example/", f"<article><p>Story {i} {NOTICE if i < 4 else 'is other'}</p></article>") for i in range(9)]
+    # Edited copies of one article stay.
+    long = " ".join(f"word{j}" for j in range(200))
+    rows += [(50 + i, "http://copy.example/", f"<article><p>Version {i} {long}</p></article>") for i in range(5)]
+    # A page without an article is compared with articles as well.
+    rows += [(60, "http://half.example/", "<div>Own words. Story 7 is other</div>"), (61, "http://n.example/", f"<div>Mine {NOTICE}</div>")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(table).collect()}
+    assert [got[i] for i in range(6)] == [f"T{i}\n\nStory of {i}.\n\n{i} ends" for i in range(6)]
+    assert got[10] == "and more is said here than above, in words of its own"
+    assert [got[20 + i] for i in range(4)] == [f"Story {i}" for i in range(4)] and got[27] == "Story 7 is other"
+    assert got[30] == f"Story 0 {NOTICE}" and all(got[50 + i] == f"Version {i} {long}" for i in range(5))
+    assert got[60] == "Own words. Story 7 is other" and got[61] == "Mine"
+
+
+@pytest.mark.parametrize("held_runs", [1, 40, 1_000_000])
+def test_common_runs_against_plain_count(spark, held_runs):
+    """Whatever the chunks, no run on half of a host's articles is lost."""
+    choice = random.Random(held_runs)
+    articles = [(f"h{choice.randrange(3)}", " ".join(choice.choices("abc", (12, 2, 1), k=choice.randrange(60)))) for _ in range(120)]
+    articles = sorted({(h, " ".join(t.split())) for h, t in articles})
+    table = spark.createDataFrame([(i, h, [t]) for i, (h, t) in enumerate(articles)], "row long, host string, article array<string>").repartition(7)
+    likely, n_articles = html_text.likely_runs(table, 6, held_runs)
+    got = {r["host"]: set(r["runs"]) for r in html_text.common_runs(table, likely, n_articles, 6).collect()}
+    want: dict = {}
+    for host in {h for h, _ in articles}:
+        on: dict = {}
+        own = [t.split() for h, t in articles if h == host]
+        for tokens in own:
+            for run in {" ".join(tokens[p : p + 6]) for p in range(len(tokens) - 5)}:
+                on[run] = on.get(run, 0) + 1
+        if common := {r for r, n in on.items() if n >= 4 and 2 * n >= len(own)}:
+            want[host] = common
+    assert want and got == want
+
+
+def test_neighbours_in_the_order_of_suffixes(spark):
+    """Pieces of runs that batches and ranges cut off are put together."""
+    rows = [("h", f"run {j}", i, 0) for j in range(4) for i in range(j * 11)] + [("i", "run 1", 5, 1), ("i", "run 2", 7, 0), ("i", "run 2", 7, 0)]
+    table = spark.createDataFrame(rows, "host string, run string, k1 long, k2 int").repartition(5)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    for size in (1, 3, 10_000):
+        spark.conf.set(key, size)
+        try:
+            got = {(r["host"], r["run"]): r["n"] for r in html_text.neighbours(table).collect() if r["n"] > 1 and r["host"] == "h"}
+            again = {(r["host"], r["run"]) for r in html_text.repeated_runs(table).collect()}
+        finally:
+            spark.conf.set(key, before)
+        assert got == {("h", f"run {j}"): j * 11 for j in range(1, 4)} and again == set(got)
